@@ -5,7 +5,8 @@ questions that rank or accumulate over stores or products would then be bounded
 executor. These operators compute the same results with range partitioning:
 
 1. ``repartitionByRange`` on the ordering key: partition ``p`` holds one contiguous slice
-   of the order, and equal keys always land in the same partition.
+   of the order, and equal keys always land in the same partition. The tagged rows are
+   checkpointed once (reliable storage) because they are read twice.
 2. Per-partition totals (one row per partition) and their exclusive running sum, a window
    over at most ``spark.sql.shuffle.partitions`` rows, broadcast back - its size is
    bounded by the partition count, not by the data.
@@ -23,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.session import ensure_checkpoint_dir
+
 PID = "__range_pid"
 
 OrderSpec = Sequence[tuple[str, bool]]  # (column, ascending)
@@ -38,8 +41,18 @@ def _num_partitions(df: DataFrame) -> int:
 
 
 def _ranged(df: DataFrame, order: OrderSpec) -> DataFrame:
-    return (df.repartitionByRange(_num_partitions(df), *sort_exprs(order))
-            .withColumn(PID, F.spark_partition_id()))
+    """Range-partitioned rows tagged with their partition id, materialised once.
+
+    The tagged rows are read twice (per-partition totals and the local pass). Two reads
+    of an unmaterialised range exchange may each sample their own bounds, so the rows
+    are written with ``checkpoint()`` to the reliable folder named by
+    ``spark.checkpoint.dir``: both reads see one set of partitions, the upstream
+    aggregation runs once, and a lost executor does not change the assignment.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = (df.repartitionByRange(_num_partitions(df), *sort_exprs(order))
+              .withColumn(PID, F.spark_partition_id()))
+    return ranged.checkpoint(eager=True)
 
 
 def _offsets(ranged: DataFrame, value: Column, name: str) -> DataFrame:

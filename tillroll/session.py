@@ -15,6 +15,7 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.driver.memory": "12g",
 }
 
 
@@ -40,6 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS...); "
+                               "a machine-local folder cannot hold checkpoints on a cluster")
         current = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
