@@ -53,15 +53,18 @@ def digest(columns, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
-def compare(spark, sf_dir: str, keys=None, verbose=True):
+def compare(spark, sf_dir: str, keys=None, verbose=True, model=None):
+    """Compare Spark and DuckDB per key. ``model`` (optional) runs the questions on a
+    given RetailModel instead of the registry's default one."""
     sys.path.insert(0, ".")
     from __spark_entry__ import oracle_sql, queries
+    from tillroll.plans.registry import QUESTIONS
     qs, sqls = queries(), oracle_sql()
     con = duck(sf_dir)
     results = {}
     for key in keys or list(qs):
         t0 = time.time()
-        df = qs[key](spark, sf_dir)
+        df = QUESTIONS[key](model) if model is not None else qs[key](spark, sf_dir)
         s_cols = df.columns
         s_types = [spark_type(f.dataType) for f in df.schema.fields]
         s_rows = [tuple(r) for r in df.collect()]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,8 +77,20 @@ class RetailModel:
         return self._small[name]
 
     def dim(self, name: str) -> DataFrame:
-        df = getattr(self, name)
-        return F.broadcast(df) if self.is_small(name) else df
+        """A dimension for joining: small ones are kept in memory (they are bounded by the
+        counted check) and broadcast; large ones are left to a shuffle join."""
+        if not self.is_small(name):
+            return getattr(self, name)
+        cached = self._small.get(name + ".cached")
+        if cached is None:
+            cached = getattr(self, name).persist(StorageLevel.MEMORY_AND_DISK)
+            self._small[name + ".cached"] = cached
+        return F.broadcast(cached)
+
+    def bounded_by(self, name: str) -> bool:
+        """True when a result keyed by this dimension has a proven small row count (so a
+        single-task window over it is safe)."""
+        return self.is_small(name)
 
     # ---- the star view ------------------------------------------------------------
     def sales_view(self) -> DataFrame:

@@ -102,15 +102,16 @@ def peak_season(df: DataFrame, key: str, units: str = "unit") -> DataFrame:
 
     Months are pooled across years (calendar month). Per item at most 12 rows.
     """
-    per_month = df.groupBy(key, month_name("sales_date").alias("month_name"),
-                           F.date_format("sales_date", "MM").alias("month_num")).agg(
+    # Group on the month number (an int); the month name is formatted after aggregation.
+    per_month = df.groupBy(key, F.month("sales_date").alias("month_num")).agg(
         F.sum(units).cast("bigint").alias("sales"))
     item = Window.partitionBy(key)
     avg = ratio(F.sum("sales").over(item), F.count(F.lit(1)).over(item))
     above = per_month.withColumn("average", avg).filter(F.col("sales") > F.col("average"))
     ranked = above.withColumn("ranking", F.rank().over(item.orderBy(F.col("sales").desc())))
     return ranked.filter(F.col("ranking") == 1).select(
-        key, F.col("month_name").alias("peak_season"), F.col("sales").alias("sales_in_peak"),
+        key, month_name(F.make_date(F.lit(2000), F.col("month_num"), F.lit(1))).alias("peak_season"),
+        F.col("sales").alias("sales_in_peak"),
         round_half_up(F.col("average"), 2).alias("avg_sales"))
 
 

@@ -70,7 +70,8 @@ def category_price(model: RetailModel) -> DataFrame:
 def rank_in_category(model: RetailModel) -> DataFrame:
     """Q31: product rank by revenue inside its category."""
     per = revenue_by(model.sales_view(), ["product_category", "product_name"], "revenue")
-    ranked = rank_within(per, ["product_category"], [("revenue", False)], "rank_product_category")
+    ranked = rank_within(per, ["product_category"], [("revenue", False)], "rank_product_category",
+                         bounded=model.bounded_by("products"))
     return ranked.select("product_category", "product_name", "rank_product_category")
 
 

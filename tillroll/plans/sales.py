@@ -39,7 +39,8 @@ def top_products(model: RetailModel, k: int = 5) -> DataFrame:
 def pareto_products(model: RetailModel, pct: float = 80, include_crossing: bool = False) -> DataFrame:
     """Q4: products that make up ``pct`` % of revenue (peers share a cumulative value)."""
     per = revenue_by(model.sales_view(), "product_name", "revenue_per_product")
-    return pareto(per, "revenue_per_product", pct, include_crossing).select(
+    return pareto(per, "revenue_per_product", pct, include_crossing,
+                  bounded=model.bounded_by("products")).select(
         "product_name", "revenue_per_product", "cumulative_revenue", "total_revenue",
         "cumulative_percent")
 
