@@ -163,3 +163,56 @@ def test_not_in_with_null_is_empty(spark):
     assert not_in(left, right_null, "k").count() == 0
     assert rows(not_in(left, right, "k"), "k") == [(2,)]
     assert not_in(left, empty, "k").count() == 3
+
+
+def test_q10_zero_fill_reports_falls_to_zero(model):
+    got = rows(products.declining_products(model, 3, zero_fill=True),
+               "product_name", "month_year", "sales", "previous_month_sales")
+    assert got == [("Kite", "2023-03", 0, 2), ("Puzzle", "2023-01", 0, 1), ("Puzzle", "2023-03", 0, 1),
+                   ("Yo-Yo", "2023-02", 0, 1)]
+
+
+def test_q27_zero_fill_and_names(model):
+    plain = {r.product_name: r for r in inventory.turnover(model).collect()}
+    filled = {r.product_name: r for r in inventory.turnover(model, zero_fill=True).collect()}
+    assert plain["Kite"].avg_monthly_sales == 2.0 and filled["Kite"].avg_monthly_sales == 1.0
+    assert filled["Kite"].turnover_status == "Slow-moving inventory"
+    aw = {r.product_name for r in inventory.turnover(model, as_written=True).collect()}
+    assert aw == {"Kite", "Yo-Yo", "Puzzle", "Drum"}
+
+
+def test_q33_and_q22_flat_label_and_complete_months(model):
+    r = seasons.last_month_trend(model).first()
+    assert (r.trend, r.last_month, r.previous_month) == ("Decreasing", Decimal("40.00"), Decimal("50.00"))
+    full = seasons.twelve_month_trend(model, 12, complete_months_only=True).first()
+    assert (full.latest_revenue, full.earliest_revenue) == (Decimal("50.00"), Decimal("30.00"))
+
+
+def test_many_to_many_sums_equals_join(spark):
+    from tillroll.operators.joins import many_to_many_sums
+    left = spark.createDataFrame([(1, 2), (1, 3), (2, 5), (3, 1)], "k int, a int")
+    right = spark.createDataFrame([(1, 10), (1, 20), (1, 30), (2, 7)], "k int, b int")
+    naive = left.join(right, "k").groupBy("k").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    fast = many_to_many_sums(left, right, ["k"], ["a"], ["b"])
+    assert rows(fast, "k", "a", "b") == rows(naive, "k", "a", "b")
+
+
+def test_collation_and_aliases(spark):
+    from tillroll.operators.cleaning import replace_values
+    from tillroll.operators.grouping import revenue_by
+    df = spark.createDataFrame([("Toys", 1, Decimal("2.00")), ("toys", 2, Decimal("2.00"))],
+                               "cat string, unit int, product_price decimal(10,2)")
+    assert revenue_by(df, "cat").count() == 2
+    assert revenue_by(df, "cat", collation="UNICODE_CI_AI").count() == 1
+    cities = spark.createDataFrame([("Cuidad de Mexico",), ("Monterrey",)], "store_city string")
+    fixed = replace_values(cities, "store_city", {"Cuidad de Mexico": "Ciudad de Mexico"})
+    assert rows(fixed, "store_city") == [("Ciudad de Mexico",), ("Monterrey",)]
+
+
+def test_approximate_variants_run(model):
+    med = rows(products.median_daily_sales(model, approximate=True), "product_category", "median")
+    exact = rows(products.median_daily_sales(model), "product_category", "median")
+    assert [c for c, _ in med] == [c for c, _ in exact]
+    from tillroll.plans import stores as st
+    approx = rows(st.city_expansion(model, min_profit=None, approximate=True), "store_city", "number_of_stores")
+    assert approx == [("North", 1), ("South", 1)]

@@ -54,14 +54,21 @@ def clean_money(df: DataFrame, col: str, symbols: str = CURRENCY_SYMBOLS,
     return to_decimal(strip_currency(df, col, symbols), col, dtype)
 
 
+def replace_values(df: DataFrame, col: str, mapping: dict[str, str]) -> DataFrame:
+    """Map known spelling variants of a text column to one form (e.g. a misspelt city)."""
+    return df.replace(mapping, subset=[col]) if mapping else df
+
+
 def _lower(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def clean_raw_tables(raw: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+def clean_raw_tables(raw: dict[str, DataFrame], city_aliases: dict[str, str] | None = None
+                     ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Raw text tables (as read by ``tillroll.sources.delimited``) to the clean model.
 
-    Returns (clean tables, quarantined rows per table).
+    ``city_aliases`` optionally maps spelling variants of store cities to one form
+    (grouping is otherwise literal). Returns (clean tables, quarantined rows per table).
     """
     corrupt = "_corrupt_record"
     sales = _lower(raw["sales"])
@@ -85,6 +92,7 @@ def clean_raw_tables(raw: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], d
     stores = cast_date(stores, "store_open_date")
     stores_bad = stores.filter(F.col("_open_text").isNotNull() & F.col("store_open_date").isNull())
     stores = stores.select("store_id", "store_name", "store_city", "store_location", "store_open_date")
+    stores = replace_values(stores, "store_city", city_aliases or {})
 
     inventory = _lower(raw["inventory"]).select("store_id", "product_id", "stock_on_hand")
 

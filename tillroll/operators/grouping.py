@@ -19,10 +19,18 @@ def _keys(keys) -> list:
     return [keys] if isinstance(keys, (str, Column)) else list(keys)
 
 
-def revenue_by(df: DataFrame, keys, name: str = "revenue", measure: Column | None = None) -> DataFrame:
-    """``sum(unit * price)`` per group as decimal(38,2) (Q1, Q38a-e and most questions)."""
+def revenue_by(df: DataFrame, keys, name: str = "revenue", measure: Column | None = None,
+               collation: str | None = None) -> DataFrame:
+    """``sum(unit * price)`` per group as decimal(38,2) (Q1, Q38a-e and most questions).
+
+    ``collation`` (e.g. ``"UNICODE_CI_AI"``) groups string keys case- and accent-
+    insensitively, like a case-insensitive SQL server collation; default is binary.
+    """
     m = revenue() if measure is None else measure
-    return df.groupBy(*_keys(keys)).agg(money_sum(m).alias(name))
+    ks = _keys(keys)
+    if collation is not None:
+        ks = [F.collate(F.col(k), collation).alias(k) if isinstance(k, str) else k for k in ks]
+    return df.groupBy(*ks).agg(money_sum(m).alias(name))
 
 
 def top_k(df: DataFrame, by: str, k: int, ascending: bool = False,

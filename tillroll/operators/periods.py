@@ -71,22 +71,46 @@ def period_change(df: DataFrame, name: str = "revenue_per_month", change: str =
 
 
 def declining(df: DataFrame, key: str, months: int = 3, count_name: str = "sales",
-              previous_name: str = "previous_month_sales") -> DataFrame:
-    """Items whose monthly sale count fell versus their previous month, last ``months`` (Q10)."""
-    recent = trailing_window(df, months, "month", inclusive=True)
-    per_month = recent.groupBy(key, month_label("sales_date").alias("month_year")).agg(
+              previous_name: str = "previous_month_sales", zero_fill: bool = False,
+              complete_months_only: bool = False) -> DataFrame:
+    """Items whose monthly sale count fell versus their previous month, last ``months`` (Q10).
+
+    By default the previous month is the previous month *present* (gaps are skipped).
+    ``zero_fill=True`` compares with the calendar month before, counting an absent month
+    as zero (so a fall to zero is reported too). It needs no item x month grid: every
+    present month also emits a zero row for the month after it, and summing per
+    (item, month) yields exactly the months that matter.
+    """
+    recent = trailing_window(df, months, "month", inclusive=True,
+                             complete_months_only=complete_months_only)
+    per_month = recent.groupBy(key, month_start("sales_date").alias("m")).agg(
         F.count(F.lit(1)).alias(count_name))
-    w = Window.partitionBy(key).orderBy("month_year")
-    return (per_month.withColumn(previous_name, F.lag(count_name).over(w))
-            .filter(F.col(count_name) < F.col(previous_name)))
-
-
-def trend(df: DataFrame, months: int = 12, flat_label: str | None = None) -> DataFrame:
+    if zero_fill:
+        last = recent.agg(month_start(F.max("sales_date")).alias("v")).scalar()
+        shifted = (per_month.select(key, F.add_months("m", 1).alias("m"), F.lit(0).cast("bigint").alias(count_name))
+                   .filter(F.col("m") <= last))
+        per_month = per_month.unionByName(shifted).groupBy(key, "m").agg(
+            F.sum(count_name).cast("bigint").alias(count_name))
+        prev = per_month.select(key, F.add_months("m", 1).alias("m"), F.col(count_name).alias(previous_name))
+        out = per_month.join(prev, [key, "m"], "left").withColumn(
+            previous_name, F.coalesce(F.col(previous_name), F.lit(0).cast("bigint")))
+    else:
+        w = Window.partitionBy(key).orderBy("m")
+        out = per_month.withColumn(previous_name, F.lag(count_name).over(w))
+    return (out.filter(F.col(count_name) < F.col(previous_name))
+            .select(key, month_label("m").alias("month_year"), count_name, previous_name))
+
+
+def trend(df: DataFrame, months: int = 12, flat_label: str | None = None,
+          complete_months_only: bool = False) -> DataFrame:
     """Latest vs earliest month revenue in the last ``months`` months, one row (Q22).
 
-    One aggregation with max_by/min_by instead of repeated ordered subqueries.
+    One aggregation with max_by/min_by instead of repeated ordered subqueries. The
+    trailing window covers a partial first and last month (13 calendar months for 12)
+    unless ``complete_months_only``. ``flat_label`` names the equal case (else decreasing).
     """
-    recent = trailing_window(df, months, "month", inclusive=True)
+    recent = trailing_window(df, months, "month", inclusive=True,
+                             complete_months_only=complete_months_only)
     per_month = recent.groupBy(month_label("sales_date").alias("month")).agg(
         money_sum(revenue()).alias("revenue"))
     out = per_month.agg(F.max_by("revenue", "month").alias("latest_revenue"),
@@ -151,7 +175,7 @@ def promotion_months(df: DataFrame, as_written: bool = False,
         "month", "revenue", "promotion_strategy")
 
 
-def last_vs_previous(df: DataFrame) -> DataFrame:
+def last_vs_previous(df: DataFrame, flat_label: str | None = None) -> DataFrame:
     """Revenue of the last month vs the month before it, one row (Q33).
 
     Months are sorted on their first day (a two-digit year label would break at a
@@ -163,21 +187,26 @@ def last_vs_previous(df: DataFrame) -> DataFrame:
     last_two = per_month.orderBy(F.col("month").desc()).limit(2)
     out = last_two.agg(F.max_by("revenue", "month").alias("last_month"),
                        F.min_by("revenue", "month").alias("previous_month"))
-    trend_col = (F.when(F.col("last_month") > F.col("previous_month"), F.lit("Increasing"))
-                 .otherwise(F.lit("Decreasing")))
+    trend_col = F.when(F.col("last_month") > F.col("previous_month"), F.lit("Increasing"))
+    if flat_label is not None:
+        trend_col = trend_col.when(F.col("last_month") == F.col("previous_month"), F.lit(flat_label))
+    trend_col = trend_col.otherwise(F.lit("Decreasing"))
     return out.select(trend_col.alias("trend"), "last_month", "previous_month")
 
 
 def median_by(df: DataFrame, part: str, period: str = "sales_date", measure: str = "count",
-              as_written: bool = False, name: str = "median") -> DataFrame:
+              as_written: bool = False, name: str = "median", approximate: bool = False) -> DataFrame:
     """Median of the per-(period, part) measure within each part (Q36).
 
     measure: 'count' (rows per period) or 'revenue'. The exact median aggregates a
     value->count map per group (partial aggregation, no group collected into a list).
-    as_written reproduces the original query's running-count selection.
+    as_written reproduces the original query's running-count selection; approximate
+    uses percentile_approx (bounded memory per group whatever the number of values).
     """
     value = F.count(F.lit(1)) if measure == "count" else money_sum(revenue())
     per = df.groupBy(period, part).agg(value.alias("number"))
+    if approximate:  # fixed-size sketch per group, for very many distinct values
+        return per.groupBy(part).agg(F.percentile_approx("number", 0.5).cast("double").alias(name))
     if not as_written:
         return per.groupBy(part).agg(F.median("number").cast("double").alias(name))
     w = Window.partitionBy(part).orderBy(F.col("number").asc())

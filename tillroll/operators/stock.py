@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tillroll.functions.measures import MONEY, ratio
 from tillroll.functions.rules import bucketize, classify
 from tillroll.model import RetailModel
-from tillroll.operators.periods import trailing_window
+from tillroll.operators.joins import many_to_many_sums
+from tillroll.operators.periods import month_spine, trailing_window
 
 
 def stock_per_product(model: RetailModel) -> DataFrame:
@@ -78,18 +79,25 @@ TURNOVER_LABELS = ("Fast-moving inventory", "Average turnover", "Slow-moving inv
 
 
 def turnover(model: RetailModel, fast: float = 3, slow: float = 6,
-             labels: Sequence[str] = TURNOVER_LABELS, as_written: bool = False) -> DataFrame:
+             labels: Sequence[str] = TURNOVER_LABELS, as_written: bool = False,
+             zero_fill: bool = False) -> DataFrame:
     """Stock / mean monthly units per product with a speed label (Q27).
 
-    The mean ignores months without sales (as the original). Corrected mode names dead
-    stock from the products table; ``as_written`` leaves its name NULL.
+    The mean ignores months without sales (as the original); ``zero_fill=True`` divides by
+    every calendar month of the sales period instead. Corrected mode names dead stock from
+    the products table; ``as_written`` leaves its name NULL.
     """
     view = model.sales_view()
     per_month = view.groupBy("product_id", "product_name", F.year("sales_date").alias("year"),
                              F.month("sales_date").alias("month")).agg(
         F.sum("unit").alias("number_of_sales"))
+    if zero_fill:
+        months = month_spine(view).agg(F.count(F.lit(1)).alias("n")).scalar()
+        per_month_count = months
+    else:
+        per_month_count = F.count(F.lit(1))
     avg = per_month.groupBy("product_id", "product_name").agg(
-        ratio(F.sum("number_of_sales"), F.count(F.lit(1))).alias("average"))
+        ratio(F.sum("number_of_sales"), per_month_count).alias("average"))
     stock = stock_per_product(model)
     joined = stock.join(avg, "product_id", "left")
     if not as_written:
@@ -118,14 +126,14 @@ def not_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def unsold_products(model: RetailModel, days: int = 90, source: str = "sales",
-                    method: str = "not_in") -> DataFrame:
+                    method: str = "not_in", inclusive: bool = True) -> DataFrame:
     """Products with no sale in the last ``days`` days (Q29).
 
     source='sales' judges from the fact table, 'view' from the star view (orphans dropped).
     method='not_in' keeps SQL NOT IN semantics; 'left_anti' ignores NULL keys (null-safe).
     """
     facts = model.sales if source == "sales" else model.sales_view()
-    sold = trailing_window(facts, days, "day", inclusive=True).select("product_id").distinct()
+    sold = trailing_window(facts, days, "day", inclusive=inclusive).select("product_id").distinct()
     products = model.products.select("product_id", "product_name")
     if method == "left_anti":
         return products.join(sold, "product_id", "left_anti")
@@ -165,31 +173,29 @@ def _consistency_label(sold: Column, stock: Column, as_written: bool) -> Column:
     return classify(order, L["review"])
 
 
-def stock_consistency(model: RetailModel, days: int = 90, as_written: bool = False) -> DataFrame:
+def stock_consistency(model: RetailModel, days: int = 90, as_written: bool = False,
+                      inclusive: bool = False) -> DataFrame:
     """Units sold in the last ``days`` days (strict) vs stock on hand, per store (Q0).
 
     as_written: the original joins sales to the snapshot on store only, so each store's
     sums are multiplied by the other side's row count. That many-to-many join is
-    reproduced exactly without materialising it: per store, sum(unit) x inventory rows
-    and sum(stock) x sales rows. Corrected: each side aggregated once, every store kept.
+    reproduced exactly without materialising it (``many_to_many_sums``): per store,
+    sum(unit) x inventory rows and sum(stock) x sales rows. Corrected: each side
+    aggregated once, every store kept. ``inclusive`` switches the window to ``>=``.
     """
     view = model.sales_view()
-    recent = trailing_window(view, days, "day", inclusive=False)
-    sales = recent.groupBy("store_id").agg(F.sum("unit").cast("bigint").alias("units"),
-                                          F.count(F.lit(1)).alias("sale_rows"))
-    stock = model.inventory.groupBy("store_id").agg(
-        F.sum("stock_on_hand").cast("bigint").alias("stock"),
-        F.count(F.lit(1)).alias("stock_rows"))
+    recent = trailing_window(view, days, "day", inclusive=inclusive)
     if as_written:
         names = model.dim("stores").select("store_id", "store_name")
-        per_store = (sales.join(stock, "store_id", "inner").join(names, "store_id", "inner")
-                     .select("store_name",
-                             (F.col("units") * F.col("stock_rows")).alias("sold"),
-                             (F.col("stock") * F.col("sale_rows")).alias("stock")))
-        out = per_store.groupBy("store_name").agg(
-            F.sum("sold").cast("bigint").alias("total_sales_90d"),
-            F.sum("stock").cast("bigint").alias("current_stock"))
+        fanned = many_to_many_sums(recent.select("store_id", "unit"),
+                                   model.inventory.select("store_id", "stock_on_hand"),
+                                   ["store_id"], ["unit"], ["stock_on_hand"])
+        out = fanned.join(names, "store_id", "inner").groupBy("store_name").agg(
+            F.sum("unit").cast("bigint").alias("total_sales_90d"),
+            F.sum("stock_on_hand").cast("bigint").alias("current_stock"))
     else:
+        sales = recent.groupBy("store_id").agg(F.sum("unit").cast("bigint").alias("units"))
+        stock = model.inventory.groupBy("store_id").agg(F.sum("stock_on_hand").cast("bigint").alias("stock"))
         stores = model.dim("stores").select("store_id", "store_name")
         out = (stores.join(sales, "store_id", "left").join(stock, "store_id", "left")
                .select("store_id", "store_name",

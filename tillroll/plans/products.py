@@ -40,9 +40,12 @@ def most_profitable_category(model: RetailModel, k: int = 1) -> DataFrame:
     return top_k(per, "total_profit", k, tie_break=["product_category"])
 
 
-def declining_products(model: RetailModel, months: int = 3) -> DataFrame:
-    """Q10: products whose monthly sale count fell versus the previous month present."""
-    return declining(model.sales_view(), "product_name", months)
+def declining_products(model: RetailModel, months: int = 3, zero_fill: bool = False,
+                       complete_months_only: bool = False) -> DataFrame:
+    """Q10: products whose monthly sale count fell versus the previous month present
+    (``zero_fill``: versus the calendar month before, absent months counting zero)."""
+    return declining(model.sales_view(), "product_name", months, zero_fill=zero_fill,
+                     complete_months_only=complete_months_only)
 
 
 def best_margin(model: RetailModel, k: int = 1) -> DataFrame:
@@ -87,9 +90,12 @@ def above_average_products(model: RetailModel, round_avg: int | None = 2) -> Dat
     return versus_average(per, "revenue", "above", round_avg)
 
 
-def median_daily_sales(model: RetailModel, measure: str = "count", as_written: bool = False) -> DataFrame:
-    """Q36: median per category of the daily number of sales."""
-    return median_by(model.sales_view(), "product_category", "sales_date", measure, as_written)
+def median_daily_sales(model: RetailModel, measure: str = "count", as_written: bool = False,
+                       approximate: bool = False) -> DataFrame:
+    """Q36: median per category of the daily number of sales (``measure='revenue'`` for the
+    daily sales value the original's comment describes)."""
+    return median_by(model.sales_view(), "product_category", "sales_date", measure, as_written,
+                     approximate=approximate)
 
 
 # Fixed labels of the discontinue question.

@@ -24,9 +24,10 @@ def weekday_rank(model: RetailModel) -> DataFrame:
     return rank_groups(per, [("daily_revenue", False)], "rank_day", bounded=True)
 
 
-def twelve_month_trend(model: RetailModel, months: int = 12, flat_label: str | None = None) -> DataFrame:
+def twelve_month_trend(model: RetailModel, months: int = 12, flat_label: str | None = None,
+                       complete_months_only: bool = False) -> DataFrame:
     """Q22: latest vs earliest month revenue of the trailing window."""
-    return trend(model.sales_view(), months, flat_label)
+    return trend(model.sales_view(), months, flat_label, complete_months_only)
 
 
 def peak_seasons(model: RetailModel) -> DataFrame:
@@ -39,7 +40,7 @@ def promotion_timing(model: RetailModel, as_written: bool = False) -> DataFrame:
     return promotion_months(model.sales_view(), as_written)
 
 
-def last_month_trend(model: RetailModel) -> DataFrame:
+def last_month_trend(model: RetailModel, flat_label: str | None = None) -> DataFrame:
     """Q33: last month vs the month before."""
-    return last_vs_previous(model.sales_view())
+    return last_vs_previous(model.sales_view(), flat_label)
 

@@ -94,12 +94,17 @@ PRIORITY_LABELS = ("PRIORITY 1 - High potential", "PRIORITY 2 - Growth opportuni
 
 def city_expansion(model: RetailModel, high: float = 80000, mid: float = 60000, low: float = 30000,
                    few_stores: int = 2, some_stores: int = 3,
-                   min_profit: float | None = 60000) -> DataFrame:
-    """Q41: city statistics with an expansion decision and a priority."""
+                   min_profit: float | None = 60000, approximate: bool = False) -> DataFrame:
+    """Q41: city statistics with an expansion decision and a priority.
+
+    ``approximate=True`` counts distinct stores and transactions with HyperLogLog++
+    sketches (fixed memory, no Expand of the rows) instead of exact distinct counts.
+    """
     view = model.sales_view()
+    distinct = F.approx_count_distinct if approximate else F.countDistinct
     per = view.groupBy("store_city").agg(
-        F.countDistinct("store_id").alias("number_of_stores"),
-        F.countDistinct("sale_id").alias("number_of_transactions"),
+        distinct("store_id").alias("number_of_stores"),
+        distinct("sale_id").alias("number_of_transactions"),
         money_sum(revenue()).alias("total_revenue"),
         money_sum(profit()).alias("total_profit"))
     stores = F.col("number_of_stores")
