@@ -119,10 +119,13 @@ def not_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     right side is empty. The anti join itself is an ordinary (shuffle-able) hash join.
     """
     rkeys = right.select(F.col(key).alias("__k"))
-    right_has_null = rkeys.filter(F.col("__k").isNull()).exists()
-    right_nonempty = rkeys.exists()
+    # Both guards from one aggregation of the right side (one scalar subquery, reused).
+    stats = rkeys.agg(F.struct(F.count_if(F.col("__k").isNull()).alias("nulls"),
+                               F.count(F.lit(1)).alias("rows")).alias("s")).scalar()
+    right_has_null = stats.getField("nulls") > 0
+    right_empty = stats.getField("rows") == 0
     anti = left.join(rkeys, left[key] == rkeys["__k"], "left_anti")
-    return anti.filter(~right_has_null & (F.col(key).isNotNull() | ~right_nonempty))
+    return anti.filter(~right_has_null & (F.col(key).isNotNull() | right_empty))
 
 
 def unsold_products(model: RetailModel, days: int = 90, source: str = "sales",

@@ -8,6 +8,7 @@ their defaults.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,15 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.model import RetailModel
 from tillroll.plans import audits, drivers, inventory, products, sales, seasons, stores
 
-_MODELS: dict[tuple[int, str], RetailModel] = {}
+_MODELS: "weakref.WeakKeyDictionary[SparkSession, dict[str, RetailModel]]" = weakref.WeakKeyDictionary()
 
 
 def model_for(spark: SparkSession, sf_dir: str) -> RetailModel:
-    """One model per (session, folder): dimension size checks run once."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _MODELS:
-        _MODELS[key] = RetailModel.from_testdata(spark, sf_dir)
-    return _MODELS[key]
+    """One model per (session, folder): dimension size checks and small-dimension caches
+    are shared by all questions of a session."""
+    per_session = _MODELS.setdefault(spark, {})
+    key = sf_dir.rstrip("/")
+    model = per_session.get(key)
+    if model is None or model.sales.sparkSession is not spark:
+        model = per_session[key] = RetailModel.from_testdata(spark, sf_dir)
+    return model
 
 
 # key -> (question over a model)
