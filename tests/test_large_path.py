@@ -10,7 +10,7 @@ from tillroll.model import RetailModel
 from tillroll.sources import testdata as td
 
 KEYS = ["s5", "q0_corrected", "q0_as_written", "q3", "q4", "q14", "q18", "q25", "q26", "q27", "q29",
-        "q30", "q31", "q32", "q39", "q41"]
+        "q30", "q31", "q32", "q39", "q41", "q15", "q34", "q35"]
 
 
 @pytest.fixture(scope="module")

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_CONF = "tillroll.broadcast.maxRows"
 
+PARTITION_COLUMN = "sales_month"  # month partition of the cleaned parquet layout ('yyyy-MM')
+
 VIEW_COLUMNS = [
     "sale_id", "store_id", "product_id", "unit", "sales_date",
     "store_name", "store_city", "store_location", "store_open_date",
@@ -63,7 +65,8 @@ class RetailModel:
         return cls.from_tables(spark, read_clean(spark, path))
 
     def tables(self) -> dict[str, DataFrame]:
-        return {"sales": self.sales, "products": self.products, "stores": self.stores,
+        sales = self.sales.drop(PARTITION_COLUMN) if PARTITION_COLUMN in self.sales.columns else self.sales
+        return {"sales": sales, "products": self.products, "stores": self.stores,
                 "inventory": self.inventory}
 
     # ---- size-checked broadcast ---------------------------------------------------
@@ -94,12 +97,17 @@ class RetailModel:
 
     # ---- the star view ------------------------------------------------------------
     def sales_view(self) -> DataFrame:
-        """One row per sale whose store and product both exist (two inner joins)."""
+        """One row per sale whose store and product both exist (two inner joins).
+
+        On the month-partitioned layout the partition column ``sales_month`` is carried
+        as a 14th column so that trailing windows can prune partitions.
+        """
         if self._view is None:
             joined = (self.sales
                       .join(self.dim("stores"), "store_id", "inner")
                       .join(self.dim("products"), "product_id", "inner"))
-            self._view = joined.select(*VIEW_COLUMNS)
+            extra = [c for c in (PARTITION_COLUMN,) if c in self.sales.columns]
+            self._view = joined.select(*VIEW_COLUMNS, *extra)
         return self._view
 
     def sales_with_products(self) -> DataFrame:

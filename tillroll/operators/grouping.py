@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.measures import money_sum, percent, ratio, revenue, round_half_up
@@ -46,19 +46,34 @@ def scalar_of(df: DataFrame, agg: Column) -> Column:
     return df.agg(agg.alias("value")).scalar()
 
 
+def over_all(df: DataFrame, agg: Column, bounded: bool) -> Column:
+    """An aggregate over all rows of an already grouped frame, as a column of it.
+
+    bounded=True (row count proven small: calendar groups, or groups of a dimension that
+    passed the counted size check): a window over the whole frame, computed in the same
+    pass. Otherwise a scalar subquery, which Spark runs as its own (distributed) job.
+    """
+    return agg.over(Window.partitionBy()) if bounded else scalar_of(df, agg)
+
+
 def exact_mean_of(df: DataFrame, col: str) -> Column:
     """Mean of a column as double from its exact sum and count."""
     return df.agg(ratio(F.sum(col), F.count(col)).alias("value")).scalar()
 
 
 def versus_average(df: DataFrame, measure: str, side: str = "above",
-                   round_digits: int | None = None) -> DataFrame:
+                   round_digits: int | None = None, bounded: bool = False) -> DataFrame:
     """Rows whose ``measure`` is above / below the mean of ``measure`` (Q15, Q35)."""
-    mean = exact_mean_of(df, measure)
+    if bounded:
+        mean = ratio(F.sum(measure).over(Window.partitionBy()), F.count(measure).over(Window.partitionBy()))
+    else:
+        mean = exact_mean_of(df, measure)
     if round_digits is not None:
         mean = round_half_up(mean, round_digits)
     value = F.col(measure).cast("double")
-    return df.filter(value > mean if side == "above" else value < mean)
+    with_mean = df.withColumn("__mean", mean)
+    keep = value > F.col("__mean") if side == "above" else value < F.col("__mean")
+    return with_mean.filter(keep).drop("__mean")
 
 
 def spread(df: DataFrame, measure: str, name: str = "spread") -> DataFrame:
@@ -67,9 +82,9 @@ def spread(df: DataFrame, measure: str, name: str = "spread") -> DataFrame:
 
 
 def share_of_total(df: DataFrame, measure: str, name: str = "share_percent",
-                   digits: int | None = 2) -> DataFrame:
+                   digits: int | None = 2, bounded: bool = False) -> DataFrame:
     """Each row's percentage of the column total (Q34)."""
-    total = scalar_of(df, F.sum(measure))
+    total = over_all(df, F.sum(measure), bounded)
     return df.withColumn(name, percent(F.col(measure), total, digits))
 
 
@@ -79,7 +94,7 @@ def share_by_bucket(df: DataFrame, bucket: Column, bucket_name: str, measure: Co
     """Measure and share of total per band (Q6). The total is a scalar over the banded
     rows' sum (the same scan, evaluated as a subquery)."""
     grouped = df.groupBy(bucket.alias(bucket_name)).agg(money_sum(measure).alias(total_name))
-    total = scalar_of(grouped, F.sum(total_name))
+    total = over_all(grouped, F.sum(total_name), bounded=True)  # one row per band
     return grouped.withColumn(share_name, percent(F.col(total_name), total, digits))
 
 

@@ -15,10 +15,29 @@ from tillroll.functions.measures import money_sum, ratio, revenue, round_half_up
 from tillroll.operators.ranking import rank_groups
 
 
+PARTITION_COLUMN = "sales_month"  # 'yyyy-MM' month partition of the cleaned layout
+
+
 def latest_date(df: DataFrame, date_col: str = "sales_date") -> Column:
+    """The latest date of ``df`` as a scalar subquery.
+
+    On the month-partitioned layout the latest month is found from the partition values
+    first, so the date column is read from one month's files only.
+    """
+    if PARTITION_COLUMN in df.columns:
+        last_month = df.agg(F.max(PARTITION_COLUMN).alias("m")).scalar()
+        df = df.filter(F.col(PARTITION_COLUMN) == last_month)
     return df.agg(F.max(date_col).alias("latest")).scalar()
 
 
+def _prune_months(df: DataFrame, start: Column) -> DataFrame:
+    """Redundant filter on the month partition column: evaluated at runtime (the bound is
+    a scalar subquery), it skips every month directory before the window."""
+    if PARTITION_COLUMN in df.columns:
+        return df.filter(F.col(PARTITION_COLUMN) >= F.date_format(start, "yyyy-MM"))
+    return df
+
+
 def window_start(latest: Column, n: int, unit: str) -> Column:
     if unit == "day":
         return F.date_sub(latest, n)
@@ -40,9 +59,10 @@ def trailing_window(df: DataFrame, n: int, unit: str = "day", inclusive: bool =
     d = F.col(date_col)
     if complete_months_only:
         end = month_start(latest)
-        return df.filter((d >= F.add_months(end, -n)) & (d < end))
+        start = F.add_months(end, -n)
+        return _prune_months(df, start).filter((d >= start) & (d < end))
     start = window_start(latest, n, unit)
-    return df.filter(d >= start if inclusive else d > start)
+    return _prune_months(df, start).filter(d >= start if inclusive else d > start)
 
 
 def month_spine(df: DataFrame, date_col: str = "sales_date") -> DataFrame:
@@ -149,7 +169,7 @@ def consistent_top_periods(df: DataFrame, k: int = 3, min_years: int | None = No
     counts = ranked.filter(F.col("ranking") <= k).groupBy("month").agg(
         F.count(F.lit(1)).alias(name))
     if min_years is None:
-        need = per.agg(F.countDistinct("year").alias("n")).scalar()
+        need = per.agg(F.countDistinct("year").alias("n")).scalar()  # a few years: one tiny job
         return counts.filter(F.col(name) == need)
     return counts.filter(F.col(name) >= F.lit(min_years))
 
@@ -167,7 +187,10 @@ def promotion_months(df: DataFrame, as_written: bool = False,
     per = df.groupBy(F.month("sales_date").cast("int").alias("month")).agg(
         money_sum(revenue()).alias("revenue"))
     ranked = rank_groups(per, [("revenue", True)], "ranking", bounded=True)
-    top = F.lit(12) if as_written else ranked.agg(F.max("ranking")).scalar()
+    # at most 12 rows: the highest rank present is a window over all of them
+    top = F.lit(12) if as_written else F.max("ranking").over(Window.partitionBy())
+    ranked = ranked.withColumn("__top", top)
+    top = F.col("__top")
     labelled = ranked.withColumn(
         "promotion_strategy",
         F.when(F.col("ranking") == 1, F.lit(labels[0])).when(F.col("ranking") == top, F.lit(labels[1])))

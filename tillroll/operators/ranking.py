@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.measures import percent
 from tillroll.operators import ordered
-from tillroll.operators.grouping import scalar_of
+from tillroll.operators.grouping import over_all, scalar_of
 
 
 def _w(order, partition=()):
@@ -71,7 +71,7 @@ def pareto(df: DataFrame, value: str, pct: float = 80.0, include_crossing: bool
     """
     order = [(value, False)]
     with_cum = running_total(df, value, order, cumulative_name, bounded=bounded)
-    total = scalar_of(df, F.sum(value))
+    total = over_all(df, F.sum(value), bounded)
     out = (with_cum.withColumn(total_name, total)
            .withColumn(percent_name, percent(F.col(cumulative_name), F.col(total_name), 2)))
     if not include_crossing:

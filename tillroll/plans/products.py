@@ -81,13 +81,13 @@ def rank_in_category(model: RetailModel) -> DataFrame:
 def market_share(model: RetailModel) -> DataFrame:
     """Q34: each product's share of total revenue."""
     per = revenue_by(model.sales_view(), "product_name", "revenue")
-    return share_of_total(per, "revenue", "market_share_percent", 2)
+    return share_of_total(per, "revenue", "market_share_percent", 2, bounded=model.bounded_by("products"))
 
 
 def above_average_products(model: RetailModel, round_avg: int | None = 2) -> DataFrame:
     """Q35: products whose revenue exceeds the (rounded) mean product revenue."""
     per = revenue_by(model.sales_view(), "product_name", "revenue")
-    return versus_average(per, "revenue", "above", round_avg)
+    return versus_average(per, "revenue", "above", round_avg, bounded=model.bounded_by("products"))
 
 
 def median_daily_sales(model: RetailModel, measure: str = "count", as_written: bool = False,

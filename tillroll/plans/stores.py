@@ -33,7 +33,7 @@ def store_ranking(model: RetailModel) -> DataFrame:
 def stores_below_average(model: RetailModel) -> DataFrame:
     """Q15."""
     per = revenue_by(model.sales_view(), "store_name", "revenue_per_store")
-    return versus_average(per, "revenue_per_store", "below")
+    return versus_average(per, "revenue_per_store", "below", bounded=model.bounded_by("stores"))
 
 
 def best_city(model: RetailModel, k: int = 1) -> DataFrame:

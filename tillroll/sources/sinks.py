@@ -28,7 +28,10 @@ def write_clean(tables: dict[str, DataFrame], path: str, mode: str = "overwrite"
 
 
 def read_clean(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The cleaned tables. ``sales`` keeps its ``sales_month`` partition column last, so
+    trailing-window filters can prune month directories at runtime."""
     root = path.rstrip("/")
     out = {name: spark.read.parquet(f"{root}/{name}") for name in TABLES}
-    out["sales"] = out["sales"].select("sale_id", "sales_date", "store_id", "product_id", "unit")
+    out["sales"] = out["sales"].select("sale_id", "sales_date", "store_id", "product_id", "unit",
+                                       PARTITION_COLUMN)
     return out
