@@ -1,9 +1,8 @@
 """Every question as a callable ``(spark, sf_dir) -> DataFrame`` on the driver's tables.
 
-Thresholds are the reference constants where they fit the test tables; where the test
-tables' money scale differs (TPC-H prices are ~100x toy prices) the thresholds listed in
-``DRIVER_ARGS`` keep the questions selective. Operators keep the reference values as
-their defaults.
+Thresholds are the original constants where they fit the test tables. Where the test
+tables' money scale differs (their prices are ~100x larger), the arguments below keep the
+questions selective; every operator keeps the original constants as its defaults.
 """
 
 from __future__ import annotations
