@@ -21,12 +21,21 @@ def test_no_cartesian_no_python(spark, key):
         assert bad not in plan, (key, bad)
 
 
-def test_top_k_per_group_uses_window_group_limit(spark):
-    df = queries()["q32"](spark, SF_SMALL)
+@pytest.mark.parametrize("key", ["q32", "q38f"])
+def test_top_k_per_group_uses_window_group_limit(spark, key):
+    df = queries()[key](spark, SF_SMALL)
     df.collect()
     assert "WindowGroupLimit" in plan_text(df)
 
 
+def test_factor_comparison_is_one_scan(spark):
+    df = queries()["q38f"](spark, SF_SMALL)
+    df.collect()
+    final = plan_text(df).split("== Initial Plan ==")[0]
+    assert "Expand" in final
+    assert final.count("lineitem.parquet") == 1
+
+
 def test_scan_reads_only_needed_columns(spark):
     df = queries()["q1"](spark, SF_SMALL)
     df.collect()
