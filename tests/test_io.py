@@ -85,3 +85,11 @@ def test_partitioned_layout_prunes_and_matches(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(sales_month" in plan and "subquery" in plan.lower()
+
+
+def test_cluster_conf_bounds():
+    from tillroll.session import MAX_SHUFFLE_PARTITIONS, cluster_conf
+    big = cluster_conf(100 << 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == MAX_SHUFFLE_PARTITIONS
+    small = cluster_conf(1 << 30, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 192

@@ -19,6 +19,39 @@ LOCAL_CONF = {
 }
 
 
+MAX_SHUFFLE_PARTITIONS = 65536
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Suggested settings for a cluster run over ``input_bytes`` of fact data.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of input, at least
+    3x the cores (several tasks per core) and at most ``MAX_SHUFFLE_PARTITIONS``. The cap
+    keeps the map x reduce block count manageable. The questions shuffle partial
+    aggregates, not raw rows, except for a star join with a dimension too large to
+    broadcast; such a join then runs with ~1-2 GB partitions that spill. AQE
+    coalesces small partitions to the advisory size and splits skewed join partitions,
+    so a key holding a third of the rows does not become one task. Files are split at
+    the same size on read.
+    """
+    initial = min(MAX_SHUFFLE_PARTITIONS, max(3 * cores, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        # Static broadcasts only for small estimated sides; dimensions are additionally
+        # counted by RetailModel before a broadcast hint is given.
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "tillroll", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
