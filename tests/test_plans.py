@@ -12,13 +12,19 @@ def plan_text(df):
 
 
 @pytest.mark.parametrize("key", list(QUESTIONS))
-def test_no_cartesian_no_python(spark, key):
+def test_plan_shape(spark, key):
     df = queries()[key](spark, SF_SMALL)
     df.collect()
     plan = plan_text(df)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "PythonUDF"):
         assert bad not in plan, (key, bad)
+    # No single-partition stage over raw rows: whatever is gathered into one partition
+    # has been aggregated first (a partial aggregate, or grouped rows of proven size).
+    lines = plan.split("== Initial Plan ==")[0].split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert "Aggregate" in lines[i + 1], (key, lines[i + 1])
 
 
 @pytest.mark.parametrize("key", ["q32", "q38f"])
