@@ -25,3 +25,16 @@ def test_large_path_matches_oracle(spark, large_model, key):
     res = compare(spark, SF_ORACLE, [key], verbose=False, model=large_model)[key]
     assert res["ok"], res["problems"]
     assert not large_model.is_small("products") and not large_model.is_small("stores")
+
+
+@pytest.mark.parametrize("key", ["q4", "q14", "q18", "q31", "q34", "q15"])
+def test_large_path_plans_gather_only_aggregates(spark, large_model, key):
+    from tillroll.plans.registry import QUESTIONS
+    df = QUESTIONS[key](large_model)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    lines = plan.split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert "Aggregate" in lines[i + 1], (key, lines[i + 1])
