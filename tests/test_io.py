@@ -81,10 +81,19 @@ def test_partitioned_layout_prunes_and_matches(spark):
     same(lambda m: seasons.last_month_trend(m), "trend", "last_month", "previous_month")
     same(lambda m: inventory.unsold_products(m, 30, "view"), "product_id")
     same(lambda m: inventory.overstock(m, 90, 5), "product_name", "total_stock", "units_sold_90d")
-    df = seasons.last_month_trend(pq)
+    df = seasons.last_month_trend(pq)  # eager latest date: a static partition filter
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(sales_month" in plan and "subquery" in plan.lower()
+    assert "PartitionFilters: [isnotnull(sales_month" in plan and ">= 2023-01)" in plan
+    spark.conf.set("tillroll.windows.eagerLatest", "false")  # lazy: pruned at runtime
+    try:
+        same(lambda m: seasons.last_month_trend(m), "trend", "last_month", "previous_month")
+        df = seasons.last_month_trend(pq)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(sales_month" in plan and "subquery" in plan.lower()
+    finally:
+        spark.conf.unset("tillroll.windows.eagerLatest")
 
 
 def test_cluster_conf_bounds():

@@ -57,3 +57,11 @@ def test_entry_smoke(spark):
     assert df.columns == ["store_id", "product_name", "revenue", "rank_product"]
     assert df.count() > 0
     assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+def test_window_bound_reaches_parquet(spark):
+    """The trailing-window bound is a literal, so the date filter is pushed to the scan."""
+    df = queries()["q26"](spark, SF_SMALL)
+    df.collect()
+    plan = plan_text(df)
+    assert "GreaterThanOrEqual(l_shipdate," in plan

@@ -18,21 +18,35 @@ from tillroll.operators.ranking import rank_groups
 PARTITION_COLUMN = "sales_month"  # 'yyyy-MM' month partition of the cleaned layout
 
 
-def latest_date(df: DataFrame, date_col: str = "sales_date") -> Column:
-    """The latest date of ``df`` as a scalar subquery.
+EAGER_CONF = "tillroll.windows.eagerLatest"
 
+
+def _eager(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get(EAGER_CONF, "true").lower() == "true"
+
+
+def latest_date(df: DataFrame, date_col: str = "sales_date", eager: bool | None = None) -> Column:
+    """The latest date of ``df``.
+
+    Eager (default, ``tillroll.windows.eagerLatest``): one small job returns the single
+    value and it enters the plan as a literal, so a window filter on it is pushed into
+    the parquet scan (row groups and files outside the window are skipped) and partition
+    filters are pruned statically. Lazy: a scalar subquery evaluated when the plan runs.
     On the month-partitioned layout the latest month is found from the partition values
     first, so the date column is read from one month's files only.
     """
     if PARTITION_COLUMN in df.columns:
         last_month = df.agg(F.max(PARTITION_COLUMN).alias("m")).scalar()
         df = df.filter(F.col(PARTITION_COLUMN) == last_month)
-    return df.agg(F.max(date_col).alias("latest")).scalar()
+    latest = df.agg(F.max(date_col).alias("latest"))
+    if eager if eager is not None else _eager(df):
+        return F.lit(latest.first()["latest"]).cast("date")
+    return latest.scalar()
 
 
 def _prune_months(df: DataFrame, start: Column) -> DataFrame:
-    """Redundant filter on the month partition column: evaluated at runtime (the bound is
-    a scalar subquery), it skips every month directory before the window."""
+    """Redundant filter on the month partition column: it skips every month directory
+    before the window (statically for a literal bound, at runtime for a subquery)."""
     if PARTITION_COLUMN in df.columns:
         return df.filter(F.col(PARTITION_COLUMN) >= F.date_format(start, "yyyy-MM"))
     return df
@@ -48,14 +62,15 @@ def window_start(latest: Column, n: int, unit: str) -> Column:
 
 def trailing_window(df: DataFrame, n: int, unit: str = "day", inclusive: bool = True,
                     date_col: str = "sales_date", anchor: DataFrame | None = None,
-                    complete_months_only: bool = False) -> DataFrame:
+                    complete_months_only: bool = False, eager: bool | None = None) -> DataFrame:
     """Rows dated within ``n`` days/months before the latest date of ``anchor`` (default: df).
 
     inclusive=True keeps ``date >= latest - n`` and False keeps ``date > latest - n``.
+    ``eager`` chooses how the latest date enters the plan (see ``latest_date``).
     complete_months_only=True keeps the ``n`` whole calendar months before the month of
     the latest date instead (no partial first or last month).
     """
-    latest = latest_date(df if anchor is None else anchor, date_col)
+    latest = latest_date(df if anchor is None else anchor, date_col, eager)
     d = F.col(date_col)
     if complete_months_only:
         end = month_start(latest)
