@@ -216,3 +216,10 @@ def test_approximate_variants_run(model):
     from tillroll.plans import stores as st
     approx = rows(st.city_expansion(model, min_profit=None, approximate=True), "store_city", "number_of_stores")
     assert approx == [("North", 1), ("South", 1)]
+
+
+def test_every_question_runs_on_the_csv_model(model):
+    """All registered questions also run on a model built from raw CSV (int keys)."""
+    from tillroll.plans.registry import QUESTIONS
+    for key, question in QUESTIONS.items():
+        question(model).collect()

@@ -14,7 +14,7 @@ executor. These operators compute the same results with range partitioning:
 
 Peer rows (equal ordering keys) are first collapsed with a ``groupBy`` on the key, so a
 key that holds a third of all rows is one row in the ordered pass and is re-attached by
-an equi-join (AQE splits that join if it is skewed).
+an equi-join (a plain shuffle-able join; AQE skew-join handling is enabled for it).
 """
 
 from __future__ import annotations
