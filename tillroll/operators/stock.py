@@ -88,7 +88,9 @@ def turnover(model: RetailModel, fast: float = 3, slow: float = 6,
     the products table; ``as_written`` leaves its name NULL.
     """
     view = model.sales_view()
-    per_month = view.groupBy("product_id", "product_name", F.year("sales_date").alias("year"),
+    # The name depends on the product id: group on the id (an integer) and attach the
+    # name once per product afterwards.
+    per_month = view.groupBy("product_id", F.year("sales_date").alias("year"),
                              F.month("sales_date").alias("month")).agg(
         F.sum("unit").alias("number_of_sales"))
     if zero_fill:
@@ -96,14 +98,14 @@ def turnover(model: RetailModel, fast: float = 3, slow: float = 6,
         per_month_count = months
     else:
         per_month_count = F.count(F.lit(1))
-    avg = per_month.groupBy("product_id", "product_name").agg(
+    avg = per_month.groupBy("product_id").agg(
         ratio(F.sum("number_of_sales"), per_month_count).alias("average"))
     stock = stock_per_product(model)
-    joined = stock.join(avg, "product_id", "left")
-    if not as_written:
-        names = model.dim("products").select("product_id", F.col("product_name").alias("__name"))
-        joined = (joined.join(names, "product_id", "left")
-                  .withColumn("product_name", F.coalesce("product_name", "__name")).drop("__name"))
+    names = model.dim("products").select("product_id", "product_name")
+    joined = stock.join(avg, "product_id", "left").join(names, "product_id", "left")
+    if as_written:  # the original takes the name from the sales side: NULL for dead stock
+        joined = joined.withColumn("product_name",
+                                   F.when(F.col("average").isNotNull(), F.col("product_name")))
     turns = ratio(F.col("total_stock"), F.col("average"))
     label = classify([(turns < fast, labels[0]), (turns.between(fast, slow), labels[1]),
                       (turns > slow, labels[2])], labels[3])
