@@ -16,6 +16,8 @@ LOCAL_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "12g",
+    # Remove checkpoint files (range-partitioned intermediates) once nothing references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -49,6 +51,7 @@ def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256
         # counted by RetailModel before a broadcast hint is given.
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
