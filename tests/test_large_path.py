@@ -13,11 +13,25 @@ KEYS = ["s5", "q0_corrected", "q0_as_written", "q3", "q4", "q14", "q18", "q25",
         "q30", "q31", "q32", "q39", "q41", "q15", "q34", "q35"]
 
 
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
 @pytest.fixture(scope="module")
 def large_model(spark):
+    """No dimension passes the counted check and Spark may not broadcast on its own either
+    (the dimensions are small in fact, and AQE would otherwise broadcast them)."""
+    old = {k: spark.conf.get(k, None) for k in NO_BROADCAST}
+    for k, v in NO_BROADCAST.items():
+        spark.conf.set(k, v)
     model = RetailModel.from_tables(spark, td.testdata_tables(spark, SF_ORACLE))
     model.broadcast_max_rows = 10
-    return model
+    yield model
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -38,3 +52,10 @@ def test_large_path_plans_gather_only_aggregates(spark, large_model, key):
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             assert "Aggregate" in lines[i + 1], (key, lines[i + 1])
+
+
+def test_large_path_star_join_shuffles(large_model):
+    df = large_model.sales_view().groupBy("store_name").count()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

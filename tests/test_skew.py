@@ -30,8 +30,24 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
 @pytest.mark.parametrize("key", ["q13", "q14", "q18", "q32", "q38a", "q40", "q41", "q0_corrected"])
-def test_hot_store_same_results_both_paths(models, key):
+def test_hot_store_same_results_both_paths(spark, models, key):
     small, large = models
-    assert rows(QUESTIONS[key](small)) == rows(QUESTIONS[key](large))
+    want = rows(QUESTIONS[key](small))
+    old = {k: spark.conf.get(k, None) for k in NO_BROADCAST}
+    for k, v in NO_BROADCAST.items():
+        spark.conf.set(k, v)
+    try:
+        got = rows(QUESTIONS[key](large))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == want
 
