@@ -223,3 +223,10 @@ def test_every_question_runs_on_the_csv_model(model):
     from tillroll.plans.registry import QUESTIONS
     for key, question in QUESTIONS.items():
         question(model).collect()
+
+
+def test_csv_model_keeps_quarantine(spark):
+    p = write_fixture(extra_sales=["30,2/30/2023,1,1,1"])
+    m = RetailModel.from_csv(spark, p["sales"], p["products"], p["stores"], p["inventory"])
+    assert [r.sale_id for r in m.quarantine["sales"].collect()] == [30]
+    assert m.sales.filter(F.col("sale_id") == 30).count() == 0

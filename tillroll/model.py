@@ -8,14 +8,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.schemas import PARTITION_COLUMN
+
 # A dimension is broadcast only when its counted row total is within this bound
 # (a few narrow columns: well under 100 MB per executor). Larger dimensions take a
 # shuffle join, which AQE may still demote to a broadcast at runtime from real sizes.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_CONF = "tillroll.broadcast.maxRows"
 
-PARTITION_COLUMN = "sales_month"  # month partition of the cleaned parquet layout ('yyyy-MM')
-
 VIEW_COLUMNS = [
     "sale_id", "store_id", "product_id", "unit", "sales_date",
     "store_name", "store_city", "store_location", "store_open_date",
@@ -30,6 +30,7 @@ class RetailModel:
     stores: DataFrame
     inventory: DataFrame
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
+    quarantine: dict | None = field(default=None, repr=False)  # rejected raw rows (CSV path)
     _small: dict = field(default_factory=dict, repr=False)
     _view: DataFrame | None = field(default=None, repr=False)
 
@@ -56,8 +57,10 @@ class RetailModel:
             "stores": delimited.read_stores(spark, stores),
             "inventory": delimited.read_inventory(spark, inventory),
         }
-        clean, _quarantine = clean_raw_tables(raw)
-        return cls.from_tables(spark, clean)
+        clean, quarantine = clean_raw_tables(raw)
+        model = cls.from_tables(spark, clean)
+        model.quarantine = quarantine
+        return model
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, path: str) -> "RetailModel":

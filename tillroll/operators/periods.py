@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.dates import month_label, month_name, month_start
 from tillroll.functions.measures import money_sum, ratio, revenue, round_half_up
 from tillroll.operators.ranking import rank_groups
-
-
-PARTITION_COLUMN = "sales_month"  # 'yyyy-MM' month partition of the cleaned layout
+from tillroll.sources.schemas import PARTITION_COLUMN
 
 
 EAGER_CONF = "tillroll.windows.eagerLatest"

@@ -7,6 +7,7 @@ declared as integers so that a malformed key becomes NULL plus a corrupt-record
 from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt_record"
+PARTITION_COLUMN = "sales_month"  # 'yyyy-MM' month partition of the cleaned sales layout
 
 
 def _fields(*cols):

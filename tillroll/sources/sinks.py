@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.schemas import PARTITION_COLUMN
+
 TABLES = ("sales", "products", "stores", "inventory")
-PARTITION_COLUMN = "sales_month"
 
 
 def write_clean(tables: dict[str, DataFrame], path: str, mode: str = "overwrite") -> None:

@@ -16,8 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.operators.cleaning import parse_date
 from tillroll.session import ensure_checkpoint_dir
-from tillroll.sources.schemas import CORRUPT_COLUMN, SALES_RAW
-from tillroll.sources.sinks import PARTITION_COLUMN
+from tillroll.sources.schemas import CORRUPT_COLUMN, PARTITION_COLUMN, SALES_RAW
 
 
 def sales_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
