@@ -51,3 +51,31 @@ def test_hot_store_same_results_both_paths(spark, models, key):
                 spark.conf.set(k, v)
     assert got == want
 
+
+
+def test_hot_store_join_is_split(spark):
+    """With the fact read by several tasks (as any large input is), AQE splits the hot
+    store's join partition into several tasks."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+            "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+            **NO_BROADCAST}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        tables = skewed_tables(spark)
+        tables["sales"] = tables["sales"].repartition(8)  # several input splits
+        model = RetailModel.from_tables(spark, tables)
+        model.broadcast_max_rows = 10
+        df = model.sales.join(model.dim("stores"), "store_id")
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -11,6 +11,9 @@ LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even when Spark estimates the split costs one more shuffle:
+    # the star join's other side comes from joins of its own, and Spark then declines.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -47,6 +50,7 @@ def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         # Static broadcasts only for small estimated sides; dimensions are additionally
         # counted by RetailModel before a broadcast hint is given.
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
