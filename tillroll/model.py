@@ -77,8 +77,10 @@ class RetailModel:
         """Counted (not estimated) size check of a dimension, done once per model."""
         if name not in self._small:
             df = getattr(self, name)
-            # limit(n+1).count() stops scanning as soon as the bound is exceeded.
-            n = df.limit(self.broadcast_max_rows + 1).count()
+            # A plain count: each task ships one partial count (on parquet without reading
+            # column data). ``limit(n+1).count()`` would instead gather up to n+1 rows
+            # from every task into a single partition before limiting.
+            n = df.count()
             self._small[name] = n <= self.broadcast_max_rows
         return self._small[name]
 
