@@ -61,3 +61,19 @@ def round_half_up(c, digits: int = 2) -> Column:
 def percent(num, den, digits: int | None = 2) -> Column:
     value = ratio(num, den) * F.lit(100.0)
     return value if digits is None else round_half_up(value, digits)
+
+
+# ---- grain-agnostic counts -------------------------------------------------------
+# A frame at daily grain carries ``lines`` (sales lines per row); at line grain every
+# row is one line. These helpers give the same numbers on either grain.
+LINES = "lines"
+
+
+def line_count(df) -> Column:
+    """Number of sales lines (``count(*)`` at line grain)."""
+    return F.sum(LINES).cast("bigint") if LINES in df.columns else F.count(F.lit(1))
+
+
+def per_line_sum(df, expr) -> Column:
+    """Sum of a per-line expression, e.g. ``price - cost`` for a per-line mean."""
+    return F.sum(_col(expr) * F.col(LINES)) if LINES in df.columns else F.sum(_col(expr))

@@ -31,8 +31,11 @@ class RetailModel:
     inventory: DataFrame
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
     quarantine: dict | None = field(default=None, repr=False)  # rejected raw rows (CSV path)
+    grain: str = "line"  # "line": one row per sale line; "daily": the (store, product, day) rollup
+    daily_table: DataFrame | None = field(default=None, repr=False)  # a written rollup, if any
     _small: dict = field(default_factory=dict, repr=False)
     _view: DataFrame | None = field(default=None, repr=False)
+    _line_view: DataFrame | None = field(default=None, repr=False)
 
     # ---- construction -------------------------------------------------------------
     @classmethod
@@ -63,9 +66,15 @@ class RetailModel:
         return model
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, path: str) -> "RetailModel":
-        from tillroll.sources.sinks import read_clean
-        return cls.from_tables(spark, read_clean(spark, path))
+    def from_parquet(cls, spark: SparkSession, path: str, grain: str = "line") -> "RetailModel":
+        """The cleaned layout written by ``write_clean``; ``grain='daily'`` answers from the
+        written daily rollup when present (else the rollup is computed on the fly)."""
+        from tillroll.sources.sinks import read_clean, read_daily
+        model = cls.from_tables(spark, read_clean(spark, path))
+        model.grain = grain
+        if grain == "daily":
+            model.daily_table = read_daily(spark, path)
+        return model
 
     def tables(self) -> dict[str, DataFrame]:
         sales = self.sales.drop(PARTITION_COLUMN) if PARTITION_COLUMN in self.sales.columns else self.sales
@@ -100,26 +109,58 @@ class RetailModel:
         single-task window over it is safe)."""
         return self.is_small(name)
 
+    # ---- grain ----------------------------------------------------------------------
+    def daily(self) -> DataFrame:
+        """The (store, product, day) rollup: summed units and the number of sales lines.
+
+        Every question except the line-level ones (sale ids, single-line values) gives
+        the same result from it, and it is far smaller when many sales share a store,
+        product and day. Written once next to the cleaned tables (``write_clean``), it is
+        read instead of the line-level fact.
+        """
+        if self.daily_table is None:
+            keys = ["store_id", "product_id", "sales_date"]
+            keys += [c for c in (PARTITION_COLUMN,) if c in self.sales.columns]
+            self.daily_table = self.sales.groupBy(*keys).agg(
+                F.sum("unit").alias("unit"), F.count(F.lit(1)).alias("lines"))
+        return self.daily_table
+
+    def fact(self) -> DataFrame:
+        """The fact table at the model's grain."""
+        return self.daily() if self.grain == "daily" else self.sales
+
     # ---- the star view ------------------------------------------------------------
-    def sales_view(self) -> DataFrame:
-        """One row per sale whose store and product both exist (two inner joins).
+    def _star(self, fact: DataFrame, columns: list[str]) -> DataFrame:
+        joined = (fact.join(self.dim("stores"), "store_id", "inner")
+                  .join(self.dim("products"), "product_id", "inner"))
+        extra = [c for c in (PARTITION_COLUMN,) if c in fact.columns]
+        return joined.select(*columns, *extra)
+
+    def line_view(self) -> DataFrame:
+        """One row per sale line whose store and product both exist (two inner joins).
 
         On the month-partitioned layout the partition column ``sales_month`` is carried
         as a 14th column so that trailing windows can prune partitions.
         """
+        if self._line_view is None:
+            self._line_view = self._star(self.sales, VIEW_COLUMNS)
+        return self._line_view
+
+    def sales_view(self) -> DataFrame:
+        """The star view at the model's grain. At daily grain there is no ``sale_id`` and
+        ``unit`` is the day's total, with ``lines`` counting the sales lines."""
+        if self.grain != "daily":
+            return self.line_view()
         if self._view is None:
-            joined = (self.sales
-                      .join(self.dim("stores"), "store_id", "inner")
-                      .join(self.dim("products"), "product_id", "inner"))
-            extra = [c for c in (PARTITION_COLUMN,) if c in self.sales.columns]
-            self._view = joined.select(*VIEW_COLUMNS, *extra)
+            cols = [c for c in VIEW_COLUMNS if c != "sale_id"] + ["lines"]
+            self._view = self._star(self.daily(), cols)
         return self._view
 
     def sales_with_products(self) -> DataFrame:
-        """sales x products only (the questions that bypass the view keep orphan stores)."""
-        return self.sales.join(self.dim("products"), "product_id", "inner")
+        """fact x products only (the questions that bypass the view keep orphan stores)."""
+        return self.fact().join(self.dim("products"), "product_id", "inner")
 
     def register(self, prefix: str = "") -> None:
         for name, df in self.tables().items():
             df.createOrReplaceTempView(prefix + name)
-        self.sales_view().createOrReplaceTempView(prefix + "store_sales_products")
+        self.line_view().createOrReplaceTempView(prefix + "store_sales_products")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def many_to_many_sums(left: DataFrame, right: DataFrame, keys: Sequence[str],
                       left_sums: Sequence[str], right_sums: Sequence[str],
-                      how: str = "inner") -> DataFrame:
+                      how: str = "inner", left_weight: str | None = None) -> DataFrame:
     """Per key, the sums a many-to-many join ``left JOIN right USING (keys)`` would give,
     without producing the joined rows.
 
@@ -19,10 +19,13 @@ def many_to_many_sums(left: DataFrame, right: DataFrame, keys: Sequence[str],
     aggregates (one row per key) are joined, so the cost is linear in the inputs even
     when one key holds a third of both sides.
     Output: keys, one column per summed input (same names), ``left_rows``, ``right_rows``.
+    ``left_weight`` names a column holding how many original rows each left row stands
+    for (a pre-aggregated left side).
     """
     keys = list(keys)
+    left_rows = F.sum(left_weight) if left_weight else F.count(F.lit(1))
     la = left.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in left_sums],
-                                 F.count(F.lit(1)).alias("left_rows"))
+                                 left_rows.alias("left_rows"))
     ra = right.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in right_sums],
                                   F.count(F.lit(1)).alias("right_rows"))
     joined = la.join(ra, keys, how)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import month_label, month_name, month_start
-from tillroll.functions.measures import money_sum, ratio, revenue, round_half_up
+from tillroll.functions.measures import line_count, money_sum, ratio, revenue, round_half_up
 from tillroll.operators.ranking import rank_groups
 from tillroll.sources.schemas import PARTITION_COLUMN
 
@@ -117,7 +117,7 @@ def declining(df: DataFrame, key: str, months: int = 3, count_name: str = "sales
     recent = trailing_window(df, months, "month", inclusive=True,
                              complete_months_only=complete_months_only)
     per_month = recent.groupBy(key, month_start("sales_date").alias("m")).agg(
-        F.count(F.lit(1)).alias(count_name))
+        line_count(recent).alias(count_name))
     if zero_fill:
         last = recent.agg(month_start(F.max("sales_date")).alias("v")).scalar()
         shifted = (per_month.select(key, F.add_months("m", 1).alias("m"), F.lit(0).cast("bigint").alias(count_name))
@@ -239,7 +239,7 @@ def median_by(df: DataFrame, part: str, period: str = "sales_date", measure: str
     as_written reproduces the original query's running-count selection; approximate
     uses percentile_approx (bounded memory per group whatever the number of values).
     """
-    value = F.count(F.lit(1)) if measure == "count" else money_sum(revenue())
+    value = line_count(df) if measure == "count" else money_sum(revenue())
     per = df.groupBy(period, part).agg(value.alias("number"))
     if approximate:  # fixed-size sketch per group, for very many distinct values
         return per.groupBy(part).agg(F.percentile_approx("number", 0.5).cast("double").alias(name))

@@ -64,7 +64,7 @@ def overstock(model: RetailModel, days: int = 90, ratio_limit: int = 5) -> DataF
 
     Sales come from the fact table (orphan stores included); unsold counts as zero.
     """
-    sold = units_sold_recent(model.sales, days)
+    sold = units_sold_recent(model.fact(), days)
     products = model.dim("products").select("product_id", "product_name")
     base = products.join(stock_per_product(model), "product_id", "inner")
     out = base.join(sold, "product_id", "left").withColumn(
@@ -137,7 +137,7 @@ def unsold_products(model: RetailModel, days: int = 90, source: str = "sales",
     source='sales' judges from the fact table, 'view' from the star view (orphans dropped).
     method='not_in' keeps SQL NOT IN semantics; 'left_anti' ignores NULL keys (null-safe).
     """
-    facts = model.sales if source == "sales" else model.sales_view()
+    facts = model.fact() if source == "sales" else model.sales_view()
     sold = trailing_window(facts, days, "day", inclusive=inclusive).select("product_id").distinct()
     products = model.products.select("product_id", "product_name")
     if method == "left_anti":
@@ -192,9 +192,10 @@ def stock_consistency(model: RetailModel, days: int = 90, as_written: bool = Fal
     recent = trailing_window(view, days, "day", inclusive=inclusive)
     if as_written:
         names = model.dim("stores").select("store_id", "store_name")
-        fanned = many_to_many_sums(recent.select("store_id", "unit"),
+        weight = "lines" if "lines" in recent.columns else None
+        fanned = many_to_many_sums(recent.select("store_id", "unit", *([weight] if weight else [])),
                                    model.inventory.select("store_id", "stock_on_hand"),
-                                   ["store_id"], ["unit"], ["stock_on_hand"])
+                                   ["store_id"], ["unit"], ["stock_on_hand"], left_weight=weight)
         out = fanned.join(names, "store_id", "inner").groupBy("store_name").agg(
             F.sum("unit").cast("bigint").alias("total_sales_90d"),
             F.sum("stock_on_hand").cast("bigint").alias("current_stock"))

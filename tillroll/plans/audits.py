@@ -15,7 +15,7 @@ from tillroll.operators import cleaning, quality
 
 
 def star_view(model: RetailModel) -> DataFrame:
-    return model.sales_view()
+    return model.line_view()
 
 
 def null_store_keys(model: RetailModel) -> DataFrame:
@@ -68,7 +68,7 @@ def negative_units(model: RetailModel) -> DataFrame:
 
 
 def distinct_units(model: RetailModel) -> DataFrame:
-    return quality.distinct_values(model.sales_view(), "unit")
+    return quality.distinct_values(model.line_view(), "unit")
 
 
 # ---- cleaning checks ---------------------------------------------------------------

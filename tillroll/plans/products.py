@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.measures import (
-    money_sum, percent, profit, ratio, revenue, round_half_up, unit_margin,
+    line_count, money_sum, per_line_sum, percent, profit, ratio, revenue, round_half_up, unit_margin,
 )
 from tillroll.functions.rules import bucketize, classify
 from tillroll.model import RetailModel
@@ -20,11 +20,12 @@ from tillroll.operators.ranking import rank_within
 def high_volume_low_profit(model: RetailModel, min_units: int = 5000,
                            max_profit: int = 20000) -> DataFrame:
     """Q7: products selling more than ``min_units`` units with profit below ``max_profit``."""
-    per = model.sales_view().groupBy("product_name").agg(
+    view = model.sales_view()
+    per = view.groupBy("product_name").agg(
         money_sum(revenue()).alias("revenue"),
         F.sum("unit").cast("bigint").alias("total_units_sold"),
         money_sum(profit()).alias("total_profit"),
-        round_half_up(ratio(F.sum(unit_margin()), F.count(F.lit(1))), 2).alias("unit_profit_margin"))
+        round_half_up(ratio(per_line_sum(view, unit_margin()), line_count(view)), 2).alias("unit_profit_margin"))
     return per.filter((F.col("total_units_sold") > min_units) & (F.col("total_profit") < max_profit))
 
 
@@ -55,8 +56,8 @@ def best_margin(model: RetailModel, k: int = 1) -> DataFrame:
     then sum(count x ratio) / sum(count): the same value, computed without a long
     order-dependent sum of doubles. Ranking uses the unrounded mean, then the name.
     """
-    combos = model.sales_view().groupBy("product_name", "product_price", "product_cost").agg(
-        F.count(F.lit(1)).alias("n"))
+    view = model.sales_view()
+    combos = view.groupBy("product_name", "product_price", "product_cost").agg(line_count(view).alias("n"))
     row_margin = ratio(F.col("product_price") - F.col("product_cost"), F.col("product_price")) * F.lit(100.0)
     per = (combos.withColumn("m", row_margin * F.col("n"))
            .groupBy("product_name").agg(ratio(F.sum("m"), F.sum("n")).alias("mean_margin")))
@@ -109,9 +110,10 @@ def discontinue_candidates(model: RetailModel, revenue_edges: Sequence = (10000,
 
     The original computes two aggregations with the same key; here they are one groupBy.
     """
-    per = model.sales_view().groupBy("product_id").agg(
+    view = model.sales_view()
+    per = view.groupBy("product_id").agg(
         money_sum(revenue()).alias("total_revenue"),
-        ratio(F.sum(unit_margin()), F.count(F.lit(1))).alias("profit"))
+        ratio(per_line_sum(view, unit_margin()), line_count(view)).alias("profit"))
     per = (per.withColumn("revenue_status", bucketize("total_revenue", revenue_edges, REVENUE_STATUS, False))
               .withColumn("profit_status", bucketize("profit", profit_edges, PROFIT_STATUS, False)))
     names = model.dim("products").select("product_id", "product_name")

@@ -46,8 +46,8 @@ def pareto_products(model: RetailModel, pct: float = 80, include_crossing: bool
 
 
 def average_per_order(model: RetailModel, order_key: str = "sale_id") -> DataFrame:
-    """Q5: mean line revenue per order."""
-    return avg_per_group(model.sales_view(), order_key, revenue(), "average_per_order")
+    """Q5: mean line revenue per order (always at line grain: needs the order key)."""
+    return avg_per_group(model.line_view(), order_key, revenue(), "average_per_order")
 
 
 def price_band_share(model: RetailModel, edges: Sequence = PRICE_BAND_EDGES,

@@ -100,7 +100,7 @@ def city_expansion(model: RetailModel, high: float = 80000, mid: float = 60000,
     ``approximate=True`` counts distinct stores and transactions with HyperLogLog++
     sketches (fixed memory, no Expand of the rows) instead of exact distinct counts.
     """
-    view = model.sales_view()
+    view = model.line_view()  # distinct transactions need the sale id (line grain)
     distinct = F.approx_count_distinct if approximate else F.countDistinct
     per = view.groupBy("store_city").agg(
         distinct("store_id").alias("number_of_stores"),

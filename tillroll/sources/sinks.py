@@ -14,8 +14,16 @@ from tillroll.sources.schemas import PARTITION_COLUMN
 TABLES = ("sales", "products", "stores", "inventory")
 
 
-def write_clean(tables: dict[str, DataFrame], path: str, mode: str = "overwrite") -> None:
+def write_clean(tables: dict[str, DataFrame], path: str, mode: str = "overwrite",
+                daily: DataFrame | None = None) -> None:
+    """Write the four cleaned tables; ``daily`` (``RetailModel.daily()``) is written too,
+    as ``sales_daily`` partitioned by month like the sales table."""
     root = path.rstrip("/")
+    if daily is not None:
+        d = daily if PARTITION_COLUMN in daily.columns else daily.withColumn(
+            PARTITION_COLUMN, F.date_format("sales_date", "yyyy-MM"))
+        (d.sortWithinPartitions(PARTITION_COLUMN).write.mode(mode)
+         .partitionBy(PARTITION_COLUMN).parquet(f"{root}/sales_daily"))
     for name in TABLES:
         df = tables[name]
         writer = df.write.mode(mode)
@@ -36,3 +44,14 @@ def read_clean(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     out["sales"] = out["sales"].select("sale_id", "sales_date", "store_id", "product_id", "unit",
                                        PARTITION_COLUMN)
     return out
+
+
+def read_daily(spark: SparkSession, path: str) -> DataFrame | None:
+    """The written daily rollup, or None when the layout has none."""
+    from pyspark.errors import AnalysisException
+    try:
+        daily = spark.read.parquet(f"{path.rstrip('/')}/sales_daily")
+    except AnalysisException:  # no rollup written: computed from the sales table instead
+        return None
+    return daily.select("store_id", "product_id", "sales_date", "unit", "lines",
+                                             PARTITION_COLUMN)
