@@ -1,7 +1,8 @@
 """Column-level building blocks (all JVM-side ``pyspark.sql.functions``)."""
 
 from tillroll.functions.measures import (
-    MONEY, money, money_sum, profit, ratio, revenue, round_half_up, unit_margin,
+    LINES, MONEY, line_count, money, money_sum, per_line_sum, percent, profit, ratio, revenue,
+    round_half_up, unit_margin,
 )
 from tillroll.functions.rules import bucketize, classify
 from tillroll.functions.dates import (
@@ -9,7 +10,8 @@ from tillroll.functions.dates import (
 )
 
 __all__ = [
-    "MONEY", "money", "money_sum", "profit", "ratio", "revenue", "round_half_up", "unit_margin",
+    "LINES", "MONEY", "line_count", "money", "money_sum", "per_line_sum", "percent", "profit", "ratio",
+    "revenue", "round_half_up", "unit_margin",
     "bucketize", "classify", "day_name", "month_label", "month_name", "month_start",
     "parse_us_date", "short_month_label",
 ]
