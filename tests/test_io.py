@@ -102,3 +102,34 @@ def test_cluster_conf_bounds():
     assert int(big["spark.sql.shuffle.partitions"]) == MAX_SHUFFLE_PARTITIONS
     small = cluster_conf(1 << 30, 64)
     assert int(small["spark.sql.shuffle.partitions"]) == 192
+
+
+def test_streaming_daily_rollup_parts(spark):
+    """The ingest appends one partial daily rollup per micro-batch; reading the parts
+    re-aggregates them into the same rollup as the ingested sales."""
+    from tillroll.sources.sinks import read_daily
+    inbox = tempfile.mkdtemp(prefix="tillroll-inbox-")
+    out = tempfile.mkdtemp(prefix="tillroll-stream-out-")
+    ckpt = tempfile.mkdtemp(prefix="tillroll-stream-ckpt-")
+
+    def drop_file(name, lines):
+        with open(os.path.join(inbox, name), "w", newline="") as fh:
+            fh.write("\r\n".join([SALES[0]] + lines) + "\r\n")
+
+    def check():
+        sales = spark.read.parquet(os.path.join(out, "sales"))
+        want = sorted(tuple(r) for r in sales.groupBy("store_id", "product_id", "sales_date").agg(
+            F.sum("unit").alias("u"), F.count(F.lit(1)).alias("n")).collect())
+        got = sorted(tuple(r) for r in read_daily(spark, out).select(
+            "store_id", "product_id", "sales_date", "unit", "lines").collect())
+        assert got == want
+
+    drop_file("part1.csv", SALES[1:6])
+    for q in start_sales_ingest(spark, inbox, out, ckpt, daily_rollup=True):
+        q.awaitTermination()
+    check()
+    drop_file("part2.csv", SALES[6:] + ["21,1/5/2023,1,1,3"])  # same store/product/day as sale 1
+    for q in start_sales_ingest(spark, inbox, out, ckpt, daily_rollup=True):
+        q.awaitTermination()
+    check()
+    assert len([d for d in os.listdir(os.path.join(out, "sales_daily_parts")) if d.startswith("batch_id=")]) == 2

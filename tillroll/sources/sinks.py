@@ -46,12 +46,32 @@ def read_clean(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return out
 
 
+DAILY_COLUMNS = ["store_id", "product_id", "sales_date", "unit", "lines", PARTITION_COLUMN]
+
+
 def read_daily(spark: SparkSession, path: str) -> DataFrame | None:
-    """The written daily rollup, or None when the layout has none."""
+    """The written daily rollup, or None when the layout has none.
+
+    Combines the compacted rollup (``sales_daily``, from ``write_clean``) with partial
+    rollups appended by the streaming ingest (``sales_daily_parts``): both are sums of
+    units and lines, so the parts are merged by summing per (store, product, day).
+    """
     from pyspark.errors import AnalysisException
-    try:
-        daily = spark.read.parquet(f"{path.rstrip('/')}/sales_daily")
-    except AnalysisException:  # no rollup written: computed from the sales table instead
-        return None
-    return daily.select("store_id", "product_id", "sales_date", "unit", "lines",
-                                             PARTITION_COLUMN)
+    root = path.rstrip("/")
+    found = {}
+    for name in ("sales_daily", "sales_daily_parts"):
+        try:
+            found[name] = spark.read.parquet(f"{root}/{name}").select(*DAILY_COLUMNS)
+        except AnalysisException:  # not written
+            continue
+    if not found:
+        return None  # computed from the sales table instead
+    if list(found) == ["sales_daily"]:
+        return found["sales_daily"]  # compacted: one row per (store, product, day) already
+    frames = list(found.values())
+    merged = frames[0]
+    for extra in frames[1:]:
+        merged = merged.unionByName(extra)
+    return (merged.groupBy("store_id", "product_id", "sales_date", PARTITION_COLUMN)
+            .agg(F.sum("unit").alias("unit"), F.sum("lines").alias("lines"))
+            .select(*DAILY_COLUMNS))

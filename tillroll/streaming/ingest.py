@@ -39,11 +39,29 @@ def clean_sales_stream(raw: DataFrame) -> DataFrame:
                          bad.alias("is_quarantined"))
 
 
+DAILY_PARTS = "sales_daily_parts"
+
+
+def write_daily_part(batch: DataFrame, batch_id: int, output_dir: str) -> None:
+    """One micro-batch's partial daily rollup, written to its own ``batch_id=`` folder.
+
+    Units and line counts are additive, so parts from different batches (even of the same
+    day) are merged by summing when read. Overwriting the batch's own folder makes a
+    replayed batch idempotent. No streaming state and no watermark: late rows are never
+    dropped, they land in a later part.
+    """
+    part = (batch.groupBy("store_id", "product_id", "sales_date", PARTITION_COLUMN)
+            .agg(F.sum("unit").alias("unit"), F.count(F.lit(1)).alias("lines")))
+    part.write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/{DAILY_PARTS}/batch_id={batch_id}")
+
+
 def start_sales_ingest(spark: SparkSession, input_dir: str, output_dir: str,
                        checkpoint_dir: str | None = None, available_now: bool = True,
                        processing_time: str = "1 minute",
-                       max_files_per_trigger: int | None = None) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start the clean and quarantine sinks; returns both streaming queries.
+                       max_files_per_trigger: int | None = None,
+                       daily_rollup: bool = False) -> tuple[StreamingQuery, ...]:
+    """Start the clean and quarantine sinks (and, with ``daily_rollup``, the daily-rollup
+    parts read by ``RetailModel.from_parquet(..., grain='daily')``); returns the queries.
 
     ``checkpoint_dir`` defaults to a folder under ``spark.checkpoint.dir`` (shared storage
     on a cluster). ``available_now=True`` processes what is there and stops (batch-like
@@ -67,5 +85,13 @@ def start_sales_ingest(spark: SparkSession, input_dir: str, output_dir: str,
             .select("sale_id", "sales_date", "store_id", "product_id", "unit")
             .withColumn(PARTITION_COLUMN, F.date_format("sales_date", "yyyy-MM")))
     bad = cleaned.filter(F.col("is_quarantined")).select("sale_id", "date", "store_id", "product_id", "unit")
-    return (sink(good, "sales", f"{out}/sales", PARTITION_COLUMN),
-            sink(bad, "quarantine", f"{out}/quarantine", None))
+    queries = [sink(good, "sales", f"{out}/sales", PARTITION_COLUMN),
+               sink(bad, "quarantine", f"{out}/quarantine", None)]
+    if daily_rollup:
+        writer = (good.writeStream.queryName("tillroll_sales_daily")
+                  .option("checkpointLocation", f"{root}/sales_daily")
+                  .foreachBatch(lambda batch, batch_id: write_daily_part(batch, batch_id, out)))
+        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+            processingTime=processing_time)
+        queries.append(writer.start())
+    return tuple(queries)
