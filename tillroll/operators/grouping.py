@@ -105,6 +105,16 @@ def mean_by(df: DataFrame, keys, col: str, name: str, digits: int | None = 2) ->
                                         .alias(name))
 
 
+avg_by = mean_by  # the name used for the category price question
+
+
+def revenue_by_bucket(df: DataFrame, col: str, edges, labels, right_closed: bool = False,
+                      bucket_name: str = "bucket", name: str = "revenue") -> DataFrame:
+    """Revenue per band of ``col`` (Q38d, Q38e): ``bucketize`` then ``revenue_by``."""
+    from tillroll.functions.rules import bucketize
+    return revenue_by(df, bucketize(col, edges, labels, right_closed).alias(bucket_name), name)
+
+
 def avg_per_group(df: DataFrame, keys, measure: Column, name: str) -> DataFrame:
     """Mean of a per-row measure within each group (Q5)."""
     return df.groupBy(*_keys(keys)).agg(ratio(F.sum(measure), F.count(F.lit(1))).alias(name))

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import month_name
 from tillroll.functions.measures import revenue
-from tillroll.functions.rules import bucketize
 from tillroll.model import RetailModel
-from tillroll.operators.grouping import revenue_by
+from tillroll.operators.grouping import revenue_by, revenue_by_bucket
 from tillroll.operators.periods import factor_compare
 
 # Fixed labels of the price and cost brackets.
@@ -39,15 +38,13 @@ def revenue_by_product(model: RetailModel) -> DataFrame:
 def revenue_by_price_bracket(model: RetailModel, edges: Sequence = PRICE_BRACKET_EDGES,
                              labels: Sequence[str] = PRICE_BRACKETS) -> DataFrame:
     """Q38d: brackets with exclusive upper edges."""
-    band = bucketize("product_price", edges, labels, right_closed=False).alias("price_range")
-    return revenue_by(model.sales_view(), band, "revenue")
+    return revenue_by_bucket(model.sales_view(), "product_price", edges, labels, False, "price_range")
 
 
 def revenue_by_cost_bracket(model: RetailModel, edges: Sequence = COST_BRACKET_EDGES,
                             labels: Sequence[str] = COST_BRACKETS) -> DataFrame:
     """Q38e."""
-    band = bucketize("product_cost", edges, labels, right_closed=False).alias("cost_range")
-    return revenue_by(model.sales_view(), band, "revenue")
+    return revenue_by_bucket(model.sales_view(), "product_cost", edges, labels, False, "cost_range")
 
 
 def compare_factors(model: RetailModel, k: int = 3) -> DataFrame:
