@@ -230,3 +230,12 @@ def test_csv_model_keeps_quarantine(spark):
     m = RetailModel.from_csv(spark, p["sales"], p["products"], p["stores"], p["inventory"])
     assert [r.sale_id for r in m.quarantine["sales"].collect()] == [30]
     assert m.sales.filter(F.col("sale_id") == 30).count() == 0
+
+
+def test_not_in_non_nullable_right(spark):
+    from tillroll.operators.stock import not_in
+    left = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    right = spark.createDataFrame([(1,)], "k int")
+    empty = spark.createDataFrame([], "k int")
+    assert rows(not_in(left, right, "k", right_nullable=False), "k") == [(2,)]
+    assert not_in(left, empty, "k", right_nullable=False).count() == 3

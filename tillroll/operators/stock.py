@@ -114,20 +114,25 @@ def turnover(model: RetailModel, fast: float = 3, slow: float = 6,
                          label.alias("turnover_status"))
 
 
-def not_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def not_in(left: DataFrame, right: DataFrame, key: str, right_nullable: bool = True) -> DataFrame:
     """SQL ``key NOT IN (SELECT key FROM right)``, NULL-aware, without a broadcast.
 
     A NULL on the right empties the result; a NULL on the left is kept only when the
     right side is empty. The anti join itself is an ordinary (shuffle-able) hash join.
+    ``right_nullable=False`` (keys known non-NULL, e.g. inner-join keys) replaces the
+    NULL count, a full aggregation of the right side, by an EXISTS that stops at the
+    first row.
     """
     rkeys = right.select(F.col(key).alias("__k"))
-    # Both guards from one aggregation of the right side (one scalar subquery, reused).
-    stats = rkeys.agg(F.struct(F.count_if(F.col("__k").isNull()).alias("nulls"),
-                               F.count(F.lit(1)).alias("rows")).alias("s")).scalar()
-    right_has_null = stats.getField("nulls") > 0
-    right_empty = stats.getField("rows") == 0
+    if right_nullable:
+        # Both guards from one aggregation of the right side (one scalar subquery).
+        stats = rkeys.agg(F.struct(F.count_if(F.col("__k").isNull()).alias("nulls"),
+                                   F.count(F.lit(1)).alias("rows")).alias("s")).scalar()
+        keep = ~(stats.getField("nulls") > 0) & (F.col(key).isNotNull() | (stats.getField("rows") == 0))
+    else:
+        keep = F.col(key).isNotNull() | ~rkeys.exists()
     anti = left.join(rkeys, left[key] == rkeys["__k"], "left_anti")
-    return anti.filter(~right_has_null & (F.col(key).isNotNull() | right_empty))
+    return anti.filter(keep)
 
 
 def unsold_products(model: RetailModel, days: int = 90, source: str = "sales",
@@ -142,7 +147,8 @@ def unsold_products(model: RetailModel, days: int = 90, source: str = "sales",
     products = model.products.select("product_id", "product_name")
     if method == "left_anti":
         return products.join(sold, "product_id", "left_anti")
-    return not_in(products, sold, "product_id")
+    # keys of the star view come from inner joins: never NULL
+    return not_in(products, sold, "product_id", right_nullable=source != "view")
 
 
 def dead_stock_cost(model: RetailModel, days: int = 90, source: str = "view") -> DataFrame:
