@@ -65,3 +65,8 @@ def test_window_bound_reaches_parquet(spark):
     df.collect()
     plan = plan_text(df)
     assert "GreaterThanOrEqual(l_shipdate," in plan
+
+
+def test_every_key_is_described():
+    from tillroll.plans.registry import DESCRIPTIONS
+    assert set(DESCRIPTIONS) == set(QUESTIONS)

@@ -114,3 +114,77 @@ def _bind(question: Callable[[RetailModel], DataFrame]) -> Callable[[SparkSessio
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {key: _bind(q) for key, q in QUESTIONS.items()}
+
+
+DESCRIPTIONS: dict[str, str] = {
+    "s5": "star view: sales with their store and product",
+    "a1": "audit: stores with a NULL key",
+    "a2": "audit: products with a NULL key",
+    "a3": "audit: duplicated store keys",
+    "a4": "audit: duplicated product keys",
+    "a5": "audit: duplicated sale keys with their row counts",
+    "a6": "key constraint summary: products",
+    "a7": "key constraint summary: stores",
+    "a8": "key constraint summary: sales",
+    "a9": "audit: zero prices",
+    "a10": "audit: negative prices",
+    "a11": "audit: negative quantities",
+    "a12": "distinct quantity values",
+    "c1": "cleaning: text date parsed next to its text",
+    "c2": "cleaning: idempotent date fill, parsed and quarantined counts",
+    "c3": "cleaning: sales without the text date",
+    "c4": "cleaning: ISO text open dates to dates",
+    "c5": "cleaning: currency symbol stripped from cost",
+    "c6": "cleaning: currency symbol stripped from price",
+    "c7": "cleaning: money text to decimal(10,2)",
+    "q0_corrected": "stock vs last-90-day units per store (each side aggregated once)",
+    "q0_as_written": "stock vs units per store with the original store-only join (inflated sums)",
+    "q1": "revenue per year",
+    "q2": "revenue per month and change on the previous month",
+    "q3": "top 5 products by revenue",
+    "q4": "Pareto: products making up 80 % of revenue",
+    "q5": "mean line revenue per order",
+    "q6": "revenue and share per price band",
+    "q7": "high-volume, low-profit products",
+    "q8": "10 least sold products",
+    "q9": "most profitable category",
+    "q10": "products whose monthly sales fell (last 3 months)",
+    "q11": "product with the best mean margin",
+    "q12": "mean list price per category",
+    "q13": "store with the most revenue",
+    "q14": "stores ranked by revenue",
+    "q15": "stores below the mean store revenue",
+    "q16": "city with the most revenue",
+    "q17": "gap between the best and the worst store",
+    "q18": "each store vs the store opened before it",
+    "q19": "calendar months ranked by revenue",
+    "q20": "months in the top k of enough years",
+    "q21": "weekdays ranked by revenue",
+    "q22": "12-month trend: latest vs earliest month",
+    "q23": "peak calendar month of each product",
+    "q24": "weakest and strongest calendar month",
+    "q25": "products at risk of running out of stock",
+    "q26": "products with stock far above recent sales",
+    "q27": "inventory turnover per product",
+    "q28": "products needing an urgent reorder",
+    "q29": "products unsold in the last 90 days",
+    "q30": "cost of unsold stock per store",
+    "q31": "product rank by revenue within its category",
+    "q32": "top 3 products in each store",
+    "q33": "last month vs the month before",
+    "q34": "market share of each product",
+    "q35": "products above the mean product revenue",
+    "q36": "median daily number of sales per category",
+    "q36_as_written": "the original's running-count 'median' per category",
+    "q37": "running total of monthly revenue",
+    "q38a": "revenue per store and city",
+    "q38b": "revenue per month name",
+    "q38c": "revenue per product",
+    "q38d": "revenue per price bracket",
+    "q38e": "revenue per cost bracket",
+    "q38f": "top 3 stores, months and categories, stacked",
+    "q39": "discontinue candidates: low revenue and low unit profit",
+    "q40": "store review: revenue, profit, margin, recommendation",
+    "q41": "city expansion: statistics, decision and priority",
+    "q42": "promotion candidates: good margin, slow sales",
+}
