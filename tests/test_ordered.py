@@ -53,3 +53,38 @@ def test_lag_total_order(data):
     want_d = data.withColumn("p", F.lag("val").over(Window.orderBy(F.col("id").desc())))
     got_d = ordered.lag(data, "val", [("id", False)], "p")
     assert collect(got_d, ["id", "p"]) == collect(want_d, ["id", "p"])
+
+
+# ---- property tests: random data with ties, NULL values and NULL groups --------------
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+ROWS = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]),
+                          st.one_of(st.none(), st.integers(min_value=0, max_value=6))),
+                min_size=0, max_size=60)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=ROWS, parts=st.integers(min_value=1, max_value=7))
+def test_rank_and_running_sum_properties(spark, rows, parts):
+    df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], "id int, grp string, val int")
+    df = df.repartition(parts)
+    want = df.withColumn("r", F.rank().over(
+        Window.partitionBy("grp").orderBy(F.col("val").desc_nulls_last())))
+    got = ordered.rank(df, [("val", False)], "r", partition=["grp"])
+    assert collect(got, ["id", "r"]) == collect(want, ["id", "r"])
+    filled = df.fillna(0, ["val"])
+    want_c = filled.withColumn("c", F.sum("val").over(Window.orderBy(F.col("val").asc())))
+    got_c = ordered.cumulative_sum(filled, "val", [("val", True)], "c")
+    assert collect(got_c, ["id", "c"]) == collect(want_c, ["id", "c"])
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(vals=st.lists(st.one_of(st.none(), st.integers(-5, 5)), min_size=0, max_size=50),
+       parts=st.integers(min_value=1, max_value=7), asc=st.booleans())
+def test_lag_property(spark, vals, parts, asc):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, val int").repartition(parts)
+    order = F.col("id").asc() if asc else F.col("id").desc()
+    want = df.withColumn("p", F.lag("val").over(Window.orderBy(order)))
+    got = ordered.lag(df, "val", [("id", asc)], "p")
+    assert collect(got, ["id", "p"]) == collect(want, ["id", "p"])
