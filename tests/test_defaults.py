@@ -57,3 +57,12 @@ def test_unsold_methods_agree_without_nulls(model):
     a = {r.product_id for r in inventory.unsold_products(model, 90).collect()}
     b = {r.product_id for r in inventory.unsold_products(model, 90, method="left_anti").collect()}
     assert a == b and len(a) == 683
+
+
+def test_inclusive_windows_on_stock_questions(model):
+    incl = inventory.overstock(model, 90, 5).count()
+    strict = inventory.overstock(model, 90, 5, inclusive=False).count()
+    assert strict >= incl  # fewer sales counted -> at least as many overstocked products
+    a = inventory.dead_stock_cost(model, 90).agg(F.sum("total_unsold_units")).first()[0]
+    b = inventory.dead_stock_cost(model, 90, inclusive=False).agg(F.sum("total_unsold_units")).first()[0]
+    assert b >= a

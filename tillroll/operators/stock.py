@@ -59,12 +59,12 @@ def units_sold_recent(df: DataFrame, days: int, inclusive: bool = True,
     return recent.groupBy(key).agg(F.sum("unit").cast("bigint").alias("total_sold"))
 
 
-def overstock(model: RetailModel, days: int = 90, ratio_limit: int = 5) -> DataFrame:
+def overstock(model: RetailModel, days: int = 90, ratio_limit: int = 5, inclusive: bool = True) -> DataFrame:
     """Products whose stock exceeds ``ratio_limit`` x units sold in the last ``days`` (Q26).
 
     Sales come from the fact table (orphan stores included); unsold counts as zero.
     """
-    sold = units_sold_recent(model.fact(), days)
+    sold = units_sold_recent(model.fact(), days, inclusive=inclusive)
     products = model.dim("products").select("product_id", "product_name")
     base = products.join(stock_per_product(model), "product_id", "inner")
     out = base.join(sold, "product_id", "left").withColumn(
@@ -151,9 +151,10 @@ def unsold_products(model: RetailModel, days: int = 90, source: str = "sales",
     return not_in(products, sold, "product_id", right_nullable=source != "view")
 
 
-def dead_stock_cost(model: RetailModel, days: int = 90, source: str = "view") -> DataFrame:
+def dead_stock_cost(model: RetailModel, days: int = 90, source: str = "view",
+                    inclusive: bool = True) -> DataFrame:
     """Value (stock x cost) and units of unsold products per store (Q30)."""
-    unsold = unsold_products(model, days, source).select("product_id").distinct()
+    unsold = unsold_products(model, days, source, inclusive=inclusive).select("product_id").distinct()
     cost = model.dim("products").select("product_id", "product_cost")
     inv = model.inventory.join(unsold, "product_id", "inner").join(cost, "product_id", "inner")
     per_store = inv.groupBy("store_id").agg(
