@@ -133,3 +133,12 @@ def test_streaming_daily_rollup_parts(spark):
         q.awaitTermination()
     check()
     assert len([d for d in os.listdir(os.path.join(out, "sales_daily_parts")) if d.startswith("batch_id=")]) == 2
+
+
+def test_release_drops_cached_dimensions(spark):
+    m = RetailModel.from_testdata(spark, SF_SMALL)
+    m.sales_view().count()
+    assert any(k.endswith(".cached") for k in m._small)
+    m.release()
+    assert not any(k.endswith(".cached") for k in m._small)
+    assert m.sales_view().count() > 0  # still usable: dimensions are read again

@@ -104,6 +104,11 @@ class RetailModel:
             self._small[name + ".cached"] = cached
         return F.broadcast(cached)
 
+    def release(self) -> None:
+        """Drop the cached small dimensions (e.g. before the model goes out of use)."""
+        for key in [k for k in self._small if k.endswith(".cached")]:
+            self._small.pop(key).unpersist()
+
     def bounded_by(self, name: str) -> bool:
         """True when a result keyed by this dimension has a proven small row count (so a
         single-task window over it is safe)."""
