@@ -1,9 +1,10 @@
 """Ranks, running totals, Pareto, lag comparisons.
 
-Each operator takes a ``bounded`` flag. ``bounded=True`` is for inputs whose size is
-fixed by the calendar (months, weekdays, years x 12): a plain window is the cheapest
-plan. Otherwise (stores, products, anything that grows with the data) the range-
-partitioned operators of :mod:`tillroll.operators.ordered` are used.
+Each operator takes a ``bounded`` flag. ``bounded=True`` is for inputs with a proven
+small row count: fixed by the calendar (months, weekdays, years x 12), or one row per
+member of a dimension that passed the counted size check (``RetailModel.bounded_by``).
+A plain window is then the cheapest plan. Otherwise (anything that grows with the data)
+the range-partitioned operators of :mod:`tillroll.operators.ordered` are used.
 """
 
 from __future__ import annotations
