@@ -1,8 +1,8 @@
 """Grouped measures and comparisons against a scalar (total, mean, max/min).
 
 Scalars come from ``DataFrame.scalar()`` - an uncorrelated scalar subquery that Spark
-evaluates once as its own job and substitutes into the plan. No cross join, no
-single-partition window over the grouped rows.
+evaluates once as its own job and substitutes into the plan - or, when the grouped rows
+are provably few, from a window over them in the same pass. Never a cross join.
 """
 
 from __future__ import annotations
