@@ -70,3 +70,8 @@ def test_window_bound_reaches_parquet(spark):
 def test_every_key_is_described():
     from tillroll.plans.registry import DESCRIPTIONS
     assert set(DESCRIPTIONS) == set(QUESTIONS)
+
+
+def test_sf_dir_may_be_a_path(spark):
+    from pathlib import Path
+    assert queries()["q1"](spark, Path(SF_SMALL)).count() > 0

@@ -22,6 +22,7 @@ def model_for(spark: SparkSession, sf_dir: str) -> RetailModel:
     """One model per (session, folder): dimension size checks and small-dimension caches
     are shared by all questions of a session."""
     per_session = _MODELS.setdefault(spark, {})
+    sf_dir = str(sf_dir)
     key = sf_dir.rstrip("/")
     model = per_session.get(key)
     if model is None or model.sales.sparkSession is not spark:

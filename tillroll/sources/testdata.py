@@ -21,7 +21,7 @@ STOCK_MODULUS = 30
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def testdata_products(spark: SparkSession, sf_dir: str) -> DataFrame:
