@@ -75,3 +75,10 @@ def test_every_key_is_described():
 def test_sf_dir_may_be_a_path(spark):
     from pathlib import Path
     assert queries()["q1"](spark, Path(SF_SMALL)).count() > 0
+
+
+def test_cli_lists_every_key(capsys):
+    from tillroll.__main__ import main
+    main([])
+    out = capsys.readouterr().out.splitlines()
+    assert [line.split()[0] for line in out] == list(QUESTIONS)
