@@ -9,7 +9,6 @@ from tests.conftest import SF_ORACLE
 from tillroll.model import RetailModel
 from tillroll.plans.registry import QUESTIONS
 from tillroll.sources import testdata as td
-from tillroll.sources.sinks import write_clean
 
 
 def rows(df):
@@ -33,7 +32,7 @@ def test_daily_grain_equals_line_grain(models, key):
 def test_written_rollup_is_used(spark, models):
     line, _ = models
     out = tempfile.mkdtemp(prefix="tillroll-daily-")
-    write_clean(line.tables(), out, daily=line.daily())
+    line.write(out, daily=True)
     pq = RetailModel.from_parquet(spark, out, grain="daily")
     assert pq.daily_table is not None and "lines" in pq.sales_view().columns
     for key in ("q4", "q7", "q10", "q11", "q26", "q36", "q0_as_written"):

@@ -76,6 +76,12 @@ class RetailModel:
             model.daily_table = read_daily(spark, path)
         return model
 
+    def write(self, path: str, daily: bool = False, mode: str = "overwrite") -> None:
+        """Persist the cleaned tables (sales partitioned by month) and, with ``daily``, the
+        (store, product, day) rollup; read back with ``from_parquet(path, grain=...)``."""
+        from tillroll.sources.sinks import write_clean
+        write_clean(self.tables(), path, mode, daily=self.daily() if daily else None)
+
     def tables(self) -> dict[str, DataFrame]:
         sales = self.sales.drop(PARTITION_COLUMN) if PARTITION_COLUMN in self.sales.columns else self.sales
         return {"sales": sales, "products": self.products, "stores": self.stores,
