@@ -49,3 +49,13 @@ def test_parse_us_date(spark):
     data = [("1/5/2023",), ("01/20/2023",), ("13/45/2023",), ("2023-01-05",), (None,)]
     assert values(spark, parse_us_date("t"), data, "t string") == [
         dt.date(2023, 1, 5), dt.date(2023, 1, 20), None, None, None]
+
+
+def test_names_from_numbers_match_dates(spark):
+    import datetime as dt
+    from tillroll.functions.dates import day_name, day_name_of, month_name, month_name_of
+    days = [(dt.date(2023, 1, 1) + dt.timedelta(days=i),) for i in range(400)]
+    df = spark.createDataFrame(days, "d date")
+    bad = df.filter((month_name_of(F.month("d")) != month_name("d"))
+                    | (day_name_of(F.dayofweek("d")) != day_name("d")))
+    assert bad.count() == 0

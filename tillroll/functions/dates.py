@@ -38,3 +38,15 @@ def short_month_label(c) -> Column:
 
 def month_start(c) -> Column:
     return F.trunc(_col(c), "month")
+
+
+def month_name_of(month_number) -> Column:
+    """Name of a calendar month number (1-12). Grouping on the number and naming the
+    groups afterwards formats once per group instead of once per row."""
+    return month_name(F.make_date(F.lit(2000), _col(month_number), F.lit(1)))
+
+
+def day_name_of(day_of_week) -> Column:
+    """Name of a ``dayofweek`` number (1 = Sunday ... 7 = Saturday).
+    2000-01-01 was a Saturday, so day ``d`` after it has ``dayofweek`` ``d``."""
+    return day_name(F.date_add(F.lit("2000-01-01").cast("date"), _col(day_of_week)))

@@ -254,14 +254,18 @@ def median_by(df: DataFrame, part: str, period: str = "sales_date", measure: str
     return chosen.groupBy(part).agg(ratio(F.sum("number"), F.count(F.lit(1))).alias(name))
 
 
-def factor_compare(df: DataFrame, factors: dict[str, Column], measure: Column, k: int = 3) -> DataFrame:
+def factor_compare(df: DataFrame, factors: dict, measure: Column, k: int = 3) -> DataFrame:
     """Top ``k`` values of several factors by ``measure``, stacked (Q38f).
 
     One scan: GROUPING SETS over the factor expressions; ``grouping_id`` says which
     factor a row belongs to, so a NULL factor value cannot be mistaken for another set.
+    A factor is a Column, or a (key Column, label function) pair: the rows are grouped
+    on the key and the label is computed once per group.
     """
     names = list(factors)
-    cols = [factors[n].alias(f"__f{i}") for i, n in enumerate(names)]
+    keys = {n: (f[0] if isinstance(f, tuple) else f) for n, f in factors.items()}
+    labellers = {n: f[1] for n, f in factors.items() if isinstance(f, tuple)}
+    cols = [keys[n].alias(f"__f{i}") for i, n in enumerate(names)]
     keyed = df.select(*cols, measure.alias("__m"))
     sets = [[F.col(f"__f{i}")] for i in range(len(names))]
     grouped = (keyed.groupingSets(sets, *[F.col(f"__f{i}") for i in range(len(names))])
@@ -273,7 +277,7 @@ def factor_compare(df: DataFrame, factors: dict[str, Column], measure: Column, k
         gid = (1 << n) - 1 - (1 << (n - 1 - i))  # all bits set except this column's
         hit = F.col("__gid") == gid
         factor = F.when(hit, F.lit(nm)) if factor is None else factor.when(hit, F.lit(nm))
-        v = F.col(f"__f{i}").cast("string")
+        v = (labellers[nm](F.col(f"__f{i}")) if nm in labellers else F.col(f"__f{i}")).cast("string")
         value = F.when(hit, v) if value is None else value.when(hit, v)
     stacked = grouped.select(factor.alias("factor"), value.alias("top_value"), "revenue")
     w = Window.partitionBy("factor").orderBy(F.col("revenue").desc())

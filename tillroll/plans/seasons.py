@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tillroll.functions.dates import day_name
+from tillroll.functions.dates import day_name_of
 from tillroll.model import RetailModel
 from tillroll.operators.grouping import revenue_by
 from tillroll.operators.periods import (
@@ -20,7 +21,8 @@ def strong_months(model: RetailModel, k: int = 3, min_years: int | None = None)
 
 def weekday_rank(model: RetailModel) -> DataFrame:
     """Q21: revenue per weekday with its rank (7 rows)."""
-    per = revenue_by(model.sales_view(), day_name("sales_date").alias("day_name"), "daily_revenue")
+    per = revenue_by(model.sales_view(), F.dayofweek("sales_date").alias("day_number"), "daily_revenue")
+    per = per.select(day_name_of("day_number").alias("day_name"), "daily_revenue")
     return rank_groups(per, [("daily_revenue", False)], "rank_day", bounded=True)
 
 
