@@ -144,7 +144,8 @@ def trend(df: DataFrame, months: int = 12, flat_label: str | None = None,
     """
     recent = trailing_window(df, months, "month", inclusive=True,
                              complete_months_only=complete_months_only)
-    per_month = recent.groupBy(month_label("sales_date").alias("month")).agg(
+    # months as their first day: ordered like the 'yyyy-MM' label, no text per row
+    per_month = recent.groupBy(month_start("sales_date").alias("month")).agg(
         money_sum(revenue()).alias("revenue"))
     out = per_month.agg(F.max_by("revenue", "month").alias("latest_revenue"),
                         F.min_by("revenue", "month").alias("earliest_revenue"))
