@@ -82,3 +82,21 @@ def test_cli_lists_every_key(capsys):
     main([])
     out = capsys.readouterr().out.splitlines()
     assert [line.split()[0] for line in out] == list(QUESTIONS)
+
+
+def test_results_do_not_depend_on_ansi_mode_or_time_zone(spark):
+    """Division by zero, casts and parsing behave the same with ANSI off, and dates are
+    independent of the session time zone."""
+    from tillroll.model import RetailModel
+    from tillroll.sources import testdata as td
+    want = {k: sorted(repr(tuple(r)) for r in q(spark, SF_SMALL).collect()) for k, q in queries().items()}
+    old = {k: spark.conf.get(k) for k in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone")}
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        model = RetailModel.from_tables(spark, td.testdata_tables(spark, SF_SMALL))
+        for key, question in QUESTIONS.items():
+            assert sorted(repr(tuple(r)) for r in question(model).collect()) == want[key], key
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
