@@ -66,3 +66,10 @@ def test_inclusive_windows_on_stock_questions(model):
     a = inventory.dead_stock_cost(model, 90).agg(F.sum("total_unsold_units")).first()[0]
     b = inventory.dead_stock_cost(model, 90, inclusive=False).agg(F.sum("total_unsold_units")).first()[0]
     assert b >= a
+
+
+def test_factor_compare_union_form_equals_one_scan(model):
+    from tillroll.plans import drivers
+    a = sorted(tuple(r) for r in drivers.compare_factors(model).collect())
+    b = sorted(tuple(r) for r in drivers.compare_factors(model, one_scan=False).collect())
+    assert a == b and len(a) == 9

@@ -255,17 +255,29 @@ def median_by(df: DataFrame, part: str, period: str = "sales_date", measure: str
     return chosen.groupBy(part).agg(ratio(F.sum("number"), F.count(F.lit(1))).alias(name))
 
 
-def factor_compare(df: DataFrame, factors: dict, measure: Column, k: int = 3) -> DataFrame:
+def factor_compare(df: DataFrame, factors: dict, measure: Column, k: int = 3,
+                   one_scan: bool = True) -> DataFrame:
     """Top ``k`` values of several factors by ``measure``, stacked (Q38f).
 
-    One scan: GROUPING SETS over the factor expressions; ``grouping_id`` says which
-    factor a row belongs to, so a NULL factor value cannot be mistaken for another set.
+    One scan (default): GROUPING SETS over the factor expressions; ``grouping_id`` says
+    which factor a row belongs to, so a NULL factor value cannot be mistaken for another
+    set. ``one_scan=False`` is the plain form: one aggregation per factor, stacked with
+    ``unionByName`` (one scan of ``df`` per factor).
     A factor is a Column, or a (key Column, label function) pair: the rows are grouped
     on the key and the label is computed once per group.
     """
     names = list(factors)
     keys = {n: (f[0] if isinstance(f, tuple) else f) for n, f in factors.items()}
     labellers = {n: f[1] for n, f in factors.items() if isinstance(f, tuple)}
+    if not one_scan:
+        stacked = None
+        for nm in names:
+            per = df.groupBy(keys[nm].alias("__key")).agg(money_sum(measure).alias("revenue"))
+            label = labellers[nm](F.col("__key")) if nm in labellers else F.col("__key")
+            part = per.select(F.lit(nm).alias("factor"), label.cast("string").alias("top_value"), "revenue")
+            stacked = part if stacked is None else stacked.unionByName(part)
+        w = Window.partitionBy("factor").orderBy(F.col("revenue").desc())
+        return stacked.withColumn("rank_in_factor", F.rank().over(w)).filter(F.col("rank_in_factor") <= k)
     cols = [keys[n].alias(f"__f{i}") for i, n in enumerate(names)]
     keyed = df.select(*cols, measure.alias("__m"))
     sets = [[F.col(f"__f{i}")] for i in range(len(names))]

@@ -48,8 +48,8 @@ def revenue_by_cost_bracket(model: RetailModel, edges: Sequence = COST_BRACKET_E
     return revenue_by_bucket(model.sales_view(), "product_cost", edges, labels, False, "cost_range")
 
 
-def compare_factors(model: RetailModel, k: int = 3) -> DataFrame:
-    """Q38f: top k stores, months and categories by revenue, in one scan."""
+def compare_factors(model: RetailModel, k: int = 3, one_scan: bool = True) -> DataFrame:
+    """Q38f: top k stores, months and categories by revenue (one scan by default)."""
     factors = {"Store": F.col("store_name"), "Month": (F.month("sales_date"), month_name_of),
                "Category": F.col("product_category")}
-    return factor_compare(model.sales_view(), factors, revenue(), k)
+    return factor_compare(model.sales_view(), factors, revenue(), k, one_scan)
