@@ -100,3 +100,10 @@ def test_results_do_not_depend_on_ansi_mode_or_time_zone(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_entry_schema_is_stable(spark):
+    import __spark_entry__ as entry
+    first, second = entry.entry(spark), entry.entry(spark)
+    assert first.schema == second.schema
+    assert first.count() == second.count()
