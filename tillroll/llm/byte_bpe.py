@@ -44,7 +44,7 @@ def encode_whole(path: str):
 
 def encode_many(path: str):
     def run(keys: list[str]) -> list:
-        found = tokenizer(path).encode_batch([chunk_text(k) for k in keys], add_special_tokens=False)
+        found = tokenizer(path).encode_batch_fast([chunk_text(k) for k in keys], add_special_tokens=False)
         return [e.ids for e in found]
     return run
 

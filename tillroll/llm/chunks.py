@@ -31,13 +31,13 @@ class _Codes(dict):
 class ChunkTable:
     """Distinct chunks with their ids (``keep_ids``) or only the number of their ids.
 
-    ``encode_many`` turns a list of chunk keys into a list of id sequences. The table starts
-    over when it holds ``max_entries`` chunks, so that a worker's memory stays bounded; that
-    changes only how often a chunk is encoded, never a result.
+    ``encode_many`` turns a list of chunk keys into a list of id sequences. A table of more
+    than ``max_entries`` chunks is cut back to its most used ones, so that a worker's memory
+    stays bounded; that changes only how often a chunk is encoded, never a result.
     """
 
     def __init__(self, encode_many: Callable[[list[str]], Sequence], keep_ids: bool = True,
-                 max_entries: int = 400_000, seed: dict[str, int] | None = None) -> None:
+                 max_entries: int = 300_000, seed: dict[str, int] | None = None) -> None:
         self.encode_many, self.keep_ids, self.max_entries = encode_many, keep_ids, max_entries
         self.seed = seed or {}
         self._clear()
@@ -47,6 +47,7 @@ class ChunkTable:
         self.lengths = np.zeros(1024, np.int64)
         self.starts = np.zeros(1024, np.int64)
         self.ids = np.zeros(8192, np.uint32)
+        self.uses = np.zeros(1024, np.int64)
         self.used = 0
         if self.seed:
             for word in self.seed:
@@ -55,11 +56,33 @@ class ChunkTable:
             self._room(len(self.codes))
             self.lengths[: len(self.seed)] = np.fromiter(self.seed.values(), np.int64, len(self.seed))
 
+    def _cut_back(self) -> None:
+        """Keep the chunks that were used most, at most a third of ``max_entries`` of them."""
+        words = list(self.codes)
+        uses = self.uses[: len(words)]
+        top = np.argsort(-uses, kind="stable")[: self.max_entries // 3]
+        top = top[uses[top] > 1]
+        kept, lengths = [words[i] for i in top], self.lengths[top]
+        ids, _ = self.gather(top) if self.keep_ids else (None, None)
+        seed, self.seed = self.seed, {}
+        self._clear()
+        self.seed = seed
+        for word in kept:
+            self.codes[word]
+        self.codes.new.clear()
+        self._room(len(kept))
+        self.lengths[: len(kept)] = lengths
+        if self.keep_ids:
+            self.ids, self.used = ids.copy(), len(ids)
+            self.starts[: len(kept)] = np.cumsum(lengths) - lengths
+
     def _room(self, entries: int) -> None:
         if entries > len(self.lengths):
             size = 2 * entries
             self.lengths = np.resize(self.lengths, size)
             self.starts = np.resize(self.starts, size)
+            old, self.uses = self.uses, np.zeros(size, np.int64)
+            self.uses[: len(old)] = old
 
     def _add(self, words: list[str]) -> None:
         first = len(self.codes) - len(words)
@@ -78,12 +101,13 @@ class ChunkTable:
 
     def lookup(self, words: list[str]) -> np.ndarray:
         """Codes of the words; unknown words are encoded first."""
-        if len(self.codes) > self.max_entries + len(self.seed):
-            self._clear()
+        if len(self.codes) > self.max_entries:
+            self._cut_back()
         codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
         if self.codes.new:
             new, self.codes.new = self.codes.new, []
             self._add(new)
+        self.uses[: len(self.codes)] += np.bincount(codes, minlength=len(self.codes))
         return codes
 
     def gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

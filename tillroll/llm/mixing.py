@@ -100,7 +100,8 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
         weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = MAX_EPOCHS,
         block: int = 1024, seed: int = 17, bucket_rows: int = 4096) -> tuple[DataFrame, DataFrame]:
     """(sources, mix). ``sources``: one row per document with size, source_size, target and
-    its place on the source's line. ``mix``: (slot, doc, lo, hi) word ranges in mix order.
+    its place on the source's line. ``mix``: (slot, row, doc_id, epoch, lo, hi): word ranges of
+    documents, by place in the mix.
 
     Sources go by code point, null last (a source of its own), and weigh ``weights``,
     repeating. A null text has no words; documents and sources without words get no range
@@ -143,7 +144,6 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
               .withColumn("lo", F.col("lo") + F.col("epoch") * F.col("source_size"))
               .withColumn("hi", F.least(F.col("lo") + F.col("size"), F.col("words")))
               .filter("lo < hi"))
-    per = F.expr("cast(words as decimal(38, 0))")
     # words * slots may pass 64 bits at scale: whole-number division in decimals
     first = F.expr("cast((cast(lo as decimal(20,0)) * cast(slots as decimal(18,0))) div cast(words as decimal(20,0)) as bigint)")
     last = F.expr("cast((cast(hi - 1 as decimal(20,0)) * cast(slots as decimal(18,0))) div cast(words as decimal(20,0)) as bigint)")
@@ -152,9 +152,9 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     ranges = (epochs.withColumn("rank", F.explode(F.sequence(first, last)))
               .withColumn("from_", F.greatest(F.col("lo"), cut("rank")))
               .withColumn("to_", F.least(F.col("hi"), cut("rank + 1")))
-              .select("row", "doc_id", "source_no", "rank",
+              .select("row", "doc_id", "source_no", "epoch", "rank",
                       (F.col("from_") - F.col("lo")).alias("lo"), (F.col("to_") - F.col("lo")).alias("hi")))
-    mixed = ranges.join(slots, ["source_no", "rank"]).select("slot", "row", "doc_id", "lo", "hi")
+    mixed = ranges.join(slots, ["source_no", "rank"]).select("slot", "row", "doc_id", "epoch", "lo", "hi")
     return placed, mixed
 
 
@@ -166,3 +166,18 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
     return (placed.join(taken, "row", "left")
             .select("doc_id", "size", "source_size", "target",
                     F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The documents as the mix takes them: once for each epoch that takes any of its words,
+    with all columns. A document that an epoch takes only in part (where a source's target
+    is reached) is cut to those words, joined by single spaces; untaken ones go. Documents
+    are told apart by doc_id, which must not repeat; null ids and empty texts go.
+    """
+    _, mixed = mix(docs, **options)
+    taken = mixed.groupBy("doc_id", "epoch").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = F.concat_ws(" ", F.slice(words, F.col("_lo").cast("int") + 1, (F.col("_hi") - F.col("_lo")).cast("int")))
+    whole = (F.col("_lo") == 0) & (F.col("_hi") == word_count(F.col("text")))
+    return (docs.join(taken, "doc_id").withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
+            .select(*docs.columns))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import binary_ids, mixing, quality_lines, sentence_pieces, token_counts, topk
+from tillroll.llm import (binary_ids, html_text, language_id, mixing, ngram_join, pii, quality_lines,
+                          sentence_pieces, token_counts, topk)
 from tillroll.llm.storage import new_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +24,10 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table, table.filter("vec_id % 50 = 0"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(documents(spark, sf_dir))
 
@@ -31,6 +36,19 @@ def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digests(documents(spark, sf_dir), PIECES)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language_id.identify(docs, language_id.train(docs))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(documents(spark, sf_dir))
+
+
 def op8_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_path(spark, "binary-ids")
     binary_ids.write_ids(documents(spark, sf_dir), BYTE_BPE, out)
@@ -46,8 +64,8 @@ def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_top_k, op3_mixing, op4_sentence_pieces, op8_binary_ids, op9_token_counts,
-                             op10_quality_lines)
+    f.__name__: f for f in (op1_top_k, op2_html_text, op3_mixing, op4_sentence_pieces, op5_language_id,
+                             op6_pii, op7_ngram_join, op8_binary_ids, op9_token_counts, op10_quality_lines)
 }
 
 

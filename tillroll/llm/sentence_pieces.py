@@ -104,10 +104,12 @@ def encode_decode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_co
     return texts.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
-def digests(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text",
+            with_ids: bool = False) -> DataFrame:
     """One row per input row: ``id_col``, n_tokens (begin and end ids too), ids_sha256 (of the
     ids as little-endian unsigned 32-bit integers), decoded_sha256 (of the decoded text in
-    UTF-8). The same work as ``encode_decode``; only the digests leave the Python worker."""
+    UTF-8), and the ids if asked for. The same work as ``encode_decode``; texts stay in the
+    Python worker."""
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,13 +117,15 @@ def digests(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([len(a) for a in arrays], pa.int64()),
                  pa.array([hashlib.sha256(a.astype("<u4").tobytes()).hexdigest() for a in arrays], pa.string()),
-                 pa.array([hashlib.sha256(d.encode()).hexdigest() for d in _decoded(arrays, path)], pa.string())],
-                names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                 pa.array([hashlib.sha256(d.encode()).hexdigest() for d in _decoded(arrays, path)], pa.string()),
+                 *([pa.array(arrays, pa.list_(pa.int32()))] if with_ids else [])],
+                names=["id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])])
 
     schema = T.StructType([T.StructField("id", texts.schema["id"].dataType),
                            T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids_sha256", T.StringType()),
-                           T.StructField("decoded_sha256", T.StringType())])
+                           T.StructField("decoded_sha256", T.StringType()),
+                           *([T.StructField("ids", T.ArrayType(T.IntegerType(), False))] if with_ids else [])])
     return texts.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
