@@ -8,6 +8,7 @@ once per worker and the ids are put back by position with numpy gathers.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 
@@ -37,7 +38,7 @@ class ChunkTable:
     """
 
     def __init__(self, encode_many: Callable[[list[str]], Sequence], keep_ids: bool = True,
-                 max_entries: int = 300_000, seed: dict[str, int] | None = None) -> None:
+                 max_entries: int = 500_000, seed: dict[str, int] | None = None) -> None:
         self.encode_many, self.keep_ids, self.max_entries = encode_many, keep_ids, max_entries
         self.seed = seed or {}
         self._clear()
@@ -57,10 +58,10 @@ class ChunkTable:
             self.lengths[: len(self.seed)] = np.fromiter(self.seed.values(), np.int64, len(self.seed))
 
     def _cut_back(self) -> None:
-        """Keep the chunks that were used most, at most a third of ``max_entries`` of them."""
+        """Keep the chunks that were used most, at most half of ``max_entries`` of them."""
         words = list(self.codes)
         uses = self.uses[: len(words)]
-        top = np.argsort(-uses, kind="stable")[: self.max_entries // 3]
+        top = np.argsort(-uses, kind="stable")[: self.max_entries // 2]
         top = top[uses[top] > 1]
         kept, lengths = [words[i] for i in top], self.lengths[top]
         ids, _ = self.gather(top) if self.keep_ids else (None, None)
@@ -91,7 +92,7 @@ class ChunkTable:
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         self.lengths[first:first + len(found)] = lengths
         if self.keep_ids:
-            flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
+            flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
             if self.used + len(flat) > len(self.ids):
                 self.ids = np.resize(self.ids, 2 * (self.used + len(flat)))
             self.ids[self.used:self.used + len(flat)] = flat
