@@ -411,6 +411,23 @@ def grouped(sets: DataFrame, percent: int) -> DataFrame:
 
 
 # ---- step 5 --------------------------------------------------------------------------
+def _can_link(percent: int) -> str:
+    """Whether a set of n tokens may link with a member of a group whose sizes run from
+    ``shortest`` to ``longest``, given the ``overlap`` of its prefix and the group's.
+
+    A common token that is not in both prefixes is behind the prefix that ends first, so a
+    pair has at most overlap + the longer of the two rests in common, and needs
+    percent / (100 + percent) of both sizes. Over the sizes that can link at all, that is
+    easiest at the smallest or the largest; 3 makes up for rounding in between.
+    """
+    rest = lambda n: f"(({percent} * {n} + 99) div 100 - 1 - {n} div 16)"
+    small = f"greatest(shortest, ({percent} * n + 99) div 100)"
+    large = f"least(longest, (100 * n) div {percent})"
+    may = lambda m: (f"overlap + 3 + greatest({rest('n')}, {rest(m)}) "
+                     f">= ({percent} * (n + {m}) + {99 + percent}) div {100 + percent}")
+    return f"{small} <= {large} and ({may(small)} or {may(large)})"
+
+
 def opened(sets: DataFrame, groups: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
     """(a, b): links between groups."""
     sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("members"))
@@ -427,8 +444,7 @@ def opened(sets: DataFrame, groups: DataFrame, shared: DataFrame, percent: int)
     least_n = F.expr(f"1 + (({percent} * n + 99) div 100) div 16")
     bound = (tokens.join(matrix, "token").filter(smaller)
              .groupBy("rep", "n", "grp", "other", "other_members").agg(F.count(F.lit(1)).alias("overlap"))
-             .filter(F.col("overlap") >= least_n).join(spread, "other")
-             .filter(f"100 * longest >= {percent} * n and 100 * n >= {percent} * shortest")
+             .filter(F.col("overlap") >= least_n).join(spread, "other").filter(_can_link(percent))
              .select("rep", "grp", "other", "other_members"))
     bound = written(bound, "open-groups")
 
