@@ -74,6 +74,7 @@ QUESTIONS: dict[str, Callable[[RetailModel], DataFrame]] = {
     "q18": stores.store_age,
     "q19": sales.month_rank,
     "q20": lambda m: seasons.strong_months(m, k=6, min_years=4),
+    "q20_every_year": lambda m: seasons.strong_months(m, k=9),
     "q21": seasons.weekday_rank,
     "q22": lambda m: seasons.twelve_month_trend(m, 12),
     "q23": seasons.peak_seasons,
@@ -160,6 +161,7 @@ DESCRIPTIONS: dict[str, str] = {
     "q18": "each store vs the store opened before it",
     "q19": "calendar months ranked by revenue",
     "q20": "months in the top k of enough years",
+    "q20_every_year": "months in the top k of every year",
     "q21": "weekdays ranked by revenue",
     "q22": "12-month trend: latest vs earliest month",
     "q23": "peak calendar month of each product",
