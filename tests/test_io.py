@@ -40,14 +40,14 @@ def test_streaming_ingest_is_incremental(spark):
     drop_file("part2.csv", SALES[6:] + ["20,13/45/2023,1,1,1"])
     for q in start_sales_ingest(spark, inbox, out, ckpt):
         q.awaitTermination()
-    sales = spark.read.parquet(os.path.join(out, "sales"))
+    sales = spark.read.parquet(os.path.join(out, "sales_stream"))
     assert sales.count() == 9
     assert spark.read.parquet(os.path.join(out, "quarantine")).count() == 1
 
     drop_file("part3.csv", ["21,4/1/2023,1,2,3"])
     for q in start_sales_ingest(spark, inbox, out, ckpt):
         q.awaitTermination()
-    sales = spark.read.parquet(os.path.join(out, "sales"))
+    sales = spark.read.parquet(os.path.join(out, "sales_stream"))
     assert sales.count() == 10
     assert sales.filter(F.col("sale_id") == 21).first().sales_month == "2023-04"
 
@@ -117,7 +117,7 @@ def test_streaming_daily_rollup_parts(spark):
             fh.write("\r\n".join([SALES[0]] + lines) + "\r\n")
 
     def check():
-        sales = spark.read.parquet(os.path.join(out, "sales"))
+        sales = spark.read.parquet(os.path.join(out, "sales_stream"))
         want = sorted(tuple(r) for r in sales.groupBy("store_id", "product_id", "sales_date").agg(
             F.sum("unit").alias("u"), F.count(F.lit(1)).alias("n")).collect())
         got = sorted(tuple(r) for r in read_daily(spark, out).select(
@@ -132,7 +132,8 @@ def test_streaming_daily_rollup_parts(spark):
     for q in start_sales_ingest(spark, inbox, out, ckpt, daily_rollup=True):
         q.awaitTermination()
     check()
-    assert len([d for d in os.listdir(os.path.join(out, "sales_daily_parts")) if d.startswith("batch_id=")]) == 2
+    (ingest,) = [d for d in os.listdir(os.path.join(out, "sales_stream_daily")) if d.startswith("ingest=")]
+    assert len(os.listdir(os.path.join(out, "sales_stream_daily", ingest))) == 2
 
 
 def test_release_drops_cached_dimensions(spark):
@@ -152,10 +153,10 @@ def test_streamed_sales_answer_questions_at_daily_grain(spark):
     csv_model = RetailModel.from_csv(spark, p["sales"], p["products"], p["stores"], p["inventory"])
     out = tempfile.mkdtemp(prefix="tillroll-e2e-")
     tables = csv_model.tables()
-    write_clean({**tables, "sales": tables["sales"].limit(0)}, out)  # dimensions and inventory
+    write_clean({**tables, "sales": tables["sales"].filter("sale_id <= 4")}, out)  # the rest is streamed
     inbox = tempfile.mkdtemp(prefix="tillroll-inbox-")
     with open(os.path.join(inbox, "all.csv"), "w", newline="") as fh:
-        fh.write("\r\n".join(SALES) + "\r\n")
+        fh.write("\r\n".join([SALES[0]] + [line for line in SALES[1:] if int(line.split(",")[0]) > 4]) + "\r\n")
     for q in start_sales_ingest(spark, inbox, out, tempfile.mkdtemp(prefix="tillroll-ck-"), daily_rollup=True):
         q.awaitTermination()
     streamed = RetailModel.from_parquet(spark, out, grain="daily")
@@ -163,3 +164,93 @@ def test_streamed_sales_answer_questions_at_daily_grain(spark):
         a = sorted(repr(tuple(r)) for r in QUESTIONS[key](streamed).collect())
         b = sorted(repr(tuple(r)) for r in QUESTIONS[key](csv_model).collect())
         assert a == b, key
+
+
+def _ingest(spark, out, lines, ckpt=None, **options):
+    inbox = tempfile.mkdtemp(prefix="tillroll-inbox-")
+    with open(os.path.join(inbox, "new.csv"), "w", newline="") as fh:
+        fh.write("\r\n".join([SALES[0]] + lines) + "\r\n")
+    for q in start_sales_ingest(spark, inbox, out, ckpt, **options):
+        q.awaitTermination()
+
+
+def _fixture_tables(spark, ids):
+    p = write_fixture()
+    model = RetailModel.from_csv(spark, p["sales"], p["products"], p["stores"], p["inventory"])
+    model.sales = model.sales.filter(F.col("sale_id").isin(ids))
+    return model
+
+
+def _counts(spark, out):
+    line = RetailModel.from_parquet(spark, out)
+    daily = RetailModel.from_parquet(spark, out, grain="daily")
+    return line.sales.count(), daily.daily().agg(F.sum("lines")).first()[0]
+
+
+def test_batch_and_streamed_rows_are_all_kept(spark):
+    """Whatever the order of batch writes, ingests and rollups, both grains hold every line."""
+    out = tempfile.mkdtemp(prefix="tillroll-both-")
+    _fixture_tables(spark, [1, 2]).write(out)  # batch without a rollup
+    assert _counts(spark, out) == (2, 2)
+    _ingest(spark, out, ["21,1/5/2023,1,1,3"], daily_rollup=True)  # stream with one
+    assert _counts(spark, out) == (3, 3)
+    _ingest(spark, out, ["22,1/6/2023,1,1,3", "23,1/6/2023,1,1,4"])  # a second ingest, without
+    assert _counts(spark, out) == (5, 5)
+    _fixture_tables(spark, [1, 2, 3]).write(out, daily=True)  # batch again, with a rollup
+    assert _counts(spark, out) == (6, 6)
+    _ingest(spark, out, ["24,2/6/2023,1,1,3"])
+    assert _counts(spark, out) == (7, 7)
+    _fixture_tables(spark, [1, 2, 3, 4, 5]).write(out)  # rewritten without: the old rollup goes
+    assert _counts(spark, out) == (9, 9)
+    _ingest(spark, out, ["25,2/7/2023,1,1,3"], tempfile.mkdtemp(prefix="tillroll-ck-"), daily_rollup=True)
+    _ingest(spark, out, ["26,2/8/2023,1,1,3"], tempfile.mkdtemp(prefix="tillroll-ck-"), daily_rollup=True)
+    assert _counts(spark, out) == (11, 11)
+    _fixture_tables(spark, [6]).write(out, mode="append")
+    assert _counts(spark, out) == (12, 12)
+
+
+def test_stream_first_then_batch(spark):
+    out = tempfile.mkdtemp(prefix="tillroll-first-")
+    _ingest(spark, out, ["21,1/5/2023,1,1,3", "22,1/6/2023,1,1,3"], daily_rollup=True)
+    _fixture_tables(spark, [1]).write(out, daily=True)
+    assert _counts(spark, out) == (3, 3)
+
+
+def test_replayed_batch_replaces_its_folders(spark):
+    from tillroll.sources.sinks import read_daily
+    from tillroll.streaming.ingest import clean_sales_stream, write_batch
+    out = tempfile.mkdtemp(prefix="tillroll-replay-")
+    raw = spark.createDataFrame([(1, "1/5/2023", 1, 1, 2, None)],
+                                "Sale_ID int, date string, Store_ID int, Product_ID int, Unit int, _corrupt_record string")
+    for _ in range(2):
+        write_batch(clean_sales_stream(raw), 0, out, "x", True)
+    assert spark.read.parquet(os.path.join(out, "sales_stream")).count() == 1
+    assert read_daily(spark, out).count() == 1
+
+
+def test_malformed_lines_go_to_the_quarantine(spark):
+    """Clean and quarantined rows partition the input of each table, and of the stream."""
+    folder = tempfile.mkdtemp(prefix="tillroll-broken-")
+
+    def put(name, lines):
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+        return os.path.join(folder, name)
+
+    broken = ["1,1/5/2023,1,1,xx", "2,1/5/2023,1,1", "3,1/5/2023,1,1,2,9", "4,13/45/2023,1,1,1", "5,1/5/2023,1,1,1"]
+    paths = dict(
+        sales=put("s.csv", [SALES[0], *broken]),
+        products=put("p.csv", ["Product_ID,Product_Name,Product_Category,Product_Cost,Product_Price",
+                               "1,a,c,$1.00 ,$2.00 ", "2,b,c,$1.00 ,free", "x,b,c,$1.00 ,$3.00 "]),
+        stores=put("t.csv", ["Store_ID,Store_Name,Store_City,Store_Location,Store_Open_Date",
+                             "1,n,Cuidad,l,2020-01-01", "2,n,c,l,soon", "3,n,c,l"]),
+        inventory=put("i.csv", ["Store_ID,Product_ID,Stock_On_Hand", "1,1,5", "1,2,abc", "1"]))
+    model = RetailModel.from_csv(spark, **paths, city_aliases={"Cuidad": "Ciudad"})
+    got = {name: (df.count(), model.quarantine[name].count()) for name, df in model.tables().items()}
+    assert got == {"sales": (1, 4), "products": (1, 2), "stores": (1, 2), "inventory": (1, 2)}
+    assert sorted(r[0] for r in model.quarantine["inventory"].select("_corrupt_record").collect()) == ["1", "1,2,abc"]
+    assert [r.store_city for r in model.stores.collect()] == ["Ciudad"]
+    out = tempfile.mkdtemp(prefix="tillroll-broken-out-")
+    _ingest(spark, out, broken)
+    assert spark.read.parquet(os.path.join(out, "sales_stream")).count() == 1
+    assert spark.read.parquet(os.path.join(out, "quarantine")).count() == 4

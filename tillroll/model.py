@@ -50,8 +50,8 @@ class RetailModel:
         return cls.from_tables(spark, testdata_tables(spark, sf_dir))
 
     @classmethod
-    def from_csv(cls, spark: SparkSession, sales: str, products: str, stores: str,
-                 inventory: str) -> "RetailModel":
+    def from_csv(cls, spark: SparkSession, sales: str, products: str, stores: str, inventory: str,
+                 city_aliases: dict[str, str] | None = None) -> "RetailModel":
         from tillroll.operators.cleaning import clean_raw_tables
         from tillroll.sources import delimited
         raw = {
@@ -60,7 +60,7 @@ class RetailModel:
             "stores": delimited.read_stores(spark, stores),
             "inventory": delimited.read_inventory(spark, inventory),
         }
-        clean, quarantine = clean_raw_tables(raw)
+        clean, quarantine = clean_raw_tables(raw, city_aliases)
         model = cls.from_tables(spark, clean)
         model.quarantine = quarantine
         return model

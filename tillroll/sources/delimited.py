@@ -3,7 +3,7 @@
 Comma separated, one header line, no quoting needed; CRLF or LF line ends are both
 handled by Spark's reader. Files are split across executors by
 ``spark.sql.files.maxPartitionBytes``; malformed lines are kept (PERMISSIVE) with the
-original text in ``_corrupt_record`` so an audit can report them instead of failing.
+original text in ``_corrupt_record``; cleaning moves them to the quarantine.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
             .option("header", "true")
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+            # parse whole lines whatever columns a query reads, so that every query finds
+            # the same lines malformed
+            .option("columnPruning", "false")
             .option("ignoreTrailingWhiteSpace", "false")
             .schema(schema)
             .csv(path))

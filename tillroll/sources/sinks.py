@@ -1,7 +1,18 @@
 """Persist the cleaned model as parquet and read it back.
 
-The sales fact is written partitioned by calendar month so that the trailing-window
-questions (last 90 days, last 3 / 12 months) can prune whole directories.
+Layout of a folder, shared by batch writes and streaming ingests:
+
+* ``sales`` (by calendar month, so that trailing windows skip whole directories),
+  ``products``, ``stores``, ``inventory``: the batch-written tables.
+* ``sales_daily``: the daily rollup of ``sales``, or absent. Every batch write replaces or
+  removes it, so that it never stands for other sales than those beside it.
+* ``sales_stream/ingest=<i>/batch=<n>/sales_month=<m>``: streamed rows, one folder for each
+  micro-batch of each ingest. They are no part of ``sales``: a batch write leaves them.
+* ``sales_stream_daily/ingest=<i>/batch=<n>``: the rollup of such a micro-batch, if its
+  ingest writes one.
+
+Reading takes batch and streamed rows together. The daily rollup is put together from the
+parts that are written; what has no part is rolled up from its rows.
 """
 
 from __future__ import annotations
@@ -12,63 +23,130 @@ from pyspark.sql import functions as F
 from tillroll.sources.schemas import PARTITION_COLUMN
 
 TABLES = ("sales", "products", "stores", "inventory")
+STREAM = "sales_stream"
+STREAM_DAILY = "sales_stream_daily"
+BATCH_KEYS = ["ingest", "batch"]
+SALES_COLUMNS = ["sale_id", "sales_date", "store_id", "product_id", "unit", PARTITION_COLUMN]
+DAILY_COLUMNS = ["store_id", "product_id", "sales_date", "unit", "lines", PARTITION_COLUMN]
+SALES_SCHEMA = (f"sale_id int, sales_date date, store_id int, product_id int, unit int, "
+                f"{PARTITION_COLUMN} string")
+DAILY_SCHEMA = f"store_id int, product_id int, sales_date date, unit long, lines long, {PARTITION_COLUMN} string"
+
+
+def _folder(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _folder(spark, path)
+    return fs.exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, target = _folder(spark, path)
+    fs.delete(target, True)
+
+
+def with_month(df: DataFrame) -> DataFrame:
+    return df if PARTITION_COLUMN in df.columns else df.withColumn(
+        PARTITION_COLUMN, F.date_format("sales_date", "yyyy-MM"))
+
+
+def rollup(sales: DataFrame, *keys: str) -> DataFrame:
+    """Units and lines per store, product and day (and ``keys``)."""
+    return (sales.groupBy("store_id", "product_id", "sales_date", PARTITION_COLUMN, *keys)
+            .agg(F.sum("unit").alias("unit"), F.count(F.lit(1)).alias("lines")))
 
 
 def write_clean(tables: dict[str, DataFrame], path: str, mode: str = "overwrite",
                 daily: DataFrame | None = None) -> None:
     """Write the four cleaned tables; ``daily`` (``RetailModel.daily()``) is written too,
-    as ``sales_daily`` partitioned by month like the sales table."""
+    as ``sales_daily`` partitioned by month like the sales table.
+
+    Without ``daily``, or when sales are appended, a rollup that was there would no longer
+    cover ``sales`` and is removed before anything is written. Streamed rows stay.
+    """
     root = path.rstrip("/")
-    if daily is not None:
-        d = daily if PARTITION_COLUMN in daily.columns else daily.withColumn(
-            PARTITION_COLUMN, F.date_format("sales_date", "yyyy-MM"))
-        (d.sortWithinPartitions(PARTITION_COLUMN).write.mode(mode)
-         .partitionBy(PARTITION_COLUMN).parquet(f"{root}/sales_daily"))
+    spark = tables["sales"].sparkSession
+    # removed first: a failure in between leaves no rollup rather than a wrong one
+    remove(spark, f"{root}/sales_daily")
     for name in TABLES:
         df = tables[name]
         writer = df.write.mode(mode)
         if name == "sales":
-            df = df.withColumn(PARTITION_COLUMN, F.date_format("sales_date", "yyyy-MM"))
             # Sort inside each task (no shuffle): a month holding a third of all rows is still
             # written by every task in parallel, each task keeping one file open at a time.
-            writer = (df.sortWithinPartitions(PARTITION_COLUMN).write.mode(mode)
+            writer = (with_month(df).sortWithinPartitions(PARTITION_COLUMN).write.mode(mode)
                       .option("maxRecordsPerFile", 5_000_000).partitionBy(PARTITION_COLUMN))
         writer.parquet(f"{root}/{name}")
+    if daily is not None and mode == "overwrite":
+        (with_month(daily).sortWithinPartitions(PARTITION_COLUMN).write.mode(mode)
+         .partitionBy(PARTITION_COLUMN).parquet(f"{root}/sales_daily"))
 
 
-def read_clean(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The cleaned tables. ``sales`` keeps its ``sales_month`` partition column last, so
-    trailing-window filters can prune month directories at runtime."""
-    root = path.rstrip("/")
-    out = {name: spark.read.parquet(f"{root}/{name}") for name in TABLES}
-    out["sales"] = out["sales"].select("sale_id", "sales_date", "store_id", "product_id", "unit",
-                                       PARTITION_COLUMN)
-    return out
+def _streamed(spark: SparkSession, root: str) -> DataFrame | None:
+    """Streamed rows with the micro-batch that each came with, or None."""
+    if not exists(spark, f"{root}/{STREAM}"):
+        return None
+    schema = SALES_SCHEMA.replace(f", {PARTITION_COLUMN} string", "")
+    return spark.read.schema(f"{schema}, ingest string, batch long, {PARTITION_COLUMN} string") \
+        .parquet(f"{root}/{STREAM}")
 
 
-DAILY_COLUMNS = ["store_id", "product_id", "sales_date", "unit", "lines", PARTITION_COLUMN]
+def _batch_sales(spark: SparkSession, root: str) -> DataFrame | None:
+    if not exists(spark, f"{root}/sales"):
+        return None
+    return spark.read.parquet(f"{root}/sales").select(*SALES_COLUMNS)
+
+
+def read_clean(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The cleaned tables. ``sales`` holds batch-written and streamed rows and keeps its
+    ``sales_month`` partition column last, so trailing-window filters prune month
+    directories of both."""
+    root = path.rstrip("/")
+    out = {name: spark.read.parquet(f"{root}/{name}") for name in TABLES[1:]
+           if exists(spark, f"{root}/{name}")}
+    parts = [_batch_sales(spark, root)]
+    streamed = _streamed(spark, root)
+    parts.append(None if streamed is None else streamed.select(*SALES_COLUMNS))
+    found = [p for p in parts if p is not None]
+    if not found:
+        raise FileNotFoundError(f"no sales below {root}")
+    out["sales"] = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    return {name: out[name] for name in TABLES if name in out}
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame | None:
-    """The written daily rollup, or None when the layout has none.
+    """The daily rollup of all sales below ``path``, batch-written and streamed, or None when
+    no part of it is written.
 
-    Combines the compacted rollup (``sales_daily``, from ``write_clean``) with partial
-    rollups appended by the streaming ingest (``sales_daily_parts``): both are sums of
-    units and lines, so the parts are merged by summing per (store, product, day).
+    Written parts are taken for the rows that they cover: ``sales_daily`` for ``sales``,
+    the part of a micro-batch for that micro-batch. All other rows are rolled up here, so
+    the result always covers every row.
     """
-    from pyspark.errors import AnalysisException
     root = path.rstrip("/")
-    found = {}
-    for name in ("sales_daily", "sales_daily_parts"):
-        try:
-            found[name] = spark.read.parquet(f"{root}/{name}").select(*DAILY_COLUMNS)
-        except AnalysisException:  # not written
-            continue
-    if not found:
+    has_batch = exists(spark, f"{root}/sales_daily")
+    has_parts = exists(spark, f"{root}/{STREAM_DAILY}")
+    if not has_batch and not has_parts:
         return None  # computed from the sales table instead
-    if list(found) == ["sales_daily"]:
-        return found["sales_daily"]  # compacted: one row per (store, product, day) already
-    frames = list(found.values())
+    frames = []
+    batch = _batch_sales(spark, root)
+    if has_batch:
+        frames.append(spark.read.parquet(f"{root}/sales_daily").select(*DAILY_COLUMNS))
+    elif batch is not None:
+        frames.append(rollup(batch).select(*DAILY_COLUMNS))
+    streamed = _streamed(spark, root)
+    if streamed is not None:
+        if has_parts:
+            parts = spark.read.schema(f"{DAILY_SCHEMA}, ingest string, batch long").parquet(f"{root}/{STREAM_DAILY}")
+            frames.append(parts.select(*DAILY_COLUMNS))
+            # one row per written part: the names of the folders, not their rows
+            streamed = streamed.join(parts.select(*BATCH_KEYS).distinct(), BATCH_KEYS, "left_anti")
+        frames.append(rollup(streamed).select(*DAILY_COLUMNS))
+    if len(frames) == 1:
+        return frames[0]  # one row per (store, product, day) already
     merged = frames[0]
     for extra in frames[1:]:
         merged = merged.unionByName(extra)

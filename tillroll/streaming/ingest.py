@@ -2,21 +2,27 @@
 
 The batch path reads one sales file and converts its text dates once. New sales files
 that keep arriving in a folder are the same job as a stream: the file source picks up
-only unseen files, the same cleaning expressions type each row, and two file sinks
-(exactly-once through their checkpoints) append the clean rows - partitioned by month
-like ``write_clean`` - and the rows whose date text did not parse. No state is kept,
+only unseen files and the same cleaning expressions type each row. One ``foreachBatch``
+reads each micro-batch once and writes its clean rows, its quarantined rows and, if asked
+for, its daily rollup, each to the folder of that micro-batch. A replayed micro-batch
+overwrites its own folders, so rows are neither lost nor counted twice. No state is kept,
 so the stream scales with the number of files per trigger.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.operators.cleaning import parse_date
+from tillroll.operators.cleaning import clean_sales, rejected
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources.schemas import CORRUPT_COLUMN, PARTITION_COLUMN, SALES_RAW
+from tillroll.sources.sinks import STREAM, STREAM_DAILY, rollup, with_month
+
+QUARANTINE = "quarantine"
 
 
 def sales_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -24,35 +30,36 @@ def sales_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int
     reader = (spark.readStream.schema(SALES_RAW)
               .option("header", "true")
               .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
+              .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+              .option("columnPruning", "false"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.csv(input_dir)
 
 
 def clean_sales_stream(raw: DataFrame) -> DataFrame:
-    """Typed sales rows plus an ``is_quarantined`` flag (date text present but unparsable)."""
-    lowered = raw.toDF(*[c.lower() for c in raw.columns])
-    parsed = parse_date(lowered, "date", "sales_date")
-    bad = F.col("date").isNotNull() & F.col("sales_date").isNull()
-    return parsed.select("sale_id", "date", "sales_date", "store_id", "product_id", "unit",
-                         bad.alias("is_quarantined"))
-
-
-DAILY_PARTS = "sales_daily_parts"
-
-
-def write_daily_part(batch: DataFrame, batch_id: int, output_dir: str) -> None:
-    """One micro-batch's partial daily rollup, written to its own ``batch_id=`` folder.
-
-    Units and line counts are additive, so parts from different batches (even of the same
-    day) are merged by summing when read. Overwriting the batch's own folder makes a
-    replayed batch idempotent. No streaming state and no watermark: late rows are never
-    dropped, they land in a later part.
-    """
-    part = (batch.groupBy("store_id", "product_id", "sales_date", PARTITION_COLUMN)
-            .agg(F.sum("unit").alias("unit"), F.count(F.lit(1)).alias("lines")))
-    part.write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/{DAILY_PARTS}/batch_id={batch_id}")
+    """Typed sales rows plus an ``is_quarantined`` flag: lines that do not fit the schema, and
+    date text that does not parse. The raw line is kept in ``_corrupt_record``."""
+    typed = clean_sales(raw)
+    return typed.select("sale_id", "date", "sales_date", "store_id", "product_id", "unit", CORRUPT_COLUMN,
+                        rejected(typed).alias("is_quarantined"))
+
+
+def write_batch(batch: DataFrame, batch_id: int, output_dir: str, ingest: str, daily_rollup: bool) -> None:
+    """Write one micro-batch to its own folders; written again, it replaces them."""
+    root, own = output_dir.rstrip("/"), f"ingest={ingest}/batch={batch_id}"
+    batch = batch.persist()  # read once for the two or three writes
+    try:
+        good = with_month(batch.filter(~F.col("is_quarantined"))
+                          .select("sale_id", "sales_date", "store_id", "product_id", "unit"))
+        bad = batch.filter("is_quarantined").drop("is_quarantined", "sales_date")
+        bad.write.mode("overwrite").parquet(f"{root}/{QUARANTINE}/{own}")
+        if daily_rollup:
+            # before the rows: a part whose rows are not there yet is overwritten by the replay
+            rollup(good).write.mode("overwrite").parquet(f"{root}/{STREAM_DAILY}/{own}")
+        good.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(f"{root}/{STREAM}/{own}")
+    finally:
+        batch.unpersist()
 
 
 def start_sales_ingest(spark: SparkSession, input_dir: str, output_dir: str,
@@ -60,38 +67,24 @@ def start_sales_ingest(spark: SparkSession, input_dir: str, output_dir: str,
                        processing_time: str = "1 minute",
                        max_files_per_trigger: int | None = None,
                        daily_rollup: bool = False) -> tuple[StreamingQuery, ...]:
-    """Start the clean and quarantine sinks (and, with ``daily_rollup``, the daily-rollup
-    parts read by ``RetailModel.from_parquet(..., grain='daily')``); returns the queries.
+    """Start the ingest; with ``daily_rollup`` each micro-batch's rollup is written as well.
+    ``RetailModel.from_parquet(output_dir)`` reads the rows together with batch-written ones.
 
     ``checkpoint_dir`` defaults to a folder under ``spark.checkpoint.dir`` (shared storage
-    on a cluster). ``available_now=True`` processes what is there and stops (batch-like
-    scheduling); otherwise a trigger every ``processing_time``.
+    on a cluster) that is named by the input and output folders, so that each ingest has
+    its own. The folders written are named by the checkpoint: a new checkpoint on old
+    output adds to it and replaces nothing. ``available_now=True`` processes what is there
+    and stops (batch-like scheduling); otherwise a trigger every ``processing_time``.
     """
-    root = (checkpoint_dir or ensure_checkpoint_dir(spark).rstrip("/") + "/sales-ingest").rstrip("/")
     out = output_dir.rstrip("/")
+    if checkpoint_dir is None:
+        pair = hashlib.sha256(f"{input_dir.rstrip('/')}\n{out}".encode()).hexdigest()[:16]
+        checkpoint_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sales-ingest-{pair}"
+    root = checkpoint_dir.rstrip("/")
+    ingest = "i" + hashlib.sha256(root.encode()).hexdigest()[:16]
     cleaned = clean_sales_stream(sales_stream(spark, input_dir, max_files_per_trigger))
-
-    def sink(df: DataFrame, name: str, path: str, partition: str | None) -> StreamingQuery:
-        writer = (df.writeStream.format("parquet").outputMode("append")
-                  .option("path", path).option("checkpointLocation", f"{root}/{name}")
-                  .queryName(f"tillroll_{name}"))
-        if partition:
-            writer = writer.partitionBy(partition)
-        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-            processingTime=processing_time)
-        return writer.start()
-
-    good = (cleaned.filter(~F.col("is_quarantined"))
-            .select("sale_id", "sales_date", "store_id", "product_id", "unit")
-            .withColumn(PARTITION_COLUMN, F.date_format("sales_date", "yyyy-MM")))
-    bad = cleaned.filter(F.col("is_quarantined")).select("sale_id", "date", "store_id", "product_id", "unit")
-    queries = [sink(good, "sales", f"{out}/sales", PARTITION_COLUMN),
-               sink(bad, "quarantine", f"{out}/quarantine", None)]
-    if daily_rollup:
-        writer = (good.writeStream.queryName("tillroll_sales_daily")
-                  .option("checkpointLocation", f"{root}/sales_daily")
-                  .foreachBatch(lambda batch, batch_id: write_daily_part(batch, batch_id, out)))
-        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-            processingTime=processing_time)
-        queries.append(writer.start())
-    return tuple(queries)
+    writer = (cleaned.writeStream.queryName(f"tillroll_sales_{ingest}")
+              .option("checkpointLocation", root)
+              .foreachBatch(lambda batch, n: write_batch(batch, n, out, ingest, daily_rollup)))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
+    return (writer.start(),)
