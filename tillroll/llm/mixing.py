@@ -23,6 +23,7 @@ from tillroll.llm.storage import written
 WORD = r"[^\x20\x09-\x0D]+"
 GOLDEN = 0.6180339887498949
 MAX_EPOCHS = 2
+MAX_BROADCAST_SOURCES = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -120,8 +121,9 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     # the shuffled line: buckets by hash, so that no window holds more than a bucket
     n_rows = sized.count()
     buckets = max(1, n_rows // bucket_rows)
-    # one row per source: a side of known size
-    placed = (sized.join(F.broadcast(wanted), sized["source"].eqNullSafe(wanted["source"]))
+    # one row per source: counted above, so its broadcast is of a known size
+    small = F.broadcast if len(goal) <= MAX_BROADCAST_SOURCES else (lambda df: df)
+    placed = (sized.join(small(wanted), sized["source"].eqNullSafe(wanted["source"]))
               .select("row", "doc_id", sized["source"].alias("source"), "size", "source_no",
                       "source_size", "target",
                       F.xxhash64("doc_id", F.lit(seed)).alias("h"))
@@ -138,7 +140,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
 
     # word range [floor(r * T / k), floor((r + 1) * T / k)) of the repeated line is block r
     words = F.floor("target").cast("long")
-    epochs = (placed.filter("size > 0").join(F.broadcast(n_slots), "source_no")
+    epochs = (placed.filter("size > 0").join(small(n_slots), "source_no")
               .withColumn("words", words)
               .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(int(most) - 1))))
               .withColumn("lo", F.col("lo") + F.col("epoch") * F.col("source_size"))

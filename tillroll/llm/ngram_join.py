@@ -504,9 +504,13 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wor
     sets = written(entity_sets(texts, wanted, words), "sets", "uncompressed")
     groups = grouped(sets, percent)
     links = opened(sets, groups, shared, percent)
-    # documents of one id are one node: its texts' groups are linked
     same = groups.filter("rep <> grp").select(F.col("rep").alias("a"), F.col("grp").alias("b"))
-    labels = connected_components(links.unionByName(same))
+    # an id with several texts is one node: its texts' entities are linked by it
+    several = full.groupBy("doc_id").agg(F.min(F.struct("e", "e2")).alias("lo"), F.max(F.struct("e", "e2")).alias("hi")) \
+        .filter("lo <> hi").select("doc_id")
+    one = full.join(several, "doc_id", "left_semi").join(entities, ["e", "e2"]) \
+        .select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    labels = connected_components(links.unionByName(same).unionByName(one))
     labels = entities.join(labels.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("e", "e2", F.coalesce("component", "rep").alias("component_id"))
     return (rows.join(labels, ["e", "e2"], "left")

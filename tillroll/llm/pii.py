@@ -116,6 +116,7 @@ LABELLED: tuple[str, ...] = (
     "ring [phone (020) 7946 0958] after five", "fax [phone 212.555.0134] works", "mobile [phone 0171 2345678] is new",
     "reach us at [phone (312) 555-0199] or come", "cell [phone 415-555-0132] please", "phone [phone (030) 901820] rang",
     "contact [phone +1 (678) 555-5272] soon", "call [phone +49 30 1234567] at once", "tel [phone 06 12 34 56 78] merci",
+    "it is [phone 212-555-0147] now", "my number is [phone 646-555-0188] at home",
     "visa [card 4111 1111 1111 1111] was used", "card [card 5500-0000-0000-0004] is old",
     "mastercard [card 5105105105105100] expired", "amex [card 3782 822463 10005] too", "card [card 4012888888881881] ok",
     "write to [email ann.lee@mail.example.org] soon", "mail [email bob@host] for more", "email [email x.y@intranet] works",
