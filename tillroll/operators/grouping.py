@@ -7,12 +7,25 @@ are provably few, from a window over them in the same pass. Never a cross join.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.measures import money_sum, percent, ratio, revenue, round_half_up
+from tillroll.operators.ordered import sort_exprs
+
+
+def final_order(*order: tuple[str, bool]):
+    """A question's rows come in this order: (column, ascending) pairs, the last ones making
+    it unique. A range sort of the (grouped) result; NULLs first ascending, last descending."""
+    def wrap(question):
+        @functools.wraps(question)
+        def run(*args, **options) -> DataFrame:
+            return question(*args, **options).orderBy(*sort_exprs(order))
+        return run
+    return wrap
 
 
 def _keys(keys) -> list:

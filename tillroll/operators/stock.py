@@ -12,6 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.grouping import final_order
 from tillroll.functions.measures import MONEY, ratio
 from tillroll.functions.rules import bucketize, classify
 from tillroll.model import RetailModel
@@ -59,6 +60,7 @@ def units_sold_recent(df: DataFrame, days: int, inclusive: bool = True,
     return recent.groupBy(key).agg(F.sum("unit").cast("bigint").alias("total_sold"))
 
 
+@final_order(("total_stock", False), ("product_name", True))
 def overstock(model: RetailModel, days: int = 90, ratio_limit: int = 5, inclusive: bool = True) -> DataFrame:
     """Products whose stock exceeds ``ratio_limit`` x units sold in the last ``days`` (Q26).
 
@@ -151,6 +153,7 @@ def unsold_products(model: RetailModel, days: int = 90, source: str = "sales",
     return not_in(products, sold, "product_id", right_nullable=source != "view")
 
 
+@final_order(("total_dead_stock_cost", False), ("store_id", True))
 def dead_stock_cost(model: RetailModel, days: int = 90, source: str = "view",
                     inclusive: bool = True) -> DataFrame:
     """Value (stock x cost) and units of unsold products per store (Q30)."""

@@ -12,11 +12,14 @@ from tillroll.functions.measures import (
 )
 from tillroll.functions.rules import bucketize, classify
 from tillroll.model import RetailModel
-from tillroll.operators.grouping import mean_by, revenue_by, share_of_total, top_k, versus_average
+from tillroll.operators.grouping import (
+    final_order, mean_by, revenue_by, share_of_total, top_k, versus_average,
+)
 from tillroll.operators.periods import declining, median_by
 from tillroll.operators.ranking import rank_within
 
 
+@final_order(("total_units_sold", False), ("product_name", True))
 def high_volume_low_profit(model: RetailModel, min_units: int = 5000,
                            max_profit: int = 20000) -> DataFrame:
     """Q7: products selling more than ``min_units`` units with profit below ``max_profit``."""
@@ -66,6 +69,7 @@ def best_margin(model: RetailModel, k: int = 1) -> DataFrame:
                        round_half_up(F.col("mean_margin"), 0).cast("bigint").alias("profit_margin_percent"))
 
 
+@final_order(("average_per_category", False), ("product_category", True))
 def category_price(model: RetailModel) -> DataFrame:
     """Q12: mean list price per category, from the products table alone."""
     return mean_by(model.products, "product_category", "product_price", "average_per_category", 2)
@@ -79,6 +83,7 @@ def rank_in_category(model: RetailModel) -> DataFrame:
     return ranked.select("product_category", "product_name", "rank_product_category")
 
 
+@final_order(("revenue", False), ("product_name", True))
 def market_share(model: RetailModel) -> DataFrame:
     """Q34: each product's share of total revenue."""
     per = revenue_by(model.sales_view(), "product_name", "revenue")
@@ -128,6 +133,7 @@ PROMOTION_DECISION = ("promoted", "not promoted")
 PROMOTION_PRIORITY = ("PRIORITY 1 - Best margin", "PRIORITY 2 - Great margin", "PRIORITY 3 - Good margin")
 
 
+@final_order(("margin_profit", False), ("revenue", True), ("product_name", True))
 def promotion_candidates(model: RetailModel, max_revenue: float = 50000, min_margin: float = 50,
                          priority_edges: Sequence = (70, 60), keep_all: bool = False) -> DataFrame:
     """Q42: good margin but slow sales. ``keep_all`` returns every product classified."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.measures import revenue
 from tillroll.functions.rules import bucketize
 from tillroll.model import RetailModel
-from tillroll.operators.grouping import avg_per_group, revenue_by, share_by_bucket, top_k
+from tillroll.operators.grouping import avg_per_group, final_order, revenue_by, share_by_bucket, top_k
 from tillroll.operators.periods import monthly, period_change
 from tillroll.operators.ranking import pareto, rank_groups, running_total
 
@@ -50,6 +50,7 @@ def average_per_order(model: RetailModel, order_key: str = "sale_id") -> DataFra
     return avg_per_group(model.line_view(), order_key, revenue(), "average_per_order")
 
 
+@final_order(("total_revenue", False), ("price_range", True))
 def price_band_share(model: RetailModel, edges: Sequence = PRICE_BAND_EDGES,
                      labels: Sequence[str] = PRICE_BAND_LABELS) -> DataFrame:
     """Q6: revenue and share of total per price band (upper edges inclusive)."""

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import day_name_of
 from tillroll.model import RetailModel
-from tillroll.operators.grouping import revenue_by
+from tillroll.operators.grouping import final_order, revenue_by
 from tillroll.operators.periods import (
     consistent_top_periods, last_vs_previous, peak_season, promotion_months, trend,
 )
 from tillroll.operators.ranking import rank_groups
 
 
+@final_order(("years_in_top_k", False), ("month", True))
 def strong_months(model: RetailModel, k: int = 3, min_years: int | None = None) -> DataFrame:
     """Q20: months in the top k of every year (or of at least ``min_years`` years)."""
     return consistent_top_periods(model.sales_view(), k, min_years)
@@ -37,6 +38,7 @@ def peak_seasons(model: RetailModel) -> DataFrame:
     return peak_season(model.sales_view(), "product_name")
 
 
+@final_order(("revenue", False), ("month", True))
 def promotion_timing(model: RetailModel, as_written: bool = False) -> DataFrame:
     """Q24: weakest and strongest calendar month."""
     return promotion_months(model.sales_view(), as_written)

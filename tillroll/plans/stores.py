@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.measures import money_sum, percent, profit, ratio, revenue, round_half_up
 from tillroll.functions.rules import bucketize, classify
 from tillroll.model import RetailModel
-from tillroll.operators.grouping import revenue_by, spread, top_k, versus_average
+from tillroll.operators.grouping import final_order, revenue_by, spread, top_k, versus_average
 from tillroll.operators.ranking import compare_to_previous, rank_groups, top_k_within
 
 
@@ -69,6 +69,7 @@ def top_products_per_store(model: RetailModel, k: int = 3) -> DataFrame:
 REVIEW_LABELS = ("Consider closing", "relocated", "keep open")
 
 
+@final_order(("total_revenue", True), ("store_name", True), ("store_city", True))
 def store_review(model: RetailModel, edges: Sequence = (400000, 600000),
                  labels: Sequence[str] = REVIEW_LABELS, max_revenue: float | None = 400000) -> DataFrame:
     """Q40: revenue, profit, margin and a recommendation per store."""
@@ -92,6 +93,7 @@ PRIORITY_LABELS = ("PRIORITY 1 - High potential", "PRIORITY 2 - Growth opportuni
                    "PRIORITY 3 - Low priority")
 
 
+@final_order(("total_profit", False), ("store_city", True))
 def city_expansion(model: RetailModel, high: float = 80000, mid: float = 60000, low: float = 30000,
                    few_stores: int = 2, some_stores: int = 3,
                    min_profit: float | None = 60000, approximate: bool = False) -> DataFrame:
