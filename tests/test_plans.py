@@ -56,7 +56,8 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["store_id", "product_name", "revenue", "rank_product"]
     assert df.count() > 0
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    # every retail question has its SQL; other queries may have none
+    assert set(queries()) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_window_bound_reaches_parquet(spark):
