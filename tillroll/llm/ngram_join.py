@@ -10,13 +10,18 @@ at least ``percent`` %. The steps, each a Spark job over all documents:
    sets are one *entity* from here on, named by its smallest id.
 3. ``shared_tokens``: of an entity of n shingles only the first n - ceil(t n) + l(n) in
    that order are dealt out, packed by token range. Sets that link share at least
-   min(l(x), l(y)) of these; entities that share fewer with all others are done.
+   min(l(x), l(y)) of these; entities that share fewer with all others are done. The first
+   n - ceil(2t/(1+t) n) + l(n) are marked early: of a linked pair the smaller set shares
+   l of its early ones with the larger one's prefix.
 4. ``grouped``: similar entities become groups: those that agree in a minimum hash are
    compared in chunks, and those that link are one group; again with the groups' leaders
    and other hashes. A group of thousands of near copies is found here in linear work.
 5. ``opened``: the token-group matrix holds, for each token, the groups that have it in any
-   member. An entity of a smaller group is compared with the members of another group
-   only if it shares enough prefix tokens with that group's union, chunk by chunk.
+   member. Entities of smaller groups meet other groups by tokens that are early on the
+   side of the smaller set; the overlap of their whole prefix with the group's union then
+   bounds what they can have in common. They are compared with the members of the groups
+   that qualify, chunk by chunk. Two short documents around one shared passage meet only
+   if it fills six sevenths of one of them; were it so of both, they would be linked.
 6. Links between groups are joined into components.
 
 A pair of different texts is left out only where a bound rules the link out, or where both
@@ -151,6 +156,12 @@ def needed_overlap(n, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
+def early_tokens(n: int, percent: int = PERCENT) -> int:
+    """How many of its first tokens a set needs to meet any linked set that is not smaller:
+    such a pair has 2 percent / (100 + percent) of this set's tokens in common."""
+    return n + (-2 * percent * n // (100 + percent)) + int(least(n))
+
+
 def prefix(s: np.ndarray, frequent: np.ndarray, ranks: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The set's first tokens in the common order: rare ones by hash, then frequent ones by
     their rank."""
@@ -222,26 +233,32 @@ def profiles(texts: DataFrame, words: int) -> DataFrame:
 
 def shared_tokens(texts: DataFrame, words: int, percent: int, order: tuple[np.ndarray, np.ndarray],
                   total: int) -> DataFrame:
-    """(token, e): prefix tokens that two different entities hold, with all their holders.
+    """(token, e, early): prefix tokens that two different entities hold, with all their
+    holders and whether the token is among the holder's early ones.
 
-    Tokens are packed by range into binary rows of 12 bytes an entry; ranges are fine enough
-    for about a quarter of a million entries each.
+    Tokens are packed by range into binary rows of 12 bytes an entry, of which the lowest
+    bit of the token's four tells early (0) from late; ranges are fine enough for about a
+    quarter of a million entries each. Tokens that agree in the bits kept count as one,
+    which can only bring more sets together.
     """
     bits = max(4, min(24, int(total // 750_000).bit_length()))
     shared = texts.sparkSession.sparkContext.broadcast(order)  # FREQUENT entries at most
     down = U(64 - bits)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, owners, n = [], [], 0
+        tokens, owners, firsts, n = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
             t = np.concatenate(tokens)
-            own = np.repeat(np.array(owners, np.int64), [len(x) for x in tokens])
+            sizes = np.array([len(x) for x in tokens])
+            own = np.repeat(np.array(owners, np.int64), sizes)
+            place = np.arange(len(t)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            late = (place >= np.repeat(np.array(firsts), sizes)).astype(np.uint32)
             by = np.argsort(t, kind="stable")
-            t, own = t[by], own[by]
+            t, own, late = t[by], own[by], late[by]
             bucket = (t >> down).astype(np.int64)
             cuts = np.flatnonzero(np.diff(bucket)) + 1
-            low = (t >> (down - U(32))).astype(np.uint32)
+            low = (t >> (down - U(31))).astype(np.uint32) << np.uint32(1) | late
             edges = [0, *cuts.tolist(), len(t)]
             spans = list(zip(edges[:-1], edges[1:]))
             return pa.RecordBatch.from_arrays(
@@ -254,27 +271,28 @@ def shared_tokens(texts: DataFrame, words: int, percent: int, order: tuple[np.nd
                     p = prefix(s, *shared.value, percent)
                     tokens.append(p)
                     owners.append(fingerprint(s)[0])
+                    firsts.append(early_tokens(len(s), percent))
                     n += len(p)
                     if n >= BLOCK // 2:
                         yield flush()
-                        tokens, owners, n = [], [], 0
+                        tokens, owners, firsts, n = [], [], [], 0
         if tokens:
             yield flush()
 
     def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        t = np.frombuffer(b"".join(table.column("tokens").to_pylist()), np.uint32)
+        low = np.frombuffer(b"".join(table.column("tokens").to_pylist()), np.uint32)
         own = np.frombuffer(b"".join(table.column("owners").to_pylist()), np.int64)
-        by = np.lexsort((own, t))
-        t, own = t[by], own[by]
+        by = np.lexsort((low & 1, own, low >> 1))
+        t, own, late = low[by] >> 1, own[by], low[by] & 1
         first = np.concatenate(([True], (t[1:] != t[:-1]) | (own[1:] != own[:-1])))
-        t, own = t[first], own[first]
+        t, own, late = t[first], own[first], late[first]
         _, at, n = np.unique(t, return_inverse=True, return_counts=True)
         more = n[at] > 1
-        token = (np.int64(key[0].as_py()) << 32) | t[more].astype(np.int64)
-        return pa.table({"token": token, "e": own[more]})
+        token = (np.int64(key[0].as_py()) << 31) | t[more].astype(np.int64)
+        return pa.table({"token": token, "e": own[more], "early": late[more] == 0})
 
     return (texts.select("text").mapInArrow(deal, "bucket long, tokens binary, owners binary")
-            .groupBy("bucket").applyInArrow(meet, "token long, e long"))
+            .groupBy("bucket").applyInArrow(meet, "token long, e long, early boolean"))
 
 
 # ---- sets and comparisons ------------------------------------------------------------
@@ -430,22 +448,40 @@ def _can_link(percent: int) -> str:
 
 def opened(sets: DataFrame, groups: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
     """(a, b): links between groups."""
-    sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("members"))
+    sizes = sets.select("rep", "n").join(groups, "rep").groupBy("grp").agg(
+        F.count(F.lit(1)).alias("members"), F.min("n").alias("shortest"), F.max("n").alias("longest"))
     named = sets.select("e", "rep", "n").join(groups, "rep").join(sizes, "grp")
-    tokens = shared.join(named, "e").select("token", "rep", "n", "grp", "members")
+    tokens = shared.join(named, "e").select("token", "early", "rep", "n", "grp", "members", "shortest", "longest")
     # the matrix: (token, group), for tokens that more than one group holds
     several = tokens.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo <> hi")
     tokens = written(tokens.join(several.select("token"), "token", "left_semi"), "group-tokens")
-    matrix = tokens.select("token", F.col("grp").alias("other"), F.col("members").alias("other_members")).distinct()
+    other = [F.col("grp").alias("other"), F.col("members").alias("other_members")]
+    matrix = tokens.select("token", *other, "shortest", "longest").distinct()
+    own = tokens.select("token", "early", "rep", "n", "grp", "members")
+    # sets that share enough of their early tokens to meet one that is not smaller
+    enough = (tokens.filter("early").groupBy("rep", "n").agg(F.count(F.lit(1)).alias("hits"))
+              .filter("hits >= 1 + n div 16").select("rep"))
+    early = written(tokens.filter("early").join(enough, "rep", "left_semi"), "early-tokens")
+    small = early.groupBy("token", *other).agg(F.min("n").alias("shortest"), F.max("n").alias("longest"))
     smaller = (F.col("members") < F.col("other_members")) | (
         (F.col("members") == F.col("other_members")) & (F.col("grp") < F.col("other")))
-    spread = sets.join(groups, "rep").groupBy(F.col("grp").alias("other")).agg(
-        F.min("n").alias("shortest"), F.max("n").alias("longest"))
-    least_n = F.expr(f"1 + (({percent} * n + 99) div 100) div 16")
-    bound = (tokens.join(matrix, "token").filter(smaller)
+    least_n = f"1 + (({percent} * n + 99) div 100) div 16"
+
+    def meet(rows: DataFrame, groups_of: DataFrame, sizes_fit: str, hits: str) -> DataFrame:
+        return (rows.select("token", "rep", "n", "grp", "members")
+                .join(groups_of, "token").filter(smaller & F.expr(sizes_fit))
+                .groupBy("rep", "n", "grp", "other", "other_members").agg(F.count(F.lit(1)).alias("hits"))
+                .filter(F.expr(f"hits >= {hits}")).drop("hits"))
+
+    # the set asked for is the smaller one of a pair, or the group's member is
+    asking = meet(early, matrix, f"longest >= n and {percent} * shortest <= 100 * n", "1 + n div 16")
+    asked_of = meet(own, small, f"shortest <= n and 100 * longest >= {percent} * n", least_n)
+    met = written(asking.unionByName(asked_of).distinct(), "met-groups")
+    bound = (met.join(own.select("rep", "token"), "rep").join(matrix.select("token", "other"), ["token", "other"])
              .groupBy("rep", "n", "grp", "other", "other_members").agg(F.count(F.lit(1)).alias("overlap"))
-             .filter(F.col("overlap") >= least_n).join(spread, "other").filter(_can_link(percent))
-             .select("rep", "grp", "other", "other_members"))
+             .filter(F.expr(f"overlap >= {least_n}"))
+             .join(sizes.select(F.col("grp").alias("other"), "shortest", "longest"), "other")
+             .filter(_can_link(percent)).select("rep", "grp", "other", "other_members"))
     bound = written(bound, "open-groups")
 
     # queries in blocks against the group's members in chunks
