@@ -80,6 +80,7 @@ QUESTIONS: dict[str, Callable[[RetailModel], DataFrame]] = {
     "q23": seasons.peak_seasons,
     "q24": seasons.promotion_timing,
     "q25": lambda m: inventory.stock_status(m, max_stock=500),
+    "q25_all": lambda m: inventory.stock_status(m, max_stock=None),
     "q26": lambda m: inventory.overstock(m, 90, 5),
     "q27": lambda m: inventory.turnover(m, 3, 6),
     "q28": lambda m: inventory.urgent_reorder(m, 200),
@@ -101,9 +102,13 @@ QUESTIONS: dict[str, Callable[[RetailModel], DataFrame]] = {
     "q38f": lambda m: drivers.compare_factors(m, 3),
     "q39": lambda m: products.discontinue_candidates(m, (500000, 1500000), (250, 650)),
     "q40": lambda m: stores.store_review(m, (13500000, 20250000), max_revenue=13500000),
+    "q40_all": lambda m: stores.store_review(m, (13500000, 20250000), max_revenue=None),
     "q41": lambda m: stores.city_expansion(m, high=20000000, mid=15000000, low=7500000,
                                            min_profit=15000000),
+    "q41_all": lambda m: stores.city_expansion(m, high=20000000, mid=15000000, low=7500000,
+                                               min_profit=None),
     "q42": lambda m: products.promotion_candidates(m, 600000, 50),
+    "q42_all": lambda m: products.promotion_candidates(m, 600000, 50, keep_all=True),
 }
 
 
@@ -167,6 +172,7 @@ DESCRIPTIONS: dict[str, str] = {
     "q23": "peak calendar month of each product",
     "q24": "weakest and strongest calendar month",
     "q25": "products at risk of running out of stock",
+    "q25_all": "every product's stock risk",
     "q26": "products with stock far above recent sales",
     "q27": "inventory turnover per product",
     "q28": "products needing an urgent reorder",
@@ -188,6 +194,9 @@ DESCRIPTIONS: dict[str, str] = {
     "q38f": "top 3 stores, months and categories, stacked",
     "q39": "discontinue candidates: low revenue and low unit profit",
     "q40": "store review: revenue, profit, margin, recommendation",
+    "q40_all": "store review of every store",
     "q41": "city expansion: statistics, decision and priority",
+    "q41_all": "city expansion: every city",
     "q42": "promotion candidates: good margin, slow sales",
+    "q42_all": "promotion decision on every product",
 }
