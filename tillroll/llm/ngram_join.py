@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.chunks import slices
@@ -453,29 +453,31 @@ def opened(sets: DataFrame, groups: DataFrame, shared: DataFrame, percent: int)
     named = sets.select("e", "rep", "n").join(groups, "rep").join(sizes, "grp")
     tokens = shared.join(named, "e").select("token", "early", "rep", "n", "grp", "members", "shortest", "longest")
     # the matrix: (token, group), for tokens that more than one group holds
-    several = tokens.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo <> hi")
-    tokens = written(tokens.join(several.select("token"), "token", "left_semi"), "group-tokens")
+    several = tokens.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"),
+                                          F.count(F.lit(1)).alias("holders")).filter("lo <> hi")
+    tokens = written(tokens.join(several.select("token", "holders"), "token"), "group-tokens")
     other = [F.col("grp").alias("other"), F.col("members").alias("other_members")]
     matrix = tokens.select("token", *other, "shortest", "longest").distinct()
     own = tokens.select("token", "early", "rep", "n", "grp", "members")
-    # sets that share enough of their early tokens to meet one that is not smaller
-    enough = (tokens.filter("early").groupBy("rep", "n").agg(F.count(F.lit(1)).alias("hits"))
-              .filter("hits >= 1 + n div 16").select("rep"))
-    early = written(tokens.filter("early").join(enough, "rep", "left_semi"), "early-tokens")
+    # of its early tokens a set shares l(n) with a linked set that is not smaller, so one at
+    # least of any choice that leaves l(n) - 1 out: those with the most holders
+    hits, by_holders = Window.partitionBy("rep"), Window.partitionBy("rep").orderBy("holders", "token")
+    early = written(tokens.filter("early").withColumns({
+        "hits": F.count(F.lit(1)).over(hits), "place": F.row_number().over(by_holders)})
+        .filter("place <= hits - n div 16").drop("hits", "place"), "early-tokens")
     small = early.groupBy("token", *other).agg(F.min("n").alias("shortest"), F.max("n").alias("longest"))
     smaller = (F.col("members") < F.col("other_members")) | (
         (F.col("members") == F.col("other_members")) & (F.col("grp") < F.col("other")))
     least_n = f"1 + (({percent} * n + 99) div 100) div 16"
 
-    def meet(rows: DataFrame, groups_of: DataFrame, sizes_fit: str, hits: str) -> DataFrame:
+    def meet(rows: DataFrame, groups_of: DataFrame, sizes_fit: str) -> DataFrame:
         return (rows.select("token", "rep", "n", "grp", "members")
                 .join(groups_of, "token").filter(smaller & F.expr(sizes_fit))
-                .groupBy("rep", "n", "grp", "other", "other_members").agg(F.count(F.lit(1)).alias("hits"))
-                .filter(F.expr(f"hits >= {hits}")).drop("hits"))
+                .select("rep", "n", "grp", "other", "other_members"))
 
     # the set asked for is the smaller one of a pair, or the group's member is
-    asking = meet(early, matrix, f"longest >= n and {percent} * shortest <= 100 * n", "1 + n div 16")
-    asked_of = meet(own, small, f"shortest <= n and 100 * longest >= {percent} * n", least_n)
+    asking = meet(early, matrix, f"longest >= n and {percent} * shortest <= 100 * n")
+    asked_of = meet(own, small, f"shortest <= n and 100 * longest >= {percent} * n")
     met = written(asking.unionByName(asked_of).distinct(), "met-groups")
     bound = (met.join(own.select("rep", "token"), "rep").join(matrix.select("token", "other"), ["token", "other"])
              .groupBy("rep", "n", "grp", "other", "other_members").agg(F.count(F.lit(1)).alias("overlap"))
