@@ -90,6 +90,19 @@ def test_join_without_grouping_hashes(spark, monkeypatch):
     _check_join(spark, rows)
 
 
+def test_join_of_texts_around_one_passage(spark, monkeypatch):
+    """Sets of many sizes that a shared passage fills by more or less than six sevenths."""
+    monkeypatch.setattr(ngram_join, "grouped", lambda sets, percent: sets.select("rep", F.col("rep").alias("grp")).distinct())
+    draw = random.Random(12)
+    passage = [f"p{i}" for i in range(70)]
+    rows = []
+    for n in range(60):
+        own = [f"o{draw.randrange(40)}" for _ in range(n % 30)]
+        cut = draw.randint(0, 20)
+        rows.append((n, " ".join(own + passage[cut:] if n % 2 else passage[:70 - cut] + own)))
+    _check_join(spark, rows)
+
+
 @pytest.mark.parametrize("frame", ["docs", "odd", "empty"])
 def test_join_tables(request, frame):
     df = request.getfixturevalue(frame)
