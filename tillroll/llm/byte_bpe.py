@@ -14,10 +14,16 @@ import functools
 import os
 import re
 
-from tillroll.llm.chunks import ChunkTable
+import numpy as np
+
+from tillroll.llm.chunks import ChunkTable, EncodeMany, laid_out
 
 #: Marks the keys of chunks that no space leads: a private character, not taken from texts.
 UNLED = "\ue000"
+#: How byte-level vocabularies write a space.
+SPACE = "\u0120"
+#: New words that are encoded as one line.
+JOINED = 256
 _SPACE_RUN = re.compile(r" \s* ")
 # searches of one class each are several times faster than alternatives
 _BREAK_SPACE, _SPACE_BREAK = re.compile(r"\n\s"), re.compile(r"[^\S\n]\n")
@@ -54,10 +60,45 @@ def encode_whole(path: str):
     return lambda text: tokenizer(path).encode(text, add_special_tokens=False).ids
 
 
-def encode_many(path: str):
-    def run(keys: list[str]) -> list:
-        found = tokenizer(path).encode_batch_fast([chunk_text(k) for k in keys], add_special_tokens=False)
-        return [e.ids for e in found]
+@functools.lru_cache(maxsize=4)
+def _opens_with_space(path: str) -> np.ndarray:
+    """For each id whether its token begins with a space."""
+    vocabulary = tokenizer(path).get_vocab()
+    opens = np.zeros(max(vocabulary.values()) + 1, bool)
+    opens[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+    return opens
+
+
+def encode_many(path: str) -> EncodeMany:
+    """Chunk keys -> their ids. Words led by a space and without other white space are
+    encoded as lines of JOINED words: such a word's first token, and no other, begins with a
+    space, which shows where each word's ids begin. All other keys, and the words of a line
+    that doesn't hold to that, are encoded by themselves."""
+    def encoded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return laid_out([e.ids for e in tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)])
+
+    def run(keys: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        starts, lengths = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        single, plain = [], []
+        for i, key in enumerate(keys):
+            (plain if key[:1] != UNLED and key.split() == [key] else single).append(i)
+        lines = [plain[i:i + JOINED] for i in range(0, len(plain), JOINED)]
+        flat, _, sizes = encoded([" " + " ".join([keys[i] for i in line]) for line in lines])
+        first = np.flatnonzero(_opens_with_space(path)[flat])
+        ends = np.cumsum(sizes)
+        opened = np.diff(np.searchsorted(first, np.concatenate(([0], ends))))
+        at = 0
+        for line, n, end in zip(lines, opened.tolist(), ends.tolist()):
+            if n == len(line):
+                begin = first[at:at + n]
+                starts[line] = begin
+                lengths[line] = np.diff(begin, append=end)
+            else:
+                single += line
+            at += n
+        alone, begin, sizes = encoded([chunk_text(keys[i]) for i in single])
+        starts[single], lengths[single] = len(flat) + begin, sizes
+        return np.concatenate((flat, alone)), starts, lengths
     return run
 
 

@@ -7,7 +7,7 @@ once per worker and the ids are put back by position with numpy gathers.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -15,6 +15,16 @@ import numpy as np
 #: Texts are worked on in slices of about this many characters, which bounds a worker's memory.
 SLICE_CHARS = 1_000_000
 
+#: Chunk keys -> all their ids, and where among these each key's begin and how many they are.
+EncodeMany = Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def laid_out(found: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A list of id lists in the form of EncodeMany."""
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
+    flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+    return flat, np.cumsum(lengths) - lengths, lengths
+
 
 class _Codes(dict):
     """Word -> code; an unknown word gets the next code and is noted as new."""
@@ -32,12 +42,12 @@ class _Codes(dict):
 class ChunkTable:
     """Distinct chunks with their ids (``keep_ids``) or only the number of their ids.
 
-    ``encode_many`` turns a list of chunk keys into a list of id sequences. A table of more
+    ``encode_many`` turns a list of chunk keys into ids. A table of more
     than ``max_entries`` chunks is cut back to its most used ones, so that a worker's memory
     stays bounded; that changes only how often a chunk is encoded, never a result.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], Sequence], keep_ids: bool = True,
+    def __init__(self, encode_many: EncodeMany, keep_ids: bool = True,
                  max_entries: int = 500_000, seed: dict[str, int] | None = None) -> None:
         self.encode_many, self.keep_ids, self.max_entries = encode_many, keep_ids, max_entries
         self.seed = seed or {}
@@ -88,16 +98,13 @@ class ChunkTable:
     def _add(self, words: list[str]) -> None:
         first = len(self.codes) - len(words)
         self._room(len(self.codes))
-        found = self.encode_many(words)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.lengths[first:first + len(found)] = lengths
+        flat, starts, lengths = self.encode_many(words)
+        self.lengths[first:first + len(words)] = lengths
         if self.keep_ids:
-            flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
             if self.used + len(flat) > len(self.ids):
                 self.ids = np.resize(self.ids, 2 * (self.used + len(flat)))
             self.ids[self.used:self.used + len(flat)] = flat
-            ends = self.used + np.cumsum(lengths)
-            self.starts[first:first + len(found)] = ends - lengths
+            self.starts[first:first + len(words)] = self.used + starts
             self.used += len(flat)
 
     def lookup(self, words: list[str]) -> np.ndarray:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.chunks import ChunkTable, encode_texts
+from tillroll.llm.chunks import ChunkTable, encode_texts, EncodeMany, laid_out
 
 MARK = "▁"
 _MARKED = re.compile(r" +[^ ]*")
@@ -63,12 +63,12 @@ def encode_whole(path: str):
     return lambda text: processor(path).encode(text, num_threads=1)
 
 
-def encode_many(path: str):
-    def run(keys: list[str]) -> list:
+def encode_many(path: str) -> EncodeMany:
+    def run(keys: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sp = processor(path)
         alone = [sp.piece_to_id(MARK)]
         found = sp.encode(keys, num_threads=1)
-        return [ids if key else alone for key, ids in zip(keys, found)]
+        return laid_out([ids if key else alone for key, ids in zip(keys, found)])
     return run
 
 

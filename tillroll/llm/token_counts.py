@@ -48,7 +48,7 @@ def frequent_chunks(texts: DataFrame, path: str, text_col: str, table_size: int,
     for row in texts.select(text_col).filter(F.length(text_col) < 20_000).limit(sample_rows).collect():
         seen.update(split(row[0]) or ())
     words = [w for w, n in seen.most_common(table_size) if n > 1]
-    return dict(zip(words, map(len, encode_many(words)))) if words else {}
+    return dict(zip(words, encode_many(words)[2].tolist())) if words else {}
 
 
 def token_counts(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text",
