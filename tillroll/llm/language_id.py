@@ -205,26 +205,27 @@ def identify(docs: DataFrame, model: dict, *, id_col: str = "doc_id", text_col:
     ``und`` with score 0. Repeated rows give repeated results; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMS x (families + pairs) floats
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
-                       held_out(id_col).alias("_held"), *[F.col(c) for c in columns])
+    carried = [c for c in columns if c != text_col]  # the text itself is sent once
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"),
+                       held_out(id_col).alias("_held"), *[F.col(c) for c in carried])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            for a, b in slices(texts):
-                for c in range(a, b, 256):
-                    d = min(b, c + 256)
-                    names, score = predict(texts[c:d], model)
-                    part = batch.slice(c, d - c)
+            for first in range(0, batch.num_rows, 256):
+                some = batch.slice(first, 256)
+                texts = [t or "" for t in some.column("_text").to_pylist()]
+                for a, b in slices(texts):
+                    names, score = predict(texts[a:b], model)
+                    part = some.slice(a, b - a)
                     yield pa.RecordBatch.from_arrays(
                         [part.column("_id"), part.column("_held"), pa.array(names, pa.string()), pa.array(score),
-                         *[part.column(x) for x in columns]],
+                         *[part.column("_text" if x == text_col else x) for x in columns]],
                         names=["_id", "_held", "_lang", "_score", *columns])
 
     schema = T.StructType([T.StructField("_id", rows.schema["_id"].dataType), T.StructField("_held", T.BooleanType()),
                            T.StructField("_lang", T.StringType()), T.StructField("_score", T.DoubleType()),
-                           *[rows.schema[c] for c in columns]])
+                           *[docs.schema[c] for c in columns]])
     return rows.mapInArrow(run, schema).select(
         F.col("_id").alias(id_col), F.col("_held").alias("held_out"), F.col("_lang").alias("lang_pred"),
         F.col("_score").alias("score"), *columns)

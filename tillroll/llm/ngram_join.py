@@ -140,6 +140,12 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
+def _sets_of(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """The shingle sets of a column of texts, of which a part at a time becomes strings."""
+    for start in range(0, len(texts), 512):
+        yield from shingle_sets(texts.slice(start, 512).to_pylist(), words)
+
+
 def fingerprint(s: np.ndarray) -> tuple[int, int]:
     """128 bits that tell sets apart, as two signed longs."""
     both = np.array([(s * _MIX[0]).sum(dtype=np.uint64), mix(s ^ _MIX[1]).sum(dtype=np.uint64)], np.uint64)
@@ -198,7 +204,7 @@ def frequent(texts: DataFrame, words: int, keep: int = FREQUENT, local: int = 4)
                 [pa.array(tokens[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["t", "n"])
 
         for batch in batches:
-            for s in shingle_sets(batch.column("text").to_pylist(), words):
+            for s in _sets_of(batch.column("text"), words):
                 held.append(s)
                 n += len(s)
                 if n >= BLOCK:
@@ -220,7 +226,7 @@ def profiles(texts: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, e, e2 = [], [], []
-            for s in shingle_sets(batch.column("text").to_pylist(), words):
+            for s in _sets_of(batch.column("text"), words):
                 a, b = fingerprint(s)
                 n.append(len(s))
                 e.append(a)
@@ -266,14 +272,14 @@ def shared_tokens(texts: DataFrame, words: int, percent: int, order: tuple[np.nd
                  pa.array([own[a:b].tobytes() for a, b in spans], pa.binary())], names=["bucket", "tokens", "owners"])
 
         for batch in batches:
-            for s in shingle_sets(batch.column("text").to_pylist(), words):
+            for s in _sets_of(batch.column("text"), words):
                 if len(s):
                     p = prefix(s, *shared.value, percent)
                     tokens.append(p)
                     owners.append(fingerprint(s)[0])
                     firsts.append(early_tokens(len(s), percent))
                     n += len(p)
-                    if n >= BLOCK // 2:
+                    if n >= BLOCK // 4:
                         yield flush()
                         tokens, owners, firsts, n = [], [], [], 0
         if tokens:
@@ -321,7 +327,7 @@ def entity_sets(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             part = batch.filter(pa.array(pick))
             ids = part.column("doc_id").to_pylist()
             rows = []
-            for doc_id, s in zip(ids, shingle_sets(part.column("text").to_pylist(), words)):
+            for doc_id, s in zip(ids, _sets_of(part.column("text"), words)):
                 if len(s):
                     level = np.array([int(np.log(len(s)) / np.log(4 / 3))], np.uint64)
                     keys = [int(mix(mix(s ^ c).min() + level * c).view(np.int64)[0]) for c in seeds]

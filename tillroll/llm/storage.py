@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,12 +16,34 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
+#: Bytes of an Arrow batch between Spark and a Python worker while a table is written: whole
+#: texts travel in them, and each batch is held on both sides.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs of this block get Arrow batches of about BATCH_BYTES; the session's own setting
+    comes back afterwards."""
+    old = spark.conf.get(_BATCH_CONF, None)
+    spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(_BATCH_CONF)
+        else:
+            spark.conf.set(_BATCH_CONF, old)
+
+
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """The rows of ``df`` as a written table: later steps read it again instead of working
     the rows out anew, and it outlives lost executors."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", compression).parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
