@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 
 from tillroll.sources.schemas import PARTITION_COLUMN
 
-# A dimension is broadcast only when its counted row total is within this bound
-# (a few narrow columns: well under 100 MB per executor). Larger dimensions take a
-# shuffle join, which AQE may still demote to a broadcast at runtime from real sizes.
+# A dimension is broadcast only when its counted rows and bytes are within these bounds.
+# Larger dimensions take a shuffle join, which AQE may still demote to a broadcast at
+# runtime from real sizes.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_CONF = "tillroll.broadcast.maxRows"
+DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
+BROADCAST_BYTES_CONF = "tillroll.broadcast.maxBytes"
+# A window in one task is used only over at most this many rows, one per dimension member.
+DEFAULT_WINDOW_MAX_ROWS = 50_000
+WINDOW_CONF = "tillroll.windows.maxRows"
+FIXED_BYTES = 16  # counted for a value of a type of fixed size, and on top of each text
 
 VIEW_COLUMNS = [
     "sale_id", "store_id", "product_id", "unit", "sales_date",
@@ -30,6 +36,8 @@ class RetailModel:
     stores: DataFrame
     inventory: DataFrame
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
+    broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
+    window_max_rows: int = DEFAULT_WINDOW_MAX_ROWS
     quarantine: dict | None = field(default=None, repr=False)  # rejected raw rows (CSV path)
     grain: str = "line"  # "line": one row per sale line; "daily": the (store, product, day) rollup
     daily_table: DataFrame | None = field(default=None, repr=False)  # a written rollup, if any
@@ -40,9 +48,13 @@ class RetailModel:
     # ---- construction -------------------------------------------------------------
     @classmethod
     def from_tables(cls, spark: SparkSession, tables: dict[str, DataFrame]) -> "RetailModel":
-        limit = int(spark.conf.get(BROADCAST_CONF, str(DEFAULT_BROADCAST_MAX_ROWS)))
+        def limit(conf: str, default: int) -> int:
+            return int(spark.conf.get(conf, str(default)))
+
         return cls(tables["sales"], tables["products"], tables["stores"], tables["inventory"],
-                   broadcast_max_rows=limit)
+                   broadcast_max_rows=limit(BROADCAST_CONF, DEFAULT_BROADCAST_MAX_ROWS),
+                   broadcast_max_bytes=limit(BROADCAST_BYTES_CONF, DEFAULT_BROADCAST_MAX_BYTES),
+                   window_max_rows=limit(WINDOW_CONF, DEFAULT_WINDOW_MAX_ROWS))
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "RetailModel":
@@ -88,16 +100,23 @@ class RetailModel:
                 "inventory": self.inventory}
 
     # ---- size-checked broadcast ---------------------------------------------------
-    def is_small(self, name: str) -> bool:
-        """Counted (not estimated) size check of a dimension, done once per model."""
-        if name not in self._small:
+    def _size(self, name: str) -> tuple[int, int]:
+        """Counted (not estimated) rows and bytes of a dimension, once per model: one partial
+        aggregate per task."""
+        if name + ".size" not in self._small:
             df = getattr(self, name)
-            # A plain count: each task ships one partial count (on parquet without reading
-            # column data). ``limit(n+1).count()`` would instead gather up to n+1 rows
-            # from every task into a single partition before limiting.
-            n = df.count()
-            self._small[name] = n <= self.broadcast_max_rows
-        return self._small[name]
+            width = F.lit(FIXED_BYTES * len(df.columns)).cast("long")
+            for f in df.schema.fields:
+                if f.dataType.typeName() in ("string", "binary"):
+                    width = width + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+            n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+            self._small[name + ".size"] = (n, size)
+        return self._small[name + ".size"]
+
+    def is_small(self, name: str) -> bool:
+        """Whether a dimension may be broadcast: by its rows and by its bytes."""
+        rows, size = self._size(name)
+        return rows <= self.broadcast_max_rows and size <= self.broadcast_max_bytes
 
     def dim(self, name: str) -> DataFrame:
         """A dimension for joining: small ones are kept in memory (they are bounded by the
@@ -117,8 +136,8 @@ class RetailModel:
 
     def bounded_by(self, name: str) -> bool:
         """True when a result keyed by this dimension has a proven small row count (so a
-        single-task window over it is safe)."""
-        return self.is_small(name)
+        single-task window over it is safe): a bound of its own, well below the broadcast's."""
+        return self._size(name)[0] <= min(self.window_max_rows, self.broadcast_max_rows)
 
     # ---- grain ----------------------------------------------------------------------
     def daily(self) -> DataFrame:

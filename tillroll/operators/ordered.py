@@ -46,13 +46,21 @@ def _ranged(df: DataFrame, order: OrderSpec) -> DataFrame:
     The tagged rows are read twice (per-partition totals and the local pass). Two reads
     of an unmaterialised range exchange may each sample their own bounds, so the rows
     are written with ``checkpoint()`` to the reliable folder named by
-    ``spark.checkpoint.dir``: both reads see one set of partitions, the upstream
-    aggregation runs once, and a lost executor does not change the assignment.
+    ``spark.checkpoint.dir``: both reads see one set of partitions, and a lost executor
+    does not change the assignment.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(_num_partitions(df), *sort_exprs(order))
               .withColumn(PID, F.spark_partition_id()))
-    return ranged.checkpoint(eager=True)
+    return kept(ranged)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written once to the folder named by ``spark.checkpoint.dir``. Range bounds are
+    sampled from their input and peers are joined back to it, so a frame that goes into
+    ``rank`` or ``cumulative_sum`` is read several times; kept, what it is made from is read
+    once. The job runs when the question is built."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def _offsets(ranged: DataFrame, value: Column, name: str) -> DataFrame:

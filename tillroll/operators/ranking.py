@@ -29,7 +29,7 @@ def rank_groups(df: DataFrame, order: Sequence[tuple[str, bool]], name: str = "r
     """Global ``rank()`` over ``order`` (Q14, Q19, Q21, Q24)."""
     if bounded:
         return df.withColumn(name, F.rank().over(_w(order)))
-    return ordered.rank(df, order, name)
+    return ordered.rank(ordered.kept(df), order, name)
 
 
 def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[tuple[str, bool]],
@@ -41,7 +41,7 @@ def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[tuple[s
     """
     if bounded:
         return df.withColumn(name, F.rank().over(_w(order, partition)))
-    return ordered.rank(df, order, name, partition=partition)
+    return ordered.rank(ordered.kept(df), order, name, partition=partition)
 
 
 def top_k_within(df: DataFrame, partition: Sequence[str], order: Sequence[tuple[str, bool]],
@@ -60,7 +60,7 @@ def running_total(df: DataFrame, value: str, order: Sequence[tuple[str, bool]],
     """``sum(value) OVER (ORDER BY order)``, RANGE frame (peers share the total) (Q37)."""
     if bounded:
         return df.withColumn(name, F.sum(value).over(_w(order)))
-    return ordered.cumulative_sum(df, value, order, name)
+    return ordered.cumulative_sum(ordered.kept(df), value, order, name)
 
 
 def pareto(df: DataFrame, value: str, pct: float = 80.0, include_crossing: bool = False,
@@ -71,7 +71,11 @@ def pareto(df: DataFrame, value: str, pct: float = 80.0, include_crossing: bool
     ``include_crossing=True`` also keeps the first item group that crosses ``pct``.
     """
     order = [(value, False)]
-    with_cum = running_total(df, value, order, cumulative_name, bounded=bounded)
+    if bounded:
+        with_cum = running_total(df, value, order, cumulative_name, bounded=True)
+    else:
+        df = ordered.kept(df)  # for the running total and the total
+        with_cum = ordered.cumulative_sum(df, value, order, cumulative_name)
     total = over_all(df, F.sum(value), bounded)
     out = (with_cum.withColumn(total_name, total)
            .withColumn(percent_name, percent(F.col(cumulative_name), F.col(total_name), 2)))

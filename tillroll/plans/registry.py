@@ -15,18 +15,36 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.model import RetailModel
 from tillroll.plans import audits, drivers, inventory, products, sales, seasons, stores
 
-_MODELS: "weakref.WeakKeyDictionary[SparkSession, dict[str, RetailModel]]" = weakref.WeakKeyDictionary()
+_MODELS: "weakref.WeakKeyDictionary[SparkSession, dict[str, tuple]]" = weakref.WeakKeyDictionary()
+
+#: The tables that products and stores are made from.
+DIMENSION_TABLES = ("part", "supplier", "nation", "region")
+
+
+def _listing(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, length and modification time of the files of the dimension tables."""
+    found = []
+    for table in DIMENSION_TABLES:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            found += [(f.getPath().toString(), f.getLen(), f.getModificationTime())
+                      for f in fs.listStatus(path)]
+    return tuple(sorted(found))
 
 
 def model_for(spark: SparkSession, sf_dir: str) -> RetailModel:
     """One model per (session, folder): dimension size checks and small-dimension caches
-    are shared by all questions of a session."""
+    are shared by all questions of a session, until a file of a dimension changes."""
     per_session = _MODELS.setdefault(spark, {})
-    sf_dir = str(sf_dir)
-    key = sf_dir.rstrip("/")
-    model = per_session.get(key)
-    if model is None or model.sales.sparkSession is not spark:
-        model = per_session[key] = RetailModel.from_testdata(spark, sf_dir)
+    key = str(sf_dir).rstrip("/")
+    listing = _listing(spark, key)
+    model, seen = per_session.get(key, (None, None))
+    if model is None or model.sales.sparkSession is not spark or listing != seen:
+        if model is not None and model.sales.sparkSession is spark:
+            model.release()
+        model = RetailModel.from_testdata(spark, key)
+        per_session[key] = (model, listing)
     return model
 
 
