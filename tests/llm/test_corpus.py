@@ -224,6 +224,32 @@ def test_lines_of_many_documents_are_removed(spark):
     assert all(got[300 + i].kept for i in range(3))
 
 
+@pytest.mark.parametrize("n", [100, 400])
+def test_line_limit_follows_the_host(spark, n):
+    """Production parameters: the same share of a host's texts counts at every size."""
+    letters = str.maketrans("0123456789", "abcdefghij")  # digits would count as equal
+    body = lambda i, n: " ".join(f"w{i}x{j}".translate(letters) for j in range(n))
+    common, rarer = "please accept our terms and conditions before reading on", "a line that few hold"
+    rows = []
+    for h, host in enumerate(("a", None)):
+        for i in range(n):
+            d = 10_000 * h + i
+            tail = common if i < n // 10 else rarer if i < n // 10 + n // 25 else ""
+            rows.append((d, f"{body(d, 5 if i % 2 else 40)} and some more of them here\n{tail}", host))
+    rows += [(90_000 + i, f"{body(90_000, 20)}\nonly in copies, many of them here", "a") for i in range(n // 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in quality_lines.quality(df).collect()}
+    for d, text, _ in rows:
+        assert got[d].removed_words == (9 if common in text else 0), d
+    small = spark.createDataFrame([(i, f"{body(i, 12)}\n{common}", "a") for i in range(5)],
+                                  "doc_id long, text string, source string")
+    assert all(r.kept and r.removed_words == 0 for r in quality_lines.quality(small).collect())
+    # a document of which little but the line is left goes
+    odd = spark.createDataFrame([(i, f"{body(i, 4)}\n{common}" if i < 40 else body(i, 20), "a") for i in range(n)],
+                                "doc_id long, text string, source string")
+    assert {r.doc_id for r in quality_lines.quality(odd).collect() if not r.kept} == set(range(40))
+
+
 # ---- top-k ---------------------------------------------------------------------------
 def _brute_top(rows, k=5):
     good = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in rows

@@ -1,9 +1,9 @@
 """Quality rules with cross-document line frequency (operator 10), DataFrame functions only.
 
 Per document: word and symbol counts, repeated lines and words in repeated 5-word windows.
-Across documents: each normalised line is hashed, the distinct documents that hold it are
-counted per host (the ``source`` column), lines above the limit are removed, and documents
-that lose too much are rejected.
+Across documents: each normalised line is hashed, the distinct texts that hold it are
+counted per host (the ``source`` column), lines in more than a share of the host's texts are
+removed, and documents that lose too much are rejected.
 
 Windows are found inside a row with array functions; what is shuffled is one row per
 distinct line of a document. A line that very many documents hold is counted by partial
@@ -103,24 +103,36 @@ def line_frequencies(lines: DataFrame, host: str = "host", line: str = "line",
             .groupBy(host, line).agg(F.count(F.lit(1)).alias("documents")))
 
 
+def common_lines(base: DataFrame, lines: DataFrame, max_share: float, max_documents: int) -> DataFrame:
+    """The (host, line, documents) above both limits. A host's texts are counted once, copied
+    over salts, so that the lines of a large host meet them in many tasks."""
+    texts = (base.select("host", "text_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
+             .select(F.col("host").alias("t_host"), "texts",
+                     F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("t_salt")))
+    counted = line_frequencies(lines).filter(F.col("documents") > max_documents)
+    return (counted.join(texts, F.col("host").eqNullSafe(F.col("t_host"))
+                         & (F.pmod("line", F.lit(SALTS)).cast("int") == F.col("t_salt")))
+            .filter(F.col("documents") > max_share * F.col("texts")).select("host", "line", "documents"))
+
+
 def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-            max_documents: int = 200, max_removed: float = 0.5, min_words: int = 10,
+            max_share: float = 0.05, max_documents: int = 5, max_removed: float = 0.5, min_words: int = 10,
             max_repeated_percent: int = 20) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
     removed_words.
 
     base_failed: fewer than ``min_words`` words, or more than ``max_repeated_percent`` % of
-    them in repeated 5-word windows. Lines that more than ``max_documents`` distinct texts
-    of their host hold are removed; a document that passed the base rules is rejected if
-    it loses more than ``max_removed`` of its words or is left with fewer than
-    ``min_words``. A null text is empty and fails; a null host is a host of its own;
+    them in repeated 5-word windows. Lines that more than ``max_share`` of
+    their host's distinct texts hold, and more than ``max_documents`` (for hosts of few),
+    are removed; a document that passed the base rules is rejected if it loses more than
+    ``max_removed`` of its words or is left with fewer than ``min_words``. A null text is empty and fails; a null host is a host of its own;
     repeated rows are judged alike, row by row; other columns are not read.
     """
     base = written(measured(docs, id_col, text_col, host_col), "quality-rows")
     lines = base.select("row", "host", "text_hash", F.explode("lines").alias("l")) \
         .select("row", "host", "text_hash", F.col("l.line").alias("line"), F.col("l.n").alias("n"))
     lines = lines.groupBy("row", "host", "text_hash", "line").agg(F.sum("n").alias("n"))
-    common = line_frequencies(lines).filter(F.col("documents") > max_documents)
+    common = common_lines(base, lines, max_share, max_documents)
     salted = common.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))) \
         .select(F.col("host").alias("c_host"), F.col("line").alias("c_line"), "salt")
     dealt = lines.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
