@@ -35,11 +35,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: of each component the document with the smallest id stays. Rows
-    that repeat an id count as one document; rows without an id link with nothing and stay."""
+    """N-gram Jaccard join: of each component the document with the smallest id stays, with
+    all its texts if the id repeats; rows that repeat a whole row go. Rows without an id link
+    with nothing and stay."""
     docs = docs.select(*COLUMNS)
     first = ngram_join.join(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates()
     return kept.unionByName(docs.filter("doc_id is null")).select(*COLUMNS)
 
 

@@ -67,6 +67,27 @@ def test_stages_keep_the_columns_and_odd_rows(spark, odd, empty):
         assert stage(spark, empty, SF).collect() == [], name
 
 
+def test_null_and_repeated_ids_lose_nothing(spark):
+    text = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(None, text("a", 40), "s"), (None, text("b", 30), "s"), (None, text("c", 20), None), (7, text("d", 50), "s"),
+            (7, text("e", 25), "s"), (7, text("e", 25), "s"), (8, text("f", 35), "t"), (9, text("f", 35), "t")]
+    df = spark.createDataFrame([(d, t, "en", s, len(t)) for d, t, s in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    first = corpus_pipeline.near_duplicates(spark, df, SF)
+    kept = [r.text for r in first.collect()]
+    assert sorted(kept) == sorted({t for _, t, _ in rows})  # of the exact copies of a row, and of 8 and 9, one
+    want = {}  # taken words by text: the mix's own count
+    for r in mixing.taken_words(first).collect():
+        want[str(r.doc_id), r["size"]] = r.taken
+    got = {}
+    for r in corpus_pipeline.mix(spark, first, SF).collect():
+        whole = next(t for t in kept if r.text in t)
+        key = str(r.doc_id), len(words(whole))
+        got[key] = got.get(key, 0) + len(words(r.text))
+    assert got == {k: n for k, n in want.items() if n}
+    assert sum(got.values()) == 300 and {k[0] for k in got} == {"None", "7", "8"}
+
+
 def test_language_rejects_texts_without_letters(spark, odd):
     kept = {r.doc_id for r in corpus_pipeline.language(spark, odd, SF).collect()}
     assert not kept & {1, 2, 3, 8} and {4, 10, 12} <= kept

@@ -92,14 +92,16 @@ def schedule(spark, wanted: list[float], block: int) -> DataFrame:
     return ranked.unionByName(missing)
 
 
-def sized_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def sized_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str, row_col: str | None) -> DataFrame:
+    row = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
     return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       word_count(F.col(text_col)).alias("size"))
+                       word_count(F.col(text_col)).alias("size"), row.alias("row"))
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = MAX_EPOCHS,
-        block: int = 1024, seed: int = 17, bucket_rows: int = 4096) -> tuple[DataFrame, DataFrame]:
+        block: int = 1024, seed: int = 17, bucket_rows: int = 4096,
+        row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(sources, mix). ``sources``: one row per document with size, source_size, target and
     its place on the source's line. ``mix``: (slot, row, doc_id, epoch, lo, hi): word ranges of
     documents, by place in the mix.
@@ -107,11 +109,10 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     Sources go by code point, null last (a source of its own), and weigh ``weights``,
     repeating. A null text has no words; documents and sources without words get no range
     and a target of 0. Repeated rows are documents of their own, told apart by a row
-    number. An empty table gives empty results. Other columns are not read.
+    number, or by the distinct numbers of ``row_col``, if given. An empty table gives empty results. Other columns are not read.
     """
     spark = docs.sparkSession
-    sized = written(sized_documents(docs, id_col, text_col, source_col)
-                    .withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+    sized = written(sized_documents(docs, id_col, text_col, source_col, row_col), "mix-sizes")
     wanted = written(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")),
                              weights, share, most), "mix-targets")
     goal = [(r.target, r.source_size) for r in wanted.orderBy("source_no").collect()]
@@ -173,13 +174,16 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents as the mix takes them: once for each epoch that takes any of its words,
     with all columns. A document that an epoch takes only in part (where a source's target
-    is reached) is cut to those words, joined by single spaces; untaken ones go. Documents
-    are told apart by doc_id, which must not repeat; null ids and empty texts go.
+    is reached) is cut to those words, joined by single spaces; untaken ones go, and with
+    them texts without words. Rows are told apart by a written row number, so null and
+    repeated ids are documents like others.
     """
-    _, mixed = mix(docs, **options)
-    taken = mixed.groupBy("doc_id", "epoch").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi"))
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-documents")
+    _, mixed = mix(rows, row_col="_row", **options)
+    taken = mixed.groupBy(F.col("row").alias("_row"), "epoch").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi")) \
+        .drop("epoch")
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     cut = F.concat_ws(" ", F.slice(words, F.col("_lo").cast("int") + 1, (F.col("_hi") - F.col("_lo")).cast("int")))
     whole = (F.col("_lo") == 0) & (F.col("_hi") == word_count(F.col("text")))
-    return (docs.join(taken, "doc_id").withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
+    return (rows.join(taken, "_row").withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
             .select(*docs.columns))
