@@ -288,3 +288,17 @@ def test_top_k_large_components_and_empty(spark):
         want += [(q, n + 1, i, -x) for n, (x, i) in enumerate(s)]
     assert sorted(map(tuple, topk.top_k(df, df).collect())) == sorted(want)
     assert topk.top_k(df.limit(0), df.limit(0)).collect() == []
+
+
+def test_top_k_of_repeated_queries_and_a_hot_id(spark, monkeypatch):
+    monkeypatch.setattr(topk, "LEAF", 8)
+    v = np.random.default_rng(4).normal(size=(600, 6))
+    rows = [(i, [float(np.float32(x)) for x in a]) for i, a in enumerate(v)]
+    rows += [rows[0]] * 2 + [rows[50], (100, rows[7][1]), rows[3]]  # queries, one id with two vectors, a candidate
+    rows += [(601, rows[9][1])] * 300  # a third of all rows
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(df, df.filter("vec_id % 50 = 0"), shard_rows=100, block_rows=4)
+    assert sorted(map(tuple, got.collect())) == _brute_top(rows)
+    trees = topk.shards(topk.quantised(df, "vec_id", "embedding", 256), 100).collect()
+    sizes = [len(topk._unpack(r.blob)["ids"]) for r in trees]
+    assert sum(sizes) == len(rows) and max(sizes) < 200

@@ -30,7 +30,7 @@ EXACT = float(1 << 53)
 
 
 def quantised(table: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(vec_id, v array<long>, dim): floor(scale * x); vectors that are null, or hold null or
+    """(vec_id, v array<long>, dim, key): floor(scale * x) and a row number; vectors that are null, or hold null or
     non-finite components, take no part. Components must fit a long when scaled."""
     x = F.col("v")
     usable = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c)
@@ -39,7 +39,7 @@ def quantised(table: DataFrame, id_col: str, vector_col: str, scale: int) -> Dat
                          F.col(vector_col).cast("array<double>").alias("v"))
             .filter(F.col("vec_id").isNotNull() & F.coalesce(usable, F.lit(False)))
             .select("vec_id", F.transform("v", lambda c: F.floor(F.lit(float(scale)) * c)).alias("v"),
-                    F.size("v").alias("dim")))
+                    F.size("v").alias("dim"), F.monotonically_increasing_id().alias("key")))
 
 
 # ---- the tree ------------------------------------------------------------------------
@@ -171,7 +171,7 @@ def search_tree(tree: dict, q_ids: np.ndarray, q: np.ndarray, k: int, floor: np.
 
 # ---- on Spark ------------------------------------------------------------------------
 TREES = "shard long, dim int, blob binary"
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "key long, query_id long, vec_id long, score long"
 
 
 def _pack(tree: dict) -> bytes:
@@ -192,11 +192,11 @@ def _vectors(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def shards(rows: DataFrame, shard_rows: int) -> DataFrame:
-    """One row per shard: its ball tree. Shards are dealt by hash, so that they stay of the
-    same size whatever vectors repeat."""
+    """One row per shard: its ball tree. Shards are dealt by a hash of the row number, so
+    that they stay of the same size whatever vectors or ids repeat."""
     n = rows.count()
     count = max(1, -(-n // shard_rows))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(count)))
+    dealt = rows.select("vec_id", "v", "dim", F.pmod(F.xxhash64("key"), F.lit(count)).alias("shard"))
 
     def build(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         dim = key[1].as_py()
@@ -209,19 +209,21 @@ def shards(rows: DataFrame, shard_rows: int) -> DataFrame:
 
 
 def query_blocks(queries: DataFrame, block_rows: int) -> DataFrame:
-    """One row per block of queries."""
+    """One row per block of queries, each with its row number: a repeated query is searched
+    and answered as often."""
     n = queries.count()
     count = max(1, -(-n // block_rows))
-    dealt = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(count)))
+    dealt = queries.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(count)))
 
     def build(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         dim = key[1].as_py()
         v = _vectors(table.column("v").combine_chunks(), dim)
         return pa.table({"block": [key[0].as_py()], "dim": pa.array([dim], pa.int32()),
+                         "keys": pa.array([np.asarray(table.column("key"), np.int64).tobytes()], pa.binary()),
                          "ids": pa.array([np.asarray(table.column("vec_id"), np.int64).tobytes()], pa.binary()),
                          "vectors": pa.array([v.tobytes()], pa.binary())})
 
-    return dealt.groupBy("block", "dim").applyInArrow(build, "block long, dim int, ids binary, vectors binary")
+    return dealt.groupBy("block", "dim").applyInArrow(build, "block long, dim int, keys binary, ids binary, vectors binary")
 
 
 def _searcher(k: int):
@@ -229,7 +231,7 @@ def _searcher(k: int):
         for batch in batches:
             for r in batch.to_pylist():
                 tree = _unpack(r["blob"])
-                q_ids = np.frombuffer(r["ids"], np.int64)
+                keys, q_ids = np.frombuffer(r["keys"], np.int64), np.frombuffer(r["ids"], np.int64)
                 q = np.frombuffer(r["vectors"], np.int64).reshape(len(q_ids), r["dim"])
                 low = np.iinfo(np.int64).min
                 floor = np.frombuffer(r["floor"], np.int64) if r["floor"] else np.full(len(q), low)
@@ -238,15 +240,15 @@ def _searcher(k: int):
                 best = search_tree(tree, q_ids, q, k, floor, floor_id)
                 row, col = np.nonzero(best.score > low)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[row]), pa.array(best.id[row, col]), pa.array(best.score[row, col])],
-                    names=["query_id", "vec_id", "score"])
+                    [pa.array(keys[row]), pa.array(q_ids[row]), pa.array(best.id[row, col]), pa.array(best.score[row, col])],
+                    names=["key", "query_id", "vec_id", "score"])
     return run
 
 
 def _merge(found: DataFrame, k: int) -> DataFrame:
-    """The k best of each query: score descending, then id ascending."""
+    """The k best of each query row: score descending, then id ascending."""
     from pyspark.sql import Window
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    order = Window.partitionBy("key").orderBy(F.desc("score"), F.asc("vec_id"))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
@@ -258,7 +260,8 @@ def top_k(candidates: DataFrame, queries: DataFrame, *, id_col: str = "vec_id",
 
     Ties go to the smaller vec_id. Rows with a null id, and vectors that are null or hold
     null or non-finite components, take no part. Vectors are compared with those of their
-    own length. Repeated rows count as rows. Other columns are not read. An empty table
+    own length. Repeated rows count as rows: each query row has
+    its k, and each copy of a candidate its rank. Other columns are not read. An empty table
     gives no rows.
     """
     spark = candidates.sparkSession
@@ -277,34 +280,34 @@ def top_k(candidates: DataFrame, queries: DataFrame, *, id_col: str = "vec_id",
     none = F.lit(None).cast("binary")
     first = (pairs.filter("shard = home").join(blocks, ["block", "dim"]).join(trees, ["shard", "dim"])
              .withColumns({"floor": none, "floor_id": none}))
-    cols = ["blob", "ids", "vectors", "dim", "floor", "floor_id"]
+    cols = ["blob", "keys", "ids", "vectors", "dim", "floor", "floor_id"]
     seen = written(first.select(cols).mapInArrow(_searcher(k), FOUND), "topk-first")
 
     # the kth score of each query so far, put into its block's order
-    kth = _merge(seen, k).groupBy("query_id").agg(
+    kth = _merge(seen, k).groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("score"), (-F.col("vec_id")).alias("neg"))).alias("last"))
     kth = kth.filter(F.col("n") == k).select(
-        F.col("query_id").alias("vec_id"), F.col("last.score").alias("floor"), (-F.col("last.neg")).alias("floor_id"))
+        "key", F.col("last.score").alias("floor"), (-F.col("last.neg")).alias("floor_id"))
     n_blocks = max(1, -(-asked.count() // block_rows))
-    dealt = asked.select("vec_id", "dim").distinct() \
-        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks))).join(kth, "vec_id")
+    dealt = asked.select("key", "dim") \
+        .withColumn("block", F.pmod(F.xxhash64("key"), F.lit(n_blocks))).join(kth, "key")
     floors = dealt.groupBy("block", "dim").agg(
-        F.collect_list(F.struct("vec_id", "floor", "floor_id")).alias("known"))  # at most a block's rows
+        F.collect_list(F.struct("key", "floor", "floor_id")).alias("known"))  # at most a block's rows
 
     def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                known = {x["vec_id"]: (x["floor"], x["floor_id"]) for x in r["known"] or ()}
+                known = {x["key"]: (x["floor"], x["floor_id"]) for x in r["known"] or ()}
                 none = (np.iinfo(np.int64).min, np.iinfo(np.int64).max)
-                both = np.array([known.get(int(i), none) for i in np.frombuffer(r["ids"], np.int64)], np.int64)
+                both = np.array([known.get(int(i), none) for i in np.frombuffer(r["keys"], np.int64)], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r["block"]], pa.int64()), pa.array([r["dim"]], pa.int32()),
-                     pa.array([r["ids"]], pa.binary()), pa.array([r["vectors"]], pa.binary()),
+                     pa.array([r["keys"]], pa.binary()), pa.array([r["ids"]], pa.binary()), pa.array([r["vectors"]], pa.binary()),
                      pa.array([both[:, 0].tobytes()], pa.binary()), pa.array([both[:, 1].tobytes()], pa.binary())],
-                    names=["block", "dim", "ids", "vectors", "floor", "floor_id"])
+                    names=["block", "dim", "keys", "ids", "vectors", "floor", "floor_id"])
 
     primed = blocks.join(floors, ["block", "dim"], "left").mapInArrow(
-        ordered, "block long, dim int, ids binary, vectors binary, floor binary, floor_id binary")
+        ordered, "block long, dim int, keys binary, ids binary, vectors binary, floor binary, floor_id binary")
     primed = written(primed, "topk-primed")
     rest = (pairs.filter("shard != home").join(primed, ["block", "dim"]).join(trees, ["shard", "dim"]))
     found = seen.unionByName(rest.select(cols).mapInArrow(_searcher(k), FOUND))
