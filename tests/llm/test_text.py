@@ -170,3 +170,29 @@ def test_a_single_language_and_families():
     assert language_id.predict(["irgend ein text"], model)[0] == ["de"]
     assert language_id.family_of("pt-BR") == language_id.family_of("es") != language_id.family_of("de")
     assert language_id.family_of("tlh") == "tlh"
+
+
+def test_skipped_elements_end_where_they_end():
+    tree = html_text.train_tree(*html_text.labelled_rows())
+    article = " ".join(f"word{i}" for i in range(60))
+    page = lambda before: f"<html><body><div>{before}</div><article><p>{article}</p></article></body></html>"
+    for before in ("<svg class='icon' width=9 />", "<math/>", "<svg><path d='m1'/></svg>", "<svg><title/><svg/></svg>",
+                   "<button>Menu", "<map name=m><area href=x>", "<select><option>one<option>two", "<canvas/>", "<video>",
+                   "<noscript>", "<object data=x>", "<button>Menu<button>More</button>"):
+        assert html_text.main_text(page(before), tree) == article, before
+    for tag in html_text.SKIPPED:
+        closed = f"<article><p>{article} <{tag}>dropped <b>and</b> <{tag}x>gone</{tag}> {article}</p></article>"
+        assert html_text.main_text(closed, tree) == f"{article} {article}", tag
+    # an unclosed one whose name comes again behind the article
+    again = f"<body><button>Menu<article><p>{article}</p></article><p><button>Send</button></p></body>"
+    assert article in html_text.main_text(again, tree) and "Send" not in html_text.main_text(again, tree)
+
+
+def test_an_end_tag_behind_many_open_elements():
+    tree = html_text.train_tree(*html_text.labelled_rows())
+    article = " ".join(f"word{i}" for i in range(60))
+    for opened in ("<div>" * 300, "<span>" * 300, "<div><b>" * 150):
+        page = f"<body><nav>{opened}menu</nav><article><p>{article}</p></article></body>"
+        assert html_text.main_text(page, tree) == article, opened[:12]
+    found = html_text.blocks("<p>" + "<b>" * 300 + "one<p>two<ul><li>" + "<i>" * 300 + "three<li>four</ul>")
+    assert [b[0] for b in found] == ["one", "two", "three", "four"]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The elements of HTML.
-RAW = ("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math",
-       "select", "button", "object", "audio", "video", "canvas", "map")
+RAW = ("script", "style", "title", "textarea", "iframe")
+#: Elements with markup inside that are left out whole, from the start tag to their own end tag.
+SKIPPED = frozenset("noscript template svg math select button object audio video canvas map".split())
+FOREIGN = frozenset(("svg", "math"))  # "/>" closes these
+LONE = frozenset(("button", "select"))  # a second start tag ends the first
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu "
@@ -80,6 +84,41 @@ def _kind(tag: str, attrs: str, inside: tuple[bool, bool]) -> tuple[bool, bool]:
     return main, boiler
 
 
+def skipped(page: str) -> dict[int, int]:
+    """Where skipped elements end, by the place after their start tag. Elements without an
+    end tag of their own (self-closed, never closed, or closed by what they stand in) have
+    no entry: their start tag stands for nothing, and what follows is read."""
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    opened: Counter[str] = Counter()
+    place = 0
+    while m := _LEX.search(page, place):
+        place = m.end()
+        if m["raw"]:
+            if not ((opened["svg"] or opened["math"]) and page.endswith("/>", m.start(), place)):
+                end = _END[m["raw"].lower()].search(page, place)
+                place = end.end() if end else len(page)
+            continue
+        tag = (m["tag"] or "").lower()
+        if tag not in SKIPPED and tag not in BLOCK or tag in VOID:
+            continue
+        if m["close"] or tag in LONE:
+            if opened[tag]:
+                while True:
+                    name, at = stack.pop()
+                    opened[name] -= 1
+                    if name == tag:
+                        break
+                if m["close"] and tag in SKIPPED:
+                    ends[at] = place
+            if m["close"]:
+                continue
+        if not (m["attrs"].endswith("/") and (tag in FOREIGN or tag in BLOCK)):
+            stack.append((tag, place))
+            opened[tag] += 1
+    return ends
+
+
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
     """The flat blocks of a page: (text, words, words in links, heading, boiler, main)."""
     out: list[tuple[str, int, int, bool, bool, bool]] = []
@@ -88,6 +127,10 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
     parts: list[str] = []
     linked: list[str] = []
     links = headings = 0
+    block_at: list[int] = []  # places of open blocks on the stack
+    opened: Counter[str] = Counter()  # open blocks by name
+    inline: list[Counter[str]] = [Counter()]  # open inline elements by name, in each open block
+    skips: dict[int, int] | None = None
 
     def flush(heading: bool) -> None:
         nonlocal parts, linked
@@ -102,12 +145,23 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
         nonlocal inside, links, headings
         if stack[at][1] != inside:
             flush(headings > 0)
-        for tag, _ in stack[at:]:
+        for tag, _ in reversed(stack[at:]):
             links -= tag == "a"
             headings -= tag in HEADINGS
+            if tag in BLOCK:
+                block_at.pop()
+                inline.pop()
+                opened[tag] -= 1
+            else:
+                inline[-1][tag] -= 1
         inside = stack[at][1]
         del stack[at:]
 
+    def close_inline(tag: str) -> None:
+        # an inline end tag doesn't close a block
+        if inline[-1][tag]:
+            close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
+
     place, n = 0, len(page)
     while place < n:
         m = _LEX.search(page, place)
@@ -130,38 +184,38 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
                 if tag in BLOCK:
                     flush(headings > 0)
             continue
+        if tag in SKIPPED:
+            if not m["close"]:
+                skips = skipped(page) if skips is None else skips
+                place = skips.get(place, place)
+            continue
         if tag == "br":
             parts.append(" ")
             continue
         if tag in BLOCK:
             flush(headings > 0)
         if m["close"]:
-            for i in range(len(stack) - 1, max(-1, len(stack) - 200), -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-                if tag not in BLOCK and stack[i][0] in BLOCK:
-                    break  # an inline end tag doesn't close a block
+            if tag not in BLOCK:
+                close_inline(tag)
+            elif opened[tag]:
+                close(next(i for i in reversed(block_at) if stack[i][0] == tag))
             continue
         if tag in VOID or m["attrs"].endswith("/"):
             continue
         if tag in BLOCK:
             # a paragraph or item that is still open ends where the next block begins
-            for i in range(len(stack) - 1, max(-1, len(stack) - 50), -1):
-                name = stack[i][0]
-                if name == "p" or (name == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option")):
-                    close(i)
-                    break
-                if name in BLOCK:
-                    break
+            name = stack[block_at[-1]][0] if block_at else ""
+            if name == "p" or (name == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option")):
+                close(block_at[-1])
         elif tag == "a" and links:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "a":
-                    close(i)
-                    break
-                if stack[i][0] in BLOCK:
-                    break
+            close_inline("a")
         if tag in BLOCK or tag in ("a", "span", "b", "i", "em", "strong", "ins"):
+            if tag in BLOCK:
+                block_at.append(len(stack))
+                inline.append(Counter())
+                opened[tag] += 1
+            else:
+                inline[-1][tag] += 1
             stack.append((tag, inside))
             links += tag == "a"
             headings += tag in HEADINGS
