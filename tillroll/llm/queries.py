@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import (binary_ids, html_text, language_id, mixing, ngram_join, pii, quality_lines,
-                          sentence_pieces, token_counts, topk)
+from tillroll.llm import (binary_ids, html_text, language_id, mixing, ngram_join, pii, prefix_trie,
+                          quality_lines, runs, sentence_pieces, token_counts, topk)
 from tillroll.llm.storage import new_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,9 +63,18 @@ def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lines.quality(documents(spark, sf_dir))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.find_runs(documents(spark, sf_dir), rewrite=runs.repeat_tail))
+
+
+def op13_prefix_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.digests(documents(spark, sf_dir), BYTE_BPE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_top_k, op2_html_text, op3_mixing, op4_sentence_pieces, op5_language_id,
-                             op6_pii, op7_ngram_join, op8_binary_ids, op9_token_counts, op10_quality_lines)
+                             op6_pii, op7_ngram_join, op8_binary_ids, op9_token_counts, op10_quality_lines, op11_periodic_runs,
+                             op13_prefix_trie_bpe)
 }
 
 
