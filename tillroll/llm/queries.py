@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import (binary_ids, html_text, language_id, mixing, ngram_join, pii, prefix_trie,
-                          quality_lines, runs, sentence_pieces, token_counts, topk)
+                          quality_lines, runs, sentence_pieces, token_counts, topk, turns)
 from tillroll.llm.storage import new_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,14 +67,19 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(runs.find_runs(documents(spark, sf_dir), rewrite=runs.repeat_tail))
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return turns.repair(turns.damage(table), present_col="present")
+
+
 def op13_prefix_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.digests(documents(spark, sf_dir), BYTE_BPE)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_top_k, op2_html_text, op3_mixing, op4_sentence_pieces, op5_language_id,
-                             op6_pii, op7_ngram_join, op8_binary_ids, op9_token_counts, op10_quality_lines, op11_periodic_runs,
-                             op13_prefix_trie_bpe)
+                             op6_pii, op7_ngram_join, op8_binary_ids, op9_token_counts, op10_quality_lines,
+                             op11_periodic_runs, op12_turn_repair, op13_prefix_trie_bpe)
 }
 
 
