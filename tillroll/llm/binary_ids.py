@@ -31,7 +31,7 @@ from tillroll.llm.storage import new_path, remove
 
 MAX_LENGTH = 18
 BLOCK = 256
-SEGMENT_IDS = 262_144
+SEGMENT_IDS = 1_048_576
 
 SEGMENTS = ("part int, first long, n_ids long, doc_ids array<long>, doc_lengths array<long>, "
             "bits binary, offsets binary")
@@ -270,20 +270,20 @@ def read_ids(spark: SparkSession, path: str, per_document=None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, starts = shared.value
-        arrow = None
+        from pyspark.sql.pandas.types import to_arrow_schema
+        arrow = to_arrow_schema(kinds)
         for batch in batches:
-            for s in batch.to_pylist():
-                ids = unpack(s["bits"], np.frombuffer(s["offsets"], "<u8"), s["n_ids"], sizes)
-                at, rows = 0, []
-                for doc_id, n in zip(s["doc_ids"], s["doc_lengths"]):
-                    rows.append([doc_id, starts[s["part"]] + s["first"] + at, n,
-                                 *per_document(ids[at:at + n])])
-                    at += n
-                if arrow is None:
-                    from pyspark.sql.pandas.types import to_arrow_schema
-                    arrow = to_arrow_schema(kinds)
+            columns = {name: batch.column(name) for name in batch.schema.names}
+            for i in range(batch.num_rows):
+                ids = unpack(columns["bits"][i].as_py(), np.frombuffer(columns["offsets"][i].as_buffer(), "<u8"),
+                             columns["n_ids"][i].as_py(), sizes)
+                lengths = columns["doc_lengths"][i].values.to_numpy()
+                ends = np.cumsum(lengths)
+                before = starts[columns["part"][i].as_py()] + columns["first"][i].as_py()
+                made = [per_document(ids[end - n:end]) for end, n in zip(ends.tolist(), lengths.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
+                    [columns["doc_ids"][i].values, pa.array(before + ends - lengths), pa.array(lengths),
+                     *[pa.array(list(c), f.type) for c, f in zip(zip(*made), list(arrow)[3:])]], schema=arrow)
 
     return segments.mapInArrow(run, kinds)
 

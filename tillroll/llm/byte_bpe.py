@@ -25,9 +25,11 @@ SPACE = "\u0120"
 #: New words that are encoded as one line.
 JOINED = 256
 _SPACE_RUN = re.compile(r" \s* ")
-# searches of one class each are several times faster than alternatives
 _BREAK_SPACE, _SPACE_BREAK = re.compile(r"\n\s"), re.compile(r"[^\S\n]\n")
-_SIGN_BEFORE, _GAP_BEFORE = re.compile(r"[^\w\s][,.]"), re.compile(r"[\s_][,.]")
+# searches for one fixed set of characters are several times faster than those for a class
+_OTHER_SPACE = re.compile("[" + "".join(chr(i) for i in range(0x3001) if chr(i).isspace() and chr(i) not in " \n") + "]")
+#: A comma or full stop behind a sign or white space.
+_BESIDE_SIGN = re.compile(r"[,.](?<=[\W_].)")
 
 
 @functools.lru_cache(maxsize=4)
@@ -40,14 +42,20 @@ def tokenizer(path: str):
 def split(text: str) -> list[str] | None:
     """Chunk keys: a word stands for itself led by a space, a key that begins with UNLED for
     the rest of it. None for texts whose chunks are not independent."""
-    if _SPACE_RUN.search(text) or UNLED in text:
+    if UNLED in text:
+        return None
+    if _OTHER_SPACE.search(text):
+        runs, beside = _SPACE_RUN.search(text), _BREAK_SPACE.search(text) or _SPACE_BREAK.search(text)
+    else:  # spaces and line breaks alone
+        beside = "\n\n" in text or "\n " in text or " \n" in text
+        runs = "  " in text or (beside and _SPACE_RUN.search(text))
+    if runs:
         return None
     # not where a line break stands beside other white space or at an end
-    if "\n" in text and text[0] != "\n" and text[-1] != "\n" \
-            and not _BREAK_SPACE.search(text) and not _SPACE_BREAK.search(text):
+    if not beside and "\n" in text and text[0] != "\n" and text[-1] != "\n":
         text = text.replace("\n", f" {UNLED}\n {UNLED}")
     # not where a comma or full stop follows another sign, which it may be joined to
-    if text and text[0] not in ",." and not _SIGN_BEFORE.search(text) and not _GAP_BEFORE.search(text):
+    if text and text[0] not in ",." and not _BESIDE_SIGN.search(text):
         text = text.replace(", ", f" {UNLED}, ").replace(". ", f" {UNLED}. ")
     return (UNLED + text).split(" ")
 
@@ -79,17 +87,25 @@ def encode_many(path: str) -> EncodeMany:
 
     def run(keys: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         starts, lengths = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-        single, plain = [], []
-        for i, key in enumerate(keys):
-            (plain if key[:1] != UNLED and key.split() == [key] else single).append(i)
-        lines = [plain[i:i + JOINED] for i in range(0, len(plain), JOINED)]
-        flat, _, sizes = encoded([" " + " ".join([keys[i] for i in line]) for line in lines])
+        single = [i for i, key in enumerate(keys) if key[:1] == UNLED]
+        plain = [i for i, key in enumerate(keys) if key[:1] != UNLED]
+        lines, joined = [], []
+        for at in range(0, len(plain), JOINED):
+            line = plain[at:at + JOINED]
+            text = " ".join([keys[i] for i in line])
+            if "  " in text or len(text.split()) != len(line):  # empty words, or white space in one
+                single += [i for i in line if keys[i].split() != [keys[i]]]
+                line = [i for i in line if keys[i].split() == [keys[i]]]
+                text = " ".join([keys[i] for i in line])
+            lines.append(line)
+            joined.append(" " + text)
+        flat, _, sizes = encoded(joined)
         first = np.flatnonzero(_opens_with_space(path)[flat])
         ends = np.cumsum(sizes)
         opened = np.diff(np.searchsorted(first, np.concatenate(([0], ends))))
         at = 0
         for line, n, end in zip(lines, opened.tolist(), ends.tolist()):
-            if n == len(line):
+            if line and n == len(line):
                 begin = first[at:at + n]
                 starts[line] = begin
                 lengths[line] = np.diff(begin, append=end)
