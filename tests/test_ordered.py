@@ -88,3 +88,33 @@ def test_lag_property(spark, vals, parts, asc):
     want = df.withColumn("p", F.lag("val").over(Window.orderBy(order)))
     got = ordered.lag(df, "val", [("id", asc)], "p")
     assert collect(got, ["id", "p"]) == collect(want, ["id", "p"])
+
+
+# ---- split points, exact medians ------------------------------------------------------
+def test_ranges_follow_the_order(spark):
+    """Many ranges, equal keys in one of them, none holds many times its share."""
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).alias("k"), F.concat(F.lit("s"), F.col("id") % 5000).alias("s"))
+    for order in ([("k", True)], [("k", False)], [("s", True), ("k", True)], [("s", False), ("k", True)]):
+        ranged = ordered.with_range(df, order)
+        per = ranged.groupBy(ordered.RANGE).agg(
+            F.count(F.lit(1)).alias("n"),
+            *[f(F.struct(*[c for c, _ in order[:1 if order[0][1] != order[-1][1] else None]])).alias(n)
+              for f, n in ((F.min, "low"), (F.max, "high"))]).orderBy(ordered.RANGE).collect()
+        assert len(per) > 700 and max(r.n for r in per) < 12 * 200_000 / ordered.RANGES
+        down = not order[0][1]
+        for a, b in zip(per, per[1:]):
+            assert tuple(a.low) > tuple(b.high) if down else tuple(a.high) < tuple(b.low)
+
+
+@pytest.mark.parametrize("nulls", [False, True])
+def test_median_of_many_values(spark, nulls):
+    """A group of a million distinct values, a group of ties, an empty and a NULL group."""
+    big = spark.range(1_000_000).select(F.lit("big").alias("g"), (F.col("id") * 48271 % 2147483647).alias("v"))
+    few = spark.createDataFrame([("few", 3), ("few", 3), ("few", 9), ("few", 10), ("one", 5), ("none", None),
+                                 (None, 1), (None, 2)], "g string, v long")
+    df = big.unionByName(few)
+    if nulls:
+        df = df.withColumn("v", F.when(F.col("v") % 3 != 0, F.col("v")))
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert {r.g: r["median"] for r in ordered.median(df, ["g"], "v").collect()} == want
+    assert ordered.median(df, [], "v").first()[0] == df.agg(F.median("v")).first()[0]
