@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,6 +15,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[*]", 8, "tillroll-tests")
+    # tests/events.py reads the log
+    log = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": "file://" + tempfile.mkdtemp(prefix="tillroll-events-"),
+           "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"}
+    session = build_session("local[*]", 8, "tillroll-tests", log)
     yield session
     session.stop()

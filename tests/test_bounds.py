@@ -26,7 +26,7 @@ def test_wide_rows_are_not_broadcast(spark):
 
 def test_changed_dimension_file_is_seen(spark, tmp_path):
     for table in Path(SF_SMALL).glob("*.parquet"):
-        shutil.copy(table, tmp_path / table.name)
+        shutil.copyfile(table, tmp_path / table.name)  # not the mode: the test data are read-only
     before = model_for(spark, tmp_path)
     assert model_for(spark, tmp_path) is before
     n = before.dim("products").count()

@@ -254,3 +254,53 @@ def test_malformed_lines_go_to_the_quarantine(spark):
     _ingest(spark, out, broken)
     assert spark.read.parquet(os.path.join(out, "sales_stream")).count() == 1
     assert spark.read.parquet(os.path.join(out, "quarantine")).count() == 4
+
+
+def _by_month(df):
+    return {r[0]: (r.n, r.u) for r in df.groupBy("sales_month").agg(F.count(F.lit(1)).alias("n"), F.sum("unit").alias("u")).collect()}
+
+
+def _daily_by_month(spark, out):
+    from tillroll.sources.sinks import read_daily
+    return {r[0]: (r.n, r.u) for r in read_daily(spark, out).groupBy("sales_month").agg(
+        F.sum("lines").alias("n"), F.sum("unit").alias("u")).collect()}
+
+
+def test_changed_months_are_replaced_in_place(spark):
+    """Batch, stream, rewritten months, a new month, a failure between the steps of a rewrite:
+    both grains hold the same rows at every time."""
+    from tillroll.sources.sinks import read_clean, remove, write_months
+    out = tempfile.mkdtemp(prefix="tillroll-months-")
+    model = RetailModel.from_testdata(spark, SF_SMALL)
+    model.write(out, daily=True)
+    untouched = sorted(os.listdir(os.path.join(out, "sales", "sales_month=1999-03")))
+    _ingest(spark, out, ["21,1/5/1999,1,1,3", "22,1/6/2023,1,1,4"], daily_rollup=True)
+    streamed = {"1999-01": (1, 3), "2023-01": (1, 4)}
+    months = model.sales.withColumn("sales_month", F.date_format("sales_date", "yyyy-MM"))
+
+    def check(changed):
+        want = _by_month(months.withColumn("unit", F.when(F.col("sales_month").isin(changed), F.col("unit") * 2)
+                                           .otherwise(F.col("unit"))))
+        for m, (n, u) in streamed.items():
+            want[m] = (want.get(m, (0, 0))[0] + n, want.get(m, (0, 0))[1] + u)
+        assert _by_month(read_clean(spark, out)["sales"]) == want
+        assert _daily_by_month(spark, out) == want
+
+    check([])
+    double = lambda *m: model.sales.withColumn("unit", F.col("unit") * 2).filter(
+        F.date_format("sales_date", "yyyy-MM").isin(*m))
+    write_months(double("1999-01", "2000-02"), out, daily=True)
+    check(["1999-01", "2000-02"])
+    write_months(double("2001-05"), out)  # no rollup of it any more: rolled up when read
+    assert not os.path.exists(os.path.join(out, "sales_daily", "sales_month=2001-05"))
+    check(["1999-01", "2000-02", "2001-05"])
+    write_months(double("1999-01"), out, daily=True)  # again: replaced again
+    check(["1999-01", "2000-02", "2001-05"])
+    # as after a failure behind the first step: the month's part of the rollup is gone
+    remove(spark, os.path.join(out, "sales_daily", "sales_month=1997-07"))
+    check(["1999-01", "2000-02", "2001-05"])
+    assert sorted(os.listdir(os.path.join(out, "sales", "sales_month=1999-03"))) == untouched
+    new = model.sales.limit(1).withColumn("sales_date", F.lit("2030-01-01").cast("date")).withColumn("unit", F.lit(7))
+    write_months(new, out, daily=True)
+    streamed["2030-01"] = (1, 7)
+    check(["1999-01", "2000-02", "2001-05"])

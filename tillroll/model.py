@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.latest import FlatDates, MonthFolders
 from tillroll.sources.schemas import PARTITION_COLUMN
 
 # A dimension is broadcast only when its counted rows and bytes are within these bounds.
@@ -20,6 +23,8 @@ BROADCAST_BYTES_CONF = "tillroll.broadcast.maxBytes"
 # A window in one task is used only over at most this many rows, one per dimension member.
 DEFAULT_WINDOW_MAX_ROWS = 50_000
 WINDOW_CONF = "tillroll.windows.maxRows"
+# Whether questions that need sums only add up the fact before a shuffle join with a large dimension.
+PRE_AGGREGATE_CONF = "tillroll.star.preAggregate"
 FIXED_BYTES = 16  # counted for a value of a type of fixed size, and on top of each text
 
 VIEW_COLUMNS = [
@@ -41,6 +46,8 @@ class RetailModel:
     quarantine: dict | None = field(default=None, repr=False)  # rejected raw rows (CSV path)
     grain: str = "line"  # "line": one row per sale line; "daily": the (store, product, day) rollup
     daily_table: DataFrame | None = field(default=None, repr=False)  # a written rollup, if any
+    dates: FlatDates | MonthFolders | None = None  # where the stored sales' dates are known from
+    pre_aggregate: bool = True  # sum the fact before it is shuffled to a large dimension
     _small: dict = field(default_factory=dict, repr=False)
     _view: DataFrame | None = field(default=None, repr=False)
     _line_view: DataFrame | None = field(default=None, repr=False)
@@ -54,12 +61,15 @@ class RetailModel:
         return cls(tables["sales"], tables["products"], tables["stores"], tables["inventory"],
                    broadcast_max_rows=limit(BROADCAST_CONF, DEFAULT_BROADCAST_MAX_ROWS),
                    broadcast_max_bytes=limit(BROADCAST_BYTES_CONF, DEFAULT_BROADCAST_MAX_BYTES),
-                   window_max_rows=limit(WINDOW_CONF, DEFAULT_WINDOW_MAX_ROWS))
+                   window_max_rows=limit(WINDOW_CONF, DEFAULT_WINDOW_MAX_ROWS),
+                   pre_aggregate=spark.conf.get(PRE_AGGREGATE_CONF, "true").lower() == "true")
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "RetailModel":
-        from tillroll.sources.testdata import testdata_tables
-        return cls.from_tables(spark, testdata_tables(spark, sf_dir))
+        from tillroll.sources.testdata import testdata_dates, testdata_tables
+        model = cls.from_tables(spark, testdata_tables(spark, sf_dir))
+        model.dates = testdata_dates(sf_dir)
+        return model
 
     @classmethod
     def from_csv(cls, spark: SparkSession, sales: str, products: str, stores: str, inventory: str,
@@ -81,9 +91,10 @@ class RetailModel:
     def from_parquet(cls, spark: SparkSession, path: str, grain: str = "line") -> "RetailModel":
         """The cleaned layout written by ``write_clean``; ``grain='daily'`` answers from the
         written daily rollup when present (else the rollup is computed on the fly)."""
-        from tillroll.sources.sinks import read_clean, read_daily
+        from tillroll.sources.sinks import clean_months, read_clean, read_daily
         model = cls.from_tables(spark, read_clean(spark, path))
         model.grain = grain
+        model.dates = clean_months(path)
         if grain == "daily":
             model.daily_table = read_daily(spark, path)
         return model
@@ -159,7 +170,40 @@ class RetailModel:
         """The fact table at the model's grain."""
         return self.daily() if self.grain == "daily" else self.sales
 
+    def months(self) -> Iterator[dt.date] | None:
+        """Months that may hold sales, the latest first, from the stored table's metadata; None
+        where it has none (raw files, derived frames)."""
+        return None if self.dates is None else self.dates.months(self.sales.sparkSession)
+
     # ---- the star view ------------------------------------------------------------
+    def _summed(self, period: str | None, *keys: str) -> DataFrame:
+        """The fact summed per ``keys`` and period: ``unit`` and, with it, ``lines``."""
+        fact = self.fact()
+        start = {None: None, "day": F.col("sales_date"),
+                 "month": F.trunc("sales_date", "month").alias("sales_date")}[period]
+        by = [F.col(k) for k in keys] + ([] if start is None else [start])
+        by += [F.col(c) for c in (PARTITION_COLUMN,) if period is not None and c in fact.columns]
+        lines = F.sum("lines") if "lines" in fact.columns else F.count(F.lit(1))
+        return fact.groupBy(*by).agg(F.sum("unit").alias("unit"), lines.alias("lines"))
+
+    def _sums_first(self, *dimensions: str) -> bool:
+        return self.pre_aggregate and not all(self.is_small(name) for name in dimensions)
+
+    def view(self, period: str | None = None) -> DataFrame:
+        """The star view for questions that need sums and counts of sales alone.
+
+        With small dimensions it is ``sales_view()``: the joins are map-side and the question's
+        own aggregation comes right behind them. A large dimension is joined by a shuffle;
+        then the fact is summed first (partly before its own shuffle) per store, product and
+        ``period`` (None, 'day', or 'month', whose rows carry the month's first day), and one
+        row for each of these is joined in place of its sales: ``unit`` is their total and
+        ``lines`` counts them, as at daily grain.
+        """
+        if not self._sums_first("stores", "products"):
+            return self.sales_view()
+        columns = [c for c in VIEW_COLUMNS if c != "sale_id" and (c != "sales_date" or period is not None)]
+        return self._star(self._summed(period, "store_id", "product_id"), columns + ["lines"])
+
     def _star(self, fact: DataFrame, columns: list[str]) -> DataFrame:
         joined = (fact.join(self.dim("stores"), "store_id", "inner")
                   .join(self.dim("products"), "product_id", "inner"))
@@ -186,9 +230,11 @@ class RetailModel:
             self._view = self._star(self.daily(), cols)
         return self._view
 
-    def sales_with_products(self) -> DataFrame:
-        """fact x products only (the questions that bypass the view keep orphan stores)."""
-        return self.fact().join(self.dim("products"), "product_id", "inner")
+    def sales_with_products(self, period: str | None = None) -> DataFrame:
+        """fact x products only (the questions that bypass the view keep orphan stores); summed
+        before the join as in ``view``."""
+        fact = self._summed(period, "product_id") if self._sums_first("products") else self.fact()
+        return fact.join(self.dim("products"), "product_id", "inner")
 
     def register(self, prefix: str = "") -> None:
         for name, df in self.tables().items():

@@ -58,12 +58,13 @@ def split_points(df: DataFrame, columns: Sequence[str]) -> Column:
     """Split points of the rows' keys as a scalar: (heads, cells), where ``cells`` holds CELLS
     lists of CELLS points and ``heads`` the first point of each. Keys are structs of
     ``columns``, compared as in an ascending sort with NULLs first."""
-    key = F.struct(*columns)
+    # whole rows, so that the frame below has the columns, and so the exchange, of its other reads
+    row = F.struct(F.struct(*columns).alias("key"), F.struct(*df.columns).alias("rest"))
     # the class by one hash, its member by another: each class gives a key drawn at random,
     # but the same one on every read
     sample = (df.groupBy(F.pmod(F.xxhash64(*columns), F.lit(SAMPLE_CLASSES)).alias("class"))
-              .agg(F.min_by(key, F.hash(*columns)).alias("key")))
-    keys = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
+              .agg(F.min_by(row, F.hash(*columns)).alias("row")))
+    keys = sample.agg(F.sort_array(F.collect_list("row.key")).alias("keys"))
     at = f"transform(sequence(0, {RANGES - 1}), i -> keys[cast(i * size(keys) div {RANGES} as int)])"
     points = keys.filter(F.size("keys") > 0).select(F.expr(at).alias("points"))
     cells = points.select(F.expr(

@@ -1,18 +1,23 @@
 """Calendar operators: trailing windows, period change, trends, seasons, medians.
 
-The latest date is a scalar subquery over the anchor frame, so the trailing filter is
+The latest date enters a plan as a literal or a scalar subquery, so the trailing filter is
 one distributed filter; the grouped inputs of the windows below are bounded by the
 calendar (years x 12 months, 7 weekdays) or partitioned by item with a few months each.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import month_label, month_name, month_start
 from tillroll.functions.measures import line_count, money_sum, ratio, revenue, round_half_up
+from tillroll.operators import ordered
 from tillroll.operators.ranking import rank_groups
+from tillroll.sources.latest import latest_in
 from tillroll.sources.schemas import PARTITION_COLUMN
 
 
@@ -23,23 +28,25 @@ def _eager(df: DataFrame) -> bool:
     return df.sparkSession.conf.get(EAGER_CONF, "true").lower() == "true"
 
 
-def latest_date(df: DataFrame, date_col: str = "sales_date", eager: bool | None = None) -> Column:
+def latest_date(df: DataFrame, date_col: str = "sales_date", eager: bool | None = None,
+                months: Iterable[dt.date] | None = None) -> Column:
     """The latest date of ``df``.
 
-    Eager (default, ``tillroll.windows.eagerLatest``): one small job returns the single
-    value and it enters the plan as a literal, so a window filter on it is pushed into
-    the parquet scan (row groups and files outside the window are skipped) and partition
-    filters are pruned statically. Lazy: a scalar subquery evaluated when the plan runs.
-    On the month-partitioned layout the latest month is found from the partition values
-    first, so the date column is read from one month's files only.
+    Eager (default, ``tillroll.windows.eagerLatest``): the single value enters the plan as a
+    literal, so a window filter on it is pushed into the parquet scan (row groups and files
+    outside the window are skipped) and partition filters are pruned statically. With
+    ``months`` (those that may hold rows, the latest first: ``RetailModel.months()``) only the
+    last month's rows are read for it, and earlier ones only where none of them is in ``df``.
+    Lazy: a scalar subquery evaluated when the plan runs.
     """
+    if eager if eager is not None else _eager(df):
+        if months is not None:
+            return F.lit(latest_in(df, iter(months), date_col)).cast("date")
+        return F.lit(df.agg(F.max(date_col).alias("latest")).first()["latest"]).cast("date")
     if PARTITION_COLUMN in df.columns:
         last_month = df.agg(F.max(PARTITION_COLUMN).alias("m")).scalar()
         df = df.filter(F.col(PARTITION_COLUMN) == last_month)
-    latest = df.agg(F.max(date_col).alias("latest"))
-    if eager if eager is not None else _eager(df):
-        return F.lit(latest.first()["latest"]).cast("date")
-    return latest.scalar()
+    return df.agg(F.max(date_col).alias("latest")).scalar()
 
 
 def _prune_months(df: DataFrame, start: Column) -> DataFrame:
@@ -60,15 +67,16 @@ def window_start(latest: Column, n: int, unit: str) -> Column:
 
 def trailing_window(df: DataFrame, n: int, unit: str = "day", inclusive: bool = True,
                     date_col: str = "sales_date", anchor: DataFrame | None = None,
-                    complete_months_only: bool = False, eager: bool | None = None) -> DataFrame:
+                    complete_months_only: bool = False, eager: bool | None = None,
+                    months: Iterable[dt.date] | None = None) -> DataFrame:
     """Rows dated within ``n`` days/months before the latest date of ``anchor`` (default: df).
 
     inclusive=True keeps ``date >= latest - n`` and False keeps ``date > latest - n``.
-    ``eager`` chooses how the latest date enters the plan (see ``latest_date``).
+    ``eager`` and ``months`` choose how the latest date enters the plan (see ``latest_date``).
     complete_months_only=True keeps the ``n`` whole calendar months before the month of
     the latest date instead (no partial first or last month).
     """
-    latest = latest_date(df if anchor is None else anchor, date_col, eager)
+    latest = latest_date(df if anchor is None else anchor, date_col, eager, months)
     d = F.col(date_col)
     if complete_months_only:
         end = month_start(latest)
@@ -105,7 +113,7 @@ def period_change(df: DataFrame, name: str = "revenue_per_month", change: str =
 
 def declining(df: DataFrame, key: str, months: int = 3, count_name: str = "sales",
               previous_name: str = "previous_month_sales", zero_fill: bool = False,
-              complete_months_only: bool = False) -> DataFrame:
+              complete_months_only: bool = False, stored_months: Iterable[dt.date] | None = None) -> DataFrame:
     """Items whose monthly sale count fell versus their previous month, last ``months`` (Q10).
 
     By default the previous month is the previous month *present* (gaps are skipped).
@@ -115,7 +123,7 @@ def declining(df: DataFrame, key: str, months: int = 3, count_name: str = "sales
     (item, month) yields exactly the months that matter.
     """
     recent = trailing_window(df, months, "month", inclusive=True,
-                             complete_months_only=complete_months_only)
+                             complete_months_only=complete_months_only, months=stored_months)
     per_month = recent.groupBy(key, month_start("sales_date").alias("m")).agg(
         line_count(recent).alias(count_name))
     if zero_fill:
@@ -135,7 +143,7 @@ def declining(df: DataFrame, key: str, months: int = 3, count_name: str = "sales
 
 
 def trend(df: DataFrame, months: int = 12, flat_label: str | None = None,
-          complete_months_only: bool = False) -> DataFrame:
+          complete_months_only: bool = False, stored_months: Iterable[dt.date] | None = None) -> DataFrame:
     """Latest vs earliest month revenue in the last ``months`` months, one row (Q22).
 
     One aggregation with max_by/min_by instead of repeated ordered subqueries. The
@@ -143,7 +151,7 @@ def trend(df: DataFrame, months: int = 12, flat_label: str | None = None,
     unless ``complete_months_only``. ``flat_label`` names the equal case (else decreasing).
     """
     recent = trailing_window(df, months, "month", inclusive=True,
-                             complete_months_only=complete_months_only)
+                             complete_months_only=complete_months_only, months=stored_months)
     # months as their first day: ordered like the 'yyyy-MM' label, no text per row
     per_month = recent.groupBy(month_start("sales_date").alias("month")).agg(
         money_sum(revenue()).alias("revenue"))
@@ -212,13 +220,14 @@ def promotion_months(df: DataFrame, as_written: bool = False,
         "month", "revenue", "promotion_strategy")
 
 
-def last_vs_previous(df: DataFrame, flat_label: str | None = None) -> DataFrame:
+def last_vs_previous(df: DataFrame, flat_label: str | None = None,
+                     stored_months: Iterable[dt.date] | None = None) -> DataFrame:
     """Revenue of the last month vs the month before it, one row (Q33).
 
     Months are sorted on their first day (a two-digit year label would break at a
     century change); the two most recent months inside the 2-month trailing window.
     """
-    recent = trailing_window(df, 2, "month", inclusive=True)
+    recent = trailing_window(df, 2, "month", inclusive=True, months=stored_months)
     per_month = recent.groupBy(month_start("sales_date").alias("month")).agg(
         money_sum(revenue()).alias("revenue"))
     last_two = per_month.orderBy(F.col("month").desc()).limit(2)
@@ -232,19 +241,23 @@ def last_vs_previous(df: DataFrame, flat_label: str | None = None) -> DataFrame:
 
 
 def median_by(df: DataFrame, part: str, period: str = "sales_date", measure: str = "count",
-              as_written: bool = False, name: str = "median", approximate: bool = False) -> DataFrame:
+              as_written: bool = False, name: str = "median", approximate: bool = False,
+              selection: bool = False) -> DataFrame:
     """Median of the per-(period, part) measure within each part (Q36).
 
     measure: 'count' (rows per period) or 'revenue'. The exact median aggregates a
     value->count map per group (partial aggregation, no group collected into a list).
     as_written reproduces the original query's running-count selection; approximate
-    uses percentile_approx (bounded memory per group whatever the number of values).
+    uses percentile_approx (bounded memory per group whatever the number of values);
+    selection finds the exact median over ranges of the values, without that map.
     """
     value = line_count(df) if measure == "count" else money_sum(revenue())
     per = df.groupBy(period, part).agg(value.alias("number"))
     if approximate:  # fixed-size sketch per group, for very many distinct values
         return per.groupBy(part).agg(F.percentile_approx("number", 0.5).cast("double").alias(name))
     if not as_written:
+        if selection:
+            return ordered.median(per, [part], "number", name)
         return per.groupBy(part).agg(F.median("number").cast("double").alias(name))
     w = Window.partitionBy(part).orderBy(F.col("number").asc())
     ranked = (per.withColumn("numbering", F.row_number().over(w))

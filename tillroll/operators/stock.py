@@ -6,7 +6,8 @@ between raw fact rows and raw snapshot rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Iterable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -55,8 +56,8 @@ def urgent_reorder(model: RetailModel, max_stock: int = 200,
 
 
 def units_sold_recent(df: DataFrame, days: int, inclusive: bool = True,
-                      key: str = "product_id") -> DataFrame:
-    recent = trailing_window(df, days, "day", inclusive=inclusive)
+                      key: str = "product_id", months: Iterable[dt.date] | None = None) -> DataFrame:
+    recent = trailing_window(df, days, "day", inclusive=inclusive, months=months)
     return recent.groupBy(key).agg(F.sum("unit").cast("bigint").alias("total_sold"))
 
 
@@ -66,7 +67,7 @@ def overstock(model: RetailModel, days: int = 90, ratio_limit: int = 5, inclusiv
 
     Sales come from the fact table (orphan stores included); unsold counts as zero.
     """
-    sold = units_sold_recent(model.fact(), days, inclusive=inclusive)
+    sold = units_sold_recent(model.fact(), days, inclusive=inclusive, months=model.months())
     products = model.dim("products").select("product_id", "product_name")
     base = products.join(stock_per_product(model), "product_id", "inner")
     out = base.join(sold, "product_id", "left").withColumn(
@@ -89,7 +90,7 @@ def turnover(model: RetailModel, fast: float = 3, slow: float = 6,
     every calendar month of the sales period instead. Corrected mode names dead stock from
     the products table; ``as_written`` leaves its name NULL.
     """
-    view = model.sales_view()
+    view = model.view("month")
     # The name depends on the product id: group on the id (an integer) and attach the
     # name once per product afterwards.
     per_month = view.groupBy("product_id", F.year("sales_date").alias("year"),
@@ -144,8 +145,9 @@ def unsold_products(model: RetailModel, days: int = 90, source: str = "sales",
     source='sales' judges from the fact table, 'view' from the star view (orphans dropped).
     method='not_in' keeps SQL NOT IN semantics; 'left_anti' ignores NULL keys (null-safe).
     """
-    facts = model.fact() if source == "sales" else model.sales_view()
-    sold = trailing_window(facts, days, "day", inclusive=inclusive).select("product_id").distinct()
+    facts = model.fact() if source == "sales" else model.view("day")
+    sold = (trailing_window(facts, days, "day", inclusive=inclusive, months=model.months())
+            .select("product_id").distinct())
     products = model.products.select("product_id", "product_name")
     if method == "left_anti":
         return products.join(sold, "product_id", "left_anti")
@@ -198,8 +200,8 @@ def stock_consistency(model: RetailModel, days: int = 90, as_written: bool = Fal
     sum(unit) x inventory rows and sum(stock) x sales rows. Corrected: each side
     aggregated once, every store kept. ``inclusive`` switches the window to ``>=``.
     """
-    view = model.sales_view()
-    recent = trailing_window(view, days, "day", inclusive=inclusive)
+    view = model.view("day")
+    recent = trailing_window(view, days, "day", inclusive=inclusive, months=model.months())
     if as_written:
         names = model.dim("stores").select("store_id", "store_name")
         weight = "lines" if "lines" in recent.columns else None

@@ -71,6 +71,41 @@ def distinct_units(model: RetailModel) -> DataFrame:
     return quality.distinct_values(model.line_view(), "unit")
 
 
+# ---- audits over tables with violations -------------------------------------------------
+
+def damaged(model: RetailModel) -> RetailModel:
+    """The model with faults by rule, so that every audit has something to find: of every 7
+    stores and 11 products the key of one is NULL and of another repeats the key before it,
+    prices of every 13 products are zero or negative, units of every 17 sales negative."""
+    def keyed(df: DataFrame, key: str, step: int) -> DataFrame:
+        at = F.pmod(F.col(key), F.lit(step))
+        return df.withColumn(key, F.when(at == 1, F.lit(None)).when(at == 3, F.col(key) - 1).otherwise(F.col(key)))
+
+    at = F.pmod(F.col("product_id"), F.lit(13))
+    price = (F.when(at == 2, F.lit(0)).when(at == 5, -F.col("product_price")).otherwise(F.col("product_price"))
+             .cast("decimal(10,2)"))
+    products = keyed(model.products.withColumn("product_price", price), "product_id", 11)
+    sales = model.sales.withColumn(
+        "unit", F.when(F.pmod(F.col("sale_id"), F.lit(17)) == 4, -F.col("unit")).otherwise(F.col("unit")))
+    return RetailModel(sales, products, keyed(model.stores, "store_id", 7), model.inventory)
+
+
+def violations(model: RetailModel) -> DataFrame:
+    """The summaries of A1-A4 and A9-A11 over the damaged tables, one row for each audit."""
+    model = damaged(model)
+    out = None
+    for audit in (null_store_keys, null_product_keys, duplicate_store_keys, duplicate_product_keys,
+                  zero_prices, negative_prices, negative_units):
+        out = audit(model) if out is None else out.unionByName(audit(model))
+    return out
+
+
+def key_constraints(model: RetailModel) -> DataFrame:
+    """The summaries of A6 and A7 over the damaged tables."""
+    model = damaged(model)
+    return product_key_check(model).unionByName(store_key_check(model))
+
+
 # ---- cleaning checks ---------------------------------------------------------------
 
 def raw_sales_text(model: RetailModel) -> DataFrame:
@@ -93,14 +128,28 @@ def date_column_added(model: RetailModel) -> DataFrame:
         "sale_id", "date", "sales_date")
 
 
+def half_filled(model: RetailModel) -> DataFrame:
+    """Raw sales of which some have their date already and some have a text that is no date: by
+    sale id, 0 is filled and its text unparsable (the date stays), 1 has no text, 2 has an
+    unparsable text and no date, 3 is filled with another day than its text (the date stays)."""
+    at = F.pmod(F.col("sale_id"), F.lit(10))
+    raw = model.sales.select(
+        "sale_id", "sales_date", F.date_format("sales_date", "M/d/yyyy").alias("text"))
+    return raw.select(
+        F.col("sale_id").alias("sid"),
+        F.when(at == 1, F.lit(None)).when(at.isin(0, 2), F.lit("13/45/2023")).otherwise(F.col("text")).alias("date"),
+        F.when(at == 0, F.col("sales_date")).when(at == 3, F.date_add("sales_date", 1)).cast("date").alias("parsed"))
+
+
 def date_parse_check(model: RetailModel) -> DataFrame:
-    """C2 (idempotent fill): parse twice; rows, parsed rows, quarantined rows as one row."""
-    raw = raw_sales_text(model).withColumnRenamed("sale_id", "sid")
-    once = cleaning.parse_date(raw, "date", "parsed")
+    """C2 (idempotent fill) on half-filled rows, filled twice: rows, rows with a date, the days
+    of these summed up, and quarantined rows (a text, but no date) as one row."""
+    once = cleaning.parse_date(half_filled(model), "date", "parsed")
     twice = cleaning.parse_date(once, "date", "parsed")
     return twice.agg(
         F.count(F.lit(1)).cast("bigint").alias("n_rows"),
         F.count("parsed").cast("bigint").alias("n_parsed"),
+        F.sum(F.datediff("parsed", F.lit("1970-01-01").cast("date"))).cast("bigint").alias("days"),
         F.count(F.when(F.col("date").isNotNull() & F.col("parsed").isNull(), 1)).cast("bigint")
         .alias("n_quarantined"))
 

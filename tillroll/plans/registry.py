@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.model import RetailModel
-from tillroll.plans import audits, drivers, inventory, products, sales, seasons, stores
+from tillroll.plans import audits, drivers, ingest, inventory, products, sales, seasons, stores
 
 _MODELS: "weakref.WeakKeyDictionary[SparkSession, dict[str, tuple]]" = weakref.WeakKeyDictionary()
 
@@ -48,8 +48,18 @@ def model_for(spark: SparkSession, sf_dir: str) -> RetailModel:
     return model
 
 
+def _without_some_sales(model: RetailModel) -> RetailModel:
+    """The model without the sales of every 50th product, so that dead stock is found."""
+    return RetailModel(model.sales.filter("product_id % 50 <> 0"), model.products, model.stores, model.inventory)
+
+
 # key -> (question over a model)
 QUESTIONS: dict[str, Callable[[RetailModel], DataFrame]] = {
+    "s2": ingest.sales_round_trip,
+    "s3": ingest.dimensions_round_trip,
+    "s6": ingest.clean_round_trip,
+    "a_damaged": audits.violations,
+    "a_keys_damaged": audits.key_constraints,
     "s5": audits.star_view,
     "a1": audits.null_store_keys,
     "a2": audits.null_product_keys,
@@ -101,6 +111,7 @@ QUESTIONS: dict[str, Callable[[RetailModel], DataFrame]] = {
     "q25_all": lambda m: inventory.stock_status(m, max_stock=None),
     "q26": lambda m: inventory.overstock(m, 90, 5),
     "q27": lambda m: inventory.turnover(m, 3, 6),
+    "q27_dead": lambda m: inventory.turnover(_without_some_sales(m), 3, 6),
     "q28": lambda m: inventory.urgent_reorder(m, 200),
     "q29": lambda m: inventory.unsold_products(m, 90, source="sales"),
     "q30": lambda m: inventory.dead_stock_cost(m, 90, source="view"),
@@ -119,6 +130,7 @@ QUESTIONS: dict[str, Callable[[RetailModel], DataFrame]] = {
     "q38e": lambda m: drivers.revenue_by_cost_bracket(m, (400, 600)),
     "q38f": lambda m: drivers.compare_factors(m, 3),
     "q39": lambda m: products.discontinue_candidates(m, (500000, 1500000), (250, 650)),
+    "q39_all": lambda m: products.discontinue_candidates(m, (500000, 1500000), (250, 650), keep_all=True),
     "q40": lambda m: stores.store_review(m, (13500000, 20250000), max_revenue=13500000),
     "q40_all": lambda m: stores.store_review(m, (13500000, 20250000), max_revenue=None),
     "q41": lambda m: stores.city_expansion(m, high=20000000, mid=15000000, low=7500000,
@@ -142,6 +154,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 DESCRIPTIONS: dict[str, str] = {
+    "s2": "ingest: raw sales files with broken lines read back, per year and quarantined",
+    "s3": "ingest: raw dimension files with broken lines read back",
+    "s6": "sink: cleaned tables and rollup written, months rewritten, read back at both grains",
+    "a_damaged": "audits A1-A4, A9-A11 over tables with violations",
+    "a_keys_damaged": "key constraints over tables with violations",
+    "q27_dead": "inventory turnover where some products have no sale",
+    "q39_all": "revenue and profit class of every product",
     "s5": "star view: sales with their store and product",
     "a1": "audit: stores with a NULL key",
     "a2": "audit: products with a NULL key",

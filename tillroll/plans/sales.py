@@ -21,13 +21,13 @@ PRICE_BAND_LABELS = ("Low price", "Medium price", "High price")
 
 def revenue_per_year(model: RetailModel) -> DataFrame:
     """Q1: from sales x products (not the view), so orphan stores count."""
-    return revenue_by(model.sales_with_products(),
+    return revenue_by(model.sales_with_products("month"),
                       F.year("sales_date").cast("int").alias("year"), "total")
 
 
 def month_over_month(model: RetailModel, zero_fill: bool = False) -> DataFrame:
     """Q2: monthly revenue and its change on the previous month."""
-    return period_change(model.sales_view(), "revenue_per_month", "monthly_change", zero_fill)
+    return period_change(model.view("month"), "revenue_per_month", "monthly_change", zero_fill)
 
 
 def top_products(model: RetailModel, k: int = 5) -> DataFrame:
@@ -38,7 +38,7 @@ def top_products(model: RetailModel, k: int = 5) -> DataFrame:
 
 def pareto_products(model: RetailModel, pct: float = 80, include_crossing: bool = False) -> DataFrame:
     """Q4: products that make up ``pct`` % of revenue (peers share a cumulative value)."""
-    per = revenue_by(model.sales_view(), "product_name", "revenue_per_product")
+    per = revenue_by(model.view(), "product_name", "revenue_per_product")
     return pareto(per, "revenue_per_product", pct, include_crossing,
                   bounded=model.bounded_by("products")).select(
         "product_name", "revenue_per_product", "cumulative_revenue", "total_revenue",
@@ -55,19 +55,19 @@ def price_band_share(model: RetailModel, edges: Sequence = PRICE_BAND_EDGES,
                      labels: Sequence[str] = PRICE_BAND_LABELS) -> DataFrame:
     """Q6: revenue and share of total per price band (upper edges inclusive)."""
     band = bucketize("product_price", edges, labels, right_closed=True)
-    return share_by_bucket(model.sales_view(), band, "price_range", revenue())
+    return share_by_bucket(model.view(), band, "price_range", revenue())
 
 
 def month_rank(model: RetailModel) -> DataFrame:
     """Q19: revenue per calendar month with its rank (12 rows at most)."""
-    per = revenue_by(model.sales_view(), F.month("sales_date").cast("int").alias("month"),
+    per = revenue_by(model.view("month"), F.month("sales_date").cast("int").alias("month"),
                      "monthly_revenue")
     return rank_groups(per, [("monthly_revenue", False)], "rank_month", bounded=True)
 
 
 def cumulative_months(model: RetailModel) -> DataFrame:
     """Q37: running total of monthly revenue (rows bounded by the calendar)."""
-    m = monthly(model.sales_view(), revenue(), "revenue_per_month")
+    m = monthly(model.view("month"), revenue(), "revenue_per_month")
     return running_total(m, "revenue_per_month", [("year", True), ("month", True)],
                          "running_total", bounded=True).withColumn(
         "running_total", F.col("running_total").cast("decimal(38,2)"))

@@ -16,7 +16,7 @@ from tillroll.operators.ranking import compare_to_previous, rank_groups, top_k_w
 
 def best_store(model: RetailModel, k: int = 1) -> DataFrame:
     """Q13."""
-    per = revenue_by(model.sales_view(), "store_name", "revenue_store")
+    per = revenue_by(model.view(), "store_name", "revenue_store")
     return top_k(per, "revenue_store", k, tie_break=["store_name"])
 
 
@@ -25,26 +25,26 @@ def store_ranking(model: RetailModel) -> DataFrame:
 
     A single-task window only when the store count is proven small; otherwise the
     range-partitioned rank."""
-    per = revenue_by(model.sales_view(), "store_name", "revenue_store")
+    per = revenue_by(model.view(), "store_name", "revenue_store")
     return rank_groups(per, [("revenue_store", False)], "rank_store",
                        bounded=model.bounded_by("stores")).select("store_name", "rank_store")
 
 
 def stores_below_average(model: RetailModel) -> DataFrame:
     """Q15."""
-    per = revenue_by(model.sales_view(), "store_name", "revenue_per_store")
+    per = revenue_by(model.view(), "store_name", "revenue_per_store")
     return versus_average(per, "revenue_per_store", "below", bounded=model.bounded_by("stores"))
 
 
 def best_city(model: RetailModel, k: int = 1) -> DataFrame:
     """Q16."""
-    per = revenue_by(model.sales_view(), "store_city", "total_revenue_per_city")
+    per = revenue_by(model.view(), "store_city", "total_revenue_per_city")
     return top_k(per, "total_revenue_per_city", k, tie_break=["store_city"])
 
 
 def store_gap(model: RetailModel) -> DataFrame:
     """Q17: best minus worst store revenue."""
-    per = revenue_by(model.sales_view(), "store_name", "revenue_per_store")
+    per = revenue_by(model.view(), "store_name", "revenue_per_store")
     return spread(per, "revenue_per_store", "gap_performance")
 
 
@@ -54,14 +54,14 @@ AGE_LABELS = ("Newer store sells more", "Older store sells more", "Comparison no
 
 def store_age(model: RetailModel) -> DataFrame:
     """Q18: each store vs the store opened just before it (name breaks date ties)."""
-    per = revenue_by(model.sales_view(), ["store_name", "store_open_date"], "total_revenue")
+    per = revenue_by(model.view(), ["store_name", "store_open_date"], "total_revenue")
     return compare_to_previous(per, "total_revenue", [("store_open_date", True), ("store_name", True)],
                                AGE_LABELS, "comparison", bounded=model.bounded_by("stores"))
 
 
 def top_products_per_store(model: RetailModel, k: int = 3) -> DataFrame:
     """Q32: top k products in every store, rank ties kept."""
-    per = revenue_by(model.sales_view(), ["store_id", "product_name"], "revenue")
+    per = revenue_by(model.view(), ["store_id", "product_name"], "revenue")
     return top_k_within(per, ["store_id"], [("revenue", False)], k, "rank_product")
 
 
@@ -73,7 +73,7 @@ REVIEW_LABELS = ("Consider closing", "relocated", "keep open")
 def store_review(model: RetailModel, edges: Sequence = (400000, 600000),
                  labels: Sequence[str] = REVIEW_LABELS, max_revenue: float | None = 400000) -> DataFrame:
     """Q40: revenue, profit, margin and a recommendation per store."""
-    per = model.sales_view().groupBy("store_name", "store_city").agg(
+    per = model.view().groupBy("store_name", "store_city").agg(
         money_sum(revenue()).alias("total_revenue"), money_sum(profit()).alias("total_profit"))
     per = (per.withColumn("profit_margin_percent", percent(F.col("total_profit"), F.col("total_revenue"), 2))
               .withColumn("recommendation", bucketize("total_revenue", edges, labels, right_closed=False)))
@@ -112,7 +112,7 @@ def city_expansion(model: RetailModel, high: float = 80000, mid: float = 60000,
             money_sum(revenue()).alias("total_revenue"),
             money_sum(profit()).alias("total_profit"))
     else:
-        per_store = view.groupBy("store_city", "store_id").agg(
+        per_store = model.view().groupBy("store_city", "store_id").agg(
             money_sum(revenue()).alias("revenue"), money_sum(profit()).alias("profit"))
         money = per_store.groupBy("store_city").agg(
             F.count("store_id").alias("number_of_stores"),

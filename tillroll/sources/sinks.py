@@ -5,7 +5,8 @@ Layout of a folder, shared by batch writes and streaming ingests:
 * ``sales`` (by calendar month, so that trailing windows skip whole directories),
   ``products``, ``stores``, ``inventory``: the batch-written tables.
 * ``sales_daily``: the daily rollup of ``sales``, or absent. Every batch write replaces or
-  removes it, so that it never stands for other sales than those beside it.
+  removes it, or its part for the months that are rewritten, so that it never stands for
+  other sales than those beside it.
 * ``sales_stream/ingest=<i>/batch=<n>/sales_month=<m>``: streamed rows, one folder for each
   micro-batch of each ingest. They are no part of ``sales``: a batch write leaves them.
 * ``sales_stream_daily/ingest=<i>/batch=<n>``: the rollup of such a micro-batch, if its
@@ -20,12 +21,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.latest import MonthFolders
 from tillroll.sources.schemas import PARTITION_COLUMN
 
 TABLES = ("sales", "products", "stores", "inventory")
 STREAM = "sales_stream"
 STREAM_DAILY = "sales_stream_daily"
 BATCH_KEYS = ["ingest", "batch"]
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL partition value
 SALES_COLUMNS = ["sale_id", "sales_date", "store_id", "product_id", "unit", PARTITION_COLUMN]
 DAILY_COLUMNS = ["store_id", "product_id", "sales_date", "unit", "lines", PARTITION_COLUMN]
 SALES_SCHEMA = (f"sale_id int, sales_date date, store_id int, product_id int, unit int, "
@@ -44,6 +47,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def _months(spark: SparkSession, path: str) -> set[str]:
+    """Names of the month folders below ``path``."""
+    fs, target = _folder(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+    return {n.split("=", 1)[1] for n in names if n.startswith(f"{PARTITION_COLUMN}=")}
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _folder(spark, path)
     fs.delete(target, True)
@@ -101,6 +111,39 @@ def _batch_sales(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(f"{root}/sales").select(*SALES_COLUMNS)
 
 
+def write_months(sales: DataFrame, path: str, daily: bool = False) -> None:
+    """Replace the months that ``sales`` has rows of, in the batch-written table; other months
+    and streamed rows stay as they are.
+
+    ``daily`` writes the months' rollup as well. Where a rollup is written, the months' part
+    of it goes first and comes back last, so a failure in between leaves months without a
+    rollup (``read_daily`` rolls their rows up), never a rollup of other rows. Written again,
+    the months are replaced again. ``sales`` must not be read from the same folder.
+    """
+    root = path.rstrip("/")
+    spark = sales.sparkSession
+    sales = with_month(sales)
+    months = [r[0] for r in sales.select(PARTITION_COLUMN).distinct().collect()]  # one for each month
+    has_daily = exists(spark, f"{root}/sales_daily")
+    for month in months if has_daily else ():
+        remove(spark, f"{root}/sales_daily/{PARTITION_COLUMN}={HIVE_NULL if month is None else month}")
+
+    def replace(df: DataFrame, name: str) -> None:
+        (df.sortWithinPartitions(PARTITION_COLUMN).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 5_000_000)
+         .partitionBy(PARTITION_COLUMN).parquet(f"{root}/{name}"))
+
+    replace(sales, "sales")
+    if daily and has_daily:
+        replace(rollup(sales), "sales_daily")
+
+
+def clean_months(path: str) -> MonthFolders:
+    """Where the months of the sales below ``path`` are known from: batch-written and streamed."""
+    root = path.rstrip("/")
+    return MonthFolders(((f"{root}/sales", 0), (f"{root}/{STREAM}", len(BATCH_KEYS))))
+
+
 def read_clean(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The cleaned tables. ``sales`` holds batch-written and streamed rows and keeps its
     ``sales_month`` partition column last, so trailing-window filters prune month
@@ -122,19 +165,28 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame | None:
     """The daily rollup of all sales below ``path``, batch-written and streamed, or None when
     no part of it is written.
 
-    Written parts are taken for the rows that they cover: ``sales_daily`` for ``sales``,
-    the part of a micro-batch for that micro-batch. All other rows are rolled up here, so
+    Written parts are taken for the rows that they cover: a month of ``sales_daily`` for that
+    month of ``sales``, the part of a micro-batch for that micro-batch. All other rows are rolled up here, so
     the result always covers every row.
     """
     root = path.rstrip("/")
-    has_batch = exists(spark, f"{root}/sales_daily")
+    has_batch = bool(_months(spark, f"{root}/sales_daily"))
     has_parts = exists(spark, f"{root}/{STREAM_DAILY}")
     if not has_batch and not has_parts:
         return None  # computed from the sales table instead
     frames = []
     batch = _batch_sales(spark, root)
     if has_batch:
-        frames.append(spark.read.parquet(f"{root}/sales_daily").select(*DAILY_COLUMNS))
+        written = spark.read.parquet(f"{root}/sales_daily").select(*DAILY_COLUMNS)
+        frames.append(written)
+        if batch is not None:  # months without a part: rewritten since, or never rolled up
+            missing = _months(spark, f"{root}/sales") - _months(spark, f"{root}/sales_daily")
+            if missing:
+                named = [m for m in missing if m != HIVE_NULL]
+                month = F.col(PARTITION_COLUMN)
+                frames.append(rollup(batch.filter(
+                    month.isin(named) | (month.isNull() if HIVE_NULL in missing else F.lit(False))))
+                    .select(*DAILY_COLUMNS))
     elif batch is not None:
         frames.append(rollup(batch).select(*DAILY_COLUMNS))
     streamed = _streamed(spark, root)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.latest import FlatDates
+
 # Fixed values of the mapping (kept equal in the SQL oracle).
 STORE_EPOCH = "1990-01-01"
 STORE_DAY_STEP = 37
@@ -65,6 +67,10 @@ def testdata_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def testdata_dates(sf_dir: str) -> FlatDates:
+    return FlatDates(f"{str(sf_dir).rstrip('/')}/lineitem.parquet", "l_shipdate", micros=True)
+
+
 def testdata_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = _table(spark, sf_dir, "lineitem")
     stock = ((F.col("store_id") * STOCK_STORE_FACTOR + F.col("product_id") * STOCK_PRODUCT_FACTOR)
