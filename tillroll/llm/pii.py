@@ -28,7 +28,8 @@ LABELS = ("O", *KINDS)
 # The patterns of the standard forms.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]++(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# a match can only begin where digits begin; without the look-behind a long run of digits is tried at each
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -94,14 +95,14 @@ def shape(word: str) -> str:
         bare = word.strip(".,;:!?()\"'").lower()
         return "w=" + bare if bare in CUES else "a"
     out = []
-    for run in _RUNS.findall(word[:80]):
+    for run in _RUNS.findall(word):
         out.append(str(min(9, len(run))) if "0" <= run[0] <= "9" else "a" if run[0].isalpha() else run)
     return "".join(out)
 
 
 def _features(before: str, word: str, after: str) -> tuple[str, ...]:
     n = sum(c.isdigit() for c in word)
-    signs = "".join(sorted(set(word) - set("0123456789a")))[:8]
+    signs = "".join(sorted(set(word) - set("0123456789a")))
     return ("s=" + word, "p=" + before, "n=" + after, f"d={n}", "c=" + signs, f"p={before}|s={word}", "1")
 
 

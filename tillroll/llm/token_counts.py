@@ -5,8 +5,10 @@ worker; its size is bounded by ``table_size``. Tier 2 is each worker's own cache
 chunks that it missed, encoded by the library. No chunk or pre-token is ever shuffled:
 one scan, one map.
 
-The frequent chunks are taken from at most ``sample_rows`` documents. The table only saves
-time: a chunk that is not in it is encoded by the library, so every count is exact.
+The frequent chunks are counted over all documents beforehand: each task counts blocks of
+chunks and reports those that its block holds several times, and of the sums the greatest make
+the table. The table only saves time: a chunk that is not in it is encoded by the library, so
+every count is exact.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ from tillroll.llm import byte_bpe, sentence_pieces
 from tillroll.llm.chunks import ChunkTable, count_texts
 
 TABLE_SIZE = 65_536
-SAMPLE_ROWS = 2_000
+#: Distinct chunks that a task counts before it reports, and the uses that it reports.
+BLOCK_CHUNKS = 300_000
+BLOCK_USES = 8
 
 _TABLES: dict[tuple, ChunkTable] = {}
 
@@ -38,33 +42,48 @@ def _codec(path: str):
 
 
 def frequent_chunks(texts: DataFrame, path: str, text_col: str, table_size: int,
-                    sample_rows: int) -> dict[str, int]:
-    """Frequent chunk -> number of tokens, from a bounded sample; at most ``table_size``.
-
-    The sample is gathered in the driver, cut to ``sample_rows`` texts.
-    """
+                    block_chunks: int = BLOCK_CHUNKS, block_uses: int = BLOCK_USES) -> dict[str, int]:
+    """Frequent chunk -> number of tokens: of the chunks of all texts the ``table_size`` most
+    used ones, as far as blocks of ``block_chunks`` distinct chunks hold them ``block_uses``
+    times. The driver gets ``table_size`` rows at most."""
     split, _, encode_many = _codec(path)
-    seen: Counter = Counter()
-    for row in texts.select(text_col).filter(F.length(text_col) < 20_000).limit(sample_rows).collect():
-        seen.update(split(row[0]) or ())
-    words = [w for w, n in seen.most_common(table_size) if n > 1]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+
+        def report() -> pa.RecordBatch:
+            often = [(w, n) for w, n in seen.items() if n >= block_uses]
+            seen.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([w for w, _ in often], pa.string()), pa.array([n for _, n in often], pa.int64())],
+                names=["chunk", "n"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                seen.update(split(text.as_py()) or ())
+                if len(seen) >= block_chunks:
+                    yield report()
+        yield report()
+
+    rows = (texts.select(text_col).mapInArrow(count, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
+            .orderBy(F.desc("n"), "chunk").limit(table_size).collect())
+    words = [r.chunk for r in rows]
     return dict(zip(words, encode_many(words)[2].tolist())) if words else {}
 
 
 def token_counts(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text",
-                 limit: int = 1024, table_size: int = TABLE_SIZE,
-                 sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+                 limit: int = 1024, table_size: int = TABLE_SIZE) -> DataFrame:
     """One row per input row: ``id_col``, n_bytes (UTF-8), n_tokens, over_limit.
 
     A null text counts as empty (0 bytes, 0 tokens). Repeated rows give repeated results; a
-    null id is carried through. Columns other than the two named are not read, whatever
-    their names.
+    null id is carried through. Texts of any length are counted whole, a few of them at a
+    time. Columns other than the two named are not read, whatever their names.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     run_id = uuid.uuid4().hex
     shared = spark.sparkContext.broadcast(
-        frequent_chunks(texts, path, "text", table_size, sample_rows))
+        frequent_chunks(texts, path, "text", table_size))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, whole, encode_many = _codec(path)
