@@ -17,7 +17,6 @@ from tillroll.llm.queries import PIECES, documents
 from tillroll.llm.storage import written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-MIN_SCORE = 0.3
 
 
 def _as_documents(rows: DataFrame) -> DataFrame:
@@ -26,11 +25,11 @@ def _as_documents(rows: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without a language (null texts, texts without letters) or of a
-    score below MIN_SCORE go; ``lang`` becomes the predicted language."""
+    """Language ID: documents without a language (null texts, texts without letters) go;
+    ``lang`` becomes the predicted language."""
     docs = docs.select(*COLUMNS)
     found = language_id.identify(docs, language_id.train(docs), columns=("text", "source", "n_chars"))
-    kept = found.filter((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_SCORE))
+    kept = found.filter(F.col("lang_pred") != language_id.UNDETERMINED)
     return kept.withColumnRenamed("lang_pred", "lang").select(*COLUMNS)
 
 
