@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from tillroll.llm import byte_bpe, sentence_pieces
 from tillroll.llm.chunks import ChunkTable, count_texts
+from tillroll.llm.storage import written
 
 TABLE_SIZE = 65_536
 #: Distinct chunks that a task counts before it reports, and the uses that it reports.
@@ -43,9 +44,9 @@ def _codec(path: str):
 
 def frequent_chunks(texts: DataFrame, path: str, text_col: str, table_size: int,
                     block_chunks: int = BLOCK_CHUNKS, block_uses: int = BLOCK_USES) -> dict[str, int]:
-    """Frequent chunk -> number of tokens: of the chunks of all texts the ``table_size`` most
-    used ones, as far as blocks of ``block_chunks`` distinct chunks hold them ``block_uses``
-    times. The driver gets ``table_size`` rows at most."""
+    """Frequent chunk -> number of tokens: of the chunks of all texts the most used ones,
+    ``table_size`` at most, as far as blocks of ``block_chunks`` distinct chunks hold them
+    ``block_uses`` times. The driver gets no more rows than that."""
     split, _, encode_many = _codec(path)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,8 +66,17 @@ def frequent_chunks(texts: DataFrame, path: str, text_col: str, table_size: int,
                     yield report()
         yield report()
 
-    rows = (texts.select(text_col).mapInArrow(count, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "chunk").limit(table_size).collect())
+    counts = written(texts.select(text_col).mapInArrow(count, "chunk string, n long")
+                     .groupBy("chunk").agg(F.sum("n").alias("n")), "chunks")
+    # steps of a quarter of a doubling: the lowest one from which on the table has room for all
+    step = F.floor(4 * F.log2("n"))
+    room, least = table_size, None
+    for r in sorted(counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        room -= r.n
+        if room < 0:
+            break
+        least = r.step
+    rows = counts.filter(step >= least).collect() if least is not None else []
     words = [r.chunk for r in rows]
     return dict(zip(words, encode_many(words)[2].tolist())) if words else {}
 
