@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.bucketed import DealtSales
 from tillroll.sources.latest import FlatDates, MonthFolders
 from tillroll.sources.schemas import PARTITION_COLUMN
 
@@ -47,6 +49,7 @@ class RetailModel:
     grain: str = "line"  # "line": one row per sale line; "daily": the (store, product, day) rollup
     daily_table: DataFrame | None = field(default=None, repr=False)  # a written rollup, if any
     dates: FlatDates | MonthFolders | None = None  # where the stored sales' dates are known from
+    dealt: DealtSales | None = field(default=None, repr=False)  # sales bucketed like the products
     pre_aggregate: bool = True  # sum the fact before it is shuffled to a large dimension
     _small: dict = field(default_factory=dict, repr=False)
     _view: DataFrame | None = field(default=None, repr=False)
@@ -99,6 +102,22 @@ class RetailModel:
             model.daily_table = read_daily(spark, path)
         return model
 
+    @classmethod
+    def from_bucketed(cls, spark: SparkSession, path: str) -> "RetailModel":
+        """The layout written by ``write_bucketed``: products too large to broadcast meet the
+        sales bucket by bucket, without a shuffle of either."""
+        from tillroll.sources.bucketed import bucketed_dates, read_bucketed
+        tables, dealt = read_bucketed(spark, path)
+        model = cls.from_tables(spark, tables)
+        model.dealt = dealt
+        model.dates = bucketed_dates(path)
+        return model
+
+    def write_bucketed(self, path: str, buckets: int | None = None) -> int:
+        """Persist the cleaned tables with sales and products bucketed by product."""
+        from tillroll.sources.bucketed import write_bucketed
+        return write_bucketed(self.tables(), path, buckets)
+
     def write(self, path: str, daily: bool = False, mode: str = "overwrite") -> None:
         """Persist the cleaned tables (sales partitioned by month) and, with ``daily``, the
         (store, product, day) rollup; read back with ``from_parquet(path, grain=...)``."""
@@ -176,9 +195,8 @@ class RetailModel:
         return None if self.dates is None else self.dates.months(self.sales.sparkSession)
 
     # ---- the star view ------------------------------------------------------------
-    def _summed(self, period: str | None, *keys: str) -> DataFrame:
+    def _summed(self, fact: DataFrame, period: str | None, *keys: str) -> DataFrame:
         """The fact summed per ``keys`` and period: ``unit`` and, with it, ``lines``."""
-        fact = self.fact()
         start = {None: None, "day": F.col("sales_date"),
                  "month": F.trunc("sales_date", "month").alias("sales_date")}[period]
         by = [F.col(k) for k in keys] + ([] if start is None else [start])
@@ -186,6 +204,18 @@ class RetailModel:
         lines = F.sum("lines") if "lines" in fact.columns else F.count(F.lit(1))
         return fact.groupBy(*by).agg(F.sum("unit").alias("unit"), lines.alias("lines"))
 
+    def _by_part(self, fact: DataFrame, joined: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+        """``joined(fact, products)``; where the sales are dealt like large products, of the
+        bucketed part and of the part of the hot products, put together."""
+        if self.dealt is None or fact is not self.sales or self.is_small("products"):
+            return joined(fact, self.dim("products"))
+        parts = [joined(self.dealt.cold, self.products), joined(self.dealt.hot, self.dim("hot_products"))]
+        return functools.reduce(DataFrame.unionByName, parts)
+
+    @property
+    def hot_products(self) -> DataFrame:
+        return self.dealt.hot_products
+
     def _sums_first(self, *dimensions: str) -> bool:
         return self.pre_aggregate and not all(self.is_small(name) for name in dimensions)
 
@@ -202,13 +232,22 @@ class RetailModel:
         if not self._sums_first("stores", "products"):
             return self.sales_view()
         columns = [c for c in VIEW_COLUMNS if c != "sale_id" and (c != "sales_date" or period is not None)]
-        return self._star(self._summed(period, "store_id", "product_id"), columns + ["lines"])
-
-    def _star(self, fact: DataFrame, columns: list[str]) -> DataFrame:
-        joined = (fact.join(self.dim("stores"), "store_id", "inner")
-                  .join(self.dim("products"), "product_id", "inner"))
-        extra = [c for c in (PARTITION_COLUMN,) if c in fact.columns]
-        return joined.select(*columns, *extra)
+        return self._star(self.fact(), columns + ["lines"],
+                          lambda fact: self._summed(fact, period, "store_id", "product_id"))
+
+    def _star(self, fact: DataFrame, columns: list[str],
+              prepared: Callable[[DataFrame], DataFrame] = lambda fact: fact) -> DataFrame:
+        def joined(part: DataFrame, products: DataFrame) -> DataFrame:
+            part = prepared(part)
+            extra = [c for c in (PARTITION_COLUMN,) if c in part.columns]
+            dims = [(self.dim("stores"), "store_id"), (products, "product_id")]
+            if self.dealt is not None:
+                dims.reverse()  # products first, while the rows still lie in their buckets
+            for dim, key in dims:
+                part = part.join(dim, key, "inner")
+            return part.select(*columns, *extra)
+
+        return self._by_part(fact, joined)
 
     def line_view(self) -> DataFrame:
         """One row per sale line whose store and product both exist (two inner joins).
@@ -233,8 +272,9 @@ class RetailModel:
     def sales_with_products(self, period: str | None = None) -> DataFrame:
         """fact x products only (the questions that bypass the view keep orphan stores); summed
         before the join as in ``view``."""
-        fact = self._summed(period, "product_id") if self._sums_first("products") else self.fact()
-        return fact.join(self.dim("products"), "product_id", "inner")
+        first = self._sums_first("products")
+        return self._by_part(self.fact(), lambda fact, products: (
+            self._summed(fact, period, "product_id") if first else fact).join(products, "product_id", "inner"))
 
     def register(self, prefix: str = "") -> None:
         for name, df in self.tables().items():

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tillroll.model import RetailModel
 from tillroll.operators.cleaning import clean_raw_tables, clean_sales, rejected
+from tillroll.operators.grouping import revenue_by
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources import delimited
 from tillroll.sources.schemas import CORRUPT_COLUMN, INVENTORY_RAW, PARTITION_COLUMN, PRODUCTS_RAW, SALES_RAW, STORES_RAW
@@ -143,3 +144,13 @@ def clean_round_trip(model: RetailModel) -> DataFrame:
     daily = read_daily(spark, path).groupBy(F.col(PARTITION_COLUMN).alias("daily_month")).agg(
         F.sum("lines").cast("bigint").alias("n_daily_lines"), F.sum("unit").cast("bigint").alias("daily_units"))
     return lines.join(daily, lines["month"].eqNullSafe(daily["daily_month"]), "full").drop("daily_month")
+
+
+def bucketed_round_trip(model: RetailModel) -> DataFrame:
+    """S6, the bucketed layout: sales and products are written in the same buckets, and the revenue
+    of each product is taken from there, no dimension being small enough to broadcast."""
+    path = _folder(model, "bucketed")
+    model.write_bucketed(path)
+    stored = RetailModel.from_bucketed(model.sales.sparkSession, path)
+    stored.broadcast_max_rows = 0
+    return revenue_by(stored.view(), "product_name", "revenue")

@@ -58,6 +58,7 @@ QUESTIONS: dict[str, Callable[[RetailModel], DataFrame]] = {
     "s2": ingest.sales_round_trip,
     "s3": ingest.dimensions_round_trip,
     "s6": ingest.clean_round_trip,
+    "s6_bucketed": ingest.bucketed_round_trip,
     "a_damaged": audits.violations,
     "a_keys_damaged": audits.key_constraints,
     "s5": audits.star_view,
@@ -157,6 +158,7 @@ DESCRIPTIONS: dict[str, str] = {
     "s2": "ingest: raw sales files with broken lines read back, per year and quarantined",
     "s3": "ingest: raw dimension files with broken lines read back",
     "s6": "sink: cleaned tables and rollup written, months rewritten, read back at both grains",
+    "s6_bucketed": "sink: sales and products in the same buckets, revenue per product from there",
     "a_damaged": "audits A1-A4, A9-A11 over tables with violations",
     "a_keys_damaged": "key constraints over tables with violations",
     "q27_dead": "inventory turnover where some products have no sale",

@@ -48,6 +48,7 @@ class FlatDates:
     path: str
     column: str
     micros: bool = False
+    further: tuple[str, ...] = ()  # more folders of the same table
 
     def bounds(self, spark: SparkSession) -> tuple[dt.date, dt.date] | None:
         """First and last date; None for a table without a date or without statistics."""
@@ -55,8 +56,8 @@ class FlatDates:
         # statistics are found by a column's place in the file, so all columns are declared
         schema = T.StructType([
             T.StructField(f.name, T.LongType()) if self.micros and f.name == self.column else f
-            for f in session.read.parquet(self.path).schema.fields])
-        rows = session.read.schema(schema).parquet(self.path)
+            for f in session.read.parquet(self.path, *self.further).schema.fields])
+        rows = session.read.schema(schema).parquet(self.path, *self.further)
         try:
             low, high = rows.agg(F.min(self.column).alias("low"), F.max(self.column).alias("high")).first()
         except (PySparkException, Py4JJavaError):  # a file without statistics
