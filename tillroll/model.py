@@ -48,6 +48,7 @@ class RetailModel:
     quarantine: dict | None = field(default=None, repr=False)  # rejected raw rows (CSV path)
     grain: str = "line"  # "line": one row per sale line; "daily": the (store, product, day) rollup
     daily_table: DataFrame | None = field(default=None, repr=False)  # a written rollup, if any
+    sets: DataFrame | None = field(default=None, repr=False)  # written sets of sale ids and units, if any
     dates: FlatDates | MonthFolders | None = None  # where the stored sales' dates are known from
     dealt: DealtSales | None = field(default=None, repr=False)  # sales bucketed like the products
     pre_aggregate: bool = True  # sum the fact before it is shuffled to a large dimension
@@ -94,12 +95,13 @@ class RetailModel:
     def from_parquet(cls, spark: SparkSession, path: str, grain: str = "line") -> "RetailModel":
         """The cleaned layout written by ``write_clean``; ``grain='daily'`` answers from the
         written daily rollup when present (else the rollup is computed on the fly)."""
-        from tillroll.sources.sinks import clean_months, read_clean, read_daily
+        from tillroll.sources.sinks import clean_months, read_clean, read_daily, read_sets
         model = cls.from_tables(spark, read_clean(spark, path))
         model.grain = grain
         model.dates = clean_months(path)
         if grain == "daily":
             model.daily_table = read_daily(spark, path)
+            model.sets = read_sets(spark, path)
         return model
 
     @classmethod
@@ -120,9 +122,9 @@ class RetailModel:
 
     def write(self, path: str, daily: bool = False, mode: str = "overwrite") -> None:
         """Persist the cleaned tables (sales partitioned by month) and, with ``daily``, the
-        (store, product, day) rollup; read back with ``from_parquet(path, grain=...)``."""
+        (store, product, day) rollup and the sets of sale ids and units; read back with ``from_parquet(path, grain=...)``."""
         from tillroll.sources.sinks import write_clean
-        write_clean(self.tables(), path, mode, daily=self.daily() if daily else None)
+        write_clean(self.tables(), path, mode, daily=self.daily() if daily else None, with_sets=daily)
 
     def tables(self) -> dict[str, DataFrame]:
         sales = self.sales.drop(PARTITION_COLUMN) if PARTITION_COLUMN in self.sales.columns else self.sales
@@ -189,6 +191,13 @@ class RetailModel:
         """The fact table at the model's grain."""
         return self.daily() if self.grain == "daily" else self.sales
 
+    def store_sets(self, kind: str) -> DataFrame | None:
+        """Written sets ('sale' ids or 'unit' values) of the sales in the star view, with their
+        store's columns; None where they must be taken from the sales themselves."""
+        if self.grain != "daily" or self.sets is None:
+            return None
+        return self.sets.filter(F.col("kind") == kind).join(self.dim("stores"), "store_id", "inner")
+
     def months(self) -> Iterator[dt.date] | None:
         """Months that may hold sales, the latest first, from the stored table's metadata; None
         where it has none (raw files, derived frames)."""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.model import RetailModel
-from tillroll.operators import cleaning, quality
+from tillroll.operators import cleaning, quality, sets
 
 
 def star_view(model: RetailModel) -> DataFrame:
@@ -68,6 +68,10 @@ def negative_units(model: RetailModel) -> DataFrame:
 
 
 def distinct_units(model: RetailModel) -> DataFrame:
+    """A12: from the written sets of units at daily grain, else from the sales."""
+    stored = model.store_sets("unit")
+    if stored is not None:
+        return sets.members(stored, [], "unit").select(F.col("unit").cast("int"))
     return quality.distinct_values(model.line_view(), "unit")
 
 

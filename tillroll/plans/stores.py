@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.measures import money_sum, percent, profit, ratio, revenue, round_half_up
 from tillroll.functions.rules import bucketize, classify
 from tillroll.model import RetailModel
+from tillroll.operators import sets
 from tillroll.operators.grouping import final_order, revenue_by, spread, top_k, versus_average
 from tillroll.operators.ranking import compare_to_previous, rank_groups, top_k_within
 
@@ -101,10 +102,12 @@ def city_expansion(model: RetailModel, high: float = 80000, mid: float = 60000,
 
     Money is summed per store first, where a row is a store, so that only the distinct
     (city, transaction) pairs are shuffled as such: two distinct counts in one aggregation
-    would expand every row into three. ``approximate=True`` counts stores and transactions
+    would expand every row into three. At daily grain with written sets of sale ids, these are
+    merged and no line is read. ``approximate=True`` counts stores and transactions
     with HyperLogLog++ sketches (fixed memory) in one pass instead.
     """
     view = model.line_view()  # distinct transactions need the sale id (line grain)
+    stored = model.store_sets("sale")
     if approximate:
         per = view.groupBy("store_city").agg(
             F.approx_count_distinct("store_id").alias("number_of_stores"),
@@ -118,8 +121,12 @@ def city_expansion(model: RetailModel, high: float = 80000, mid: float = 60000,
             F.count("store_id").alias("number_of_stores"),
             money_sum(F.col("revenue")).alias("total_revenue"),
             money_sum(F.col("profit")).alias("total_profit"))
-        transactions = (view.select(F.col("store_city").alias("city"), "sale_id").distinct()
-                        .groupBy("city").agg(F.count("sale_id").alias("number_of_transactions")))
+        if stored is None:
+            transactions = (view.select(F.col("store_city").alias("city"), "sale_id").distinct()
+                            .groupBy("city").agg(F.count("sale_id").alias("number_of_transactions")))
+        else:
+            transactions = sets.count(stored.withColumnRenamed("store_city", "city"), ["city"],
+                                      "number_of_transactions")
         per = (money.join(transactions, money["store_city"].eqNullSafe(transactions["city"]), "inner")
                .select("store_city", "number_of_stores", "number_of_transactions", "total_revenue",
                        "total_profit"))

@@ -7,6 +7,8 @@ Layout of a folder, shared by batch writes and streaming ingests:
 * ``sales_daily``: the daily rollup of ``sales``, or absent. Every batch write replaces or
   removes it, or its part for the months that are rewritten, so that it never stands for
   other sales than those beside it.
+* ``sales_sets``: for each month and store the sets of sale ids and of units of its sales whose
+  product exists (``operators.sets``), or absent; kept in step with ``sales`` like the rollup.
 * ``sales_stream/ingest=<i>/batch=<n>/sales_month=<m>``: streamed rows, one folder for each
   micro-batch of each ingest. They are no part of ``sales``: a batch write leaves them.
 * ``sales_stream_daily/ingest=<i>/batch=<n>``: the rollup of such a micro-batch, if its
@@ -21,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators import sets
 from tillroll.sources.latest import MonthFolders
 from tillroll.sources.schemas import PARTITION_COLUMN
 
@@ -33,6 +36,8 @@ SALES_COLUMNS = ["sale_id", "sales_date", "store_id", "product_id", "unit", PART
 DAILY_COLUMNS = ["store_id", "product_id", "sales_date", "unit", "lines", PARTITION_COLUMN]
 SALES_SCHEMA = (f"sale_id int, sales_date date, store_id int, product_id int, unit int, "
                 f"{PARTITION_COLUMN} string")
+SET_KEYS = ["kind", "store_id"]
+SET_KINDS = {"sale": "sale_id", "unit": "unit"}
 DAILY_SCHEMA = f"store_id int, product_id int, sales_date date, unit long, lines long, {PARTITION_COLUMN} string"
 
 
@@ -70,18 +75,29 @@ def rollup(sales: DataFrame, *keys: str) -> DataFrame:
             .agg(F.sum("unit").alias("unit"), F.count(F.lit(1)).alias("lines")))
 
 
+def number_sets(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Per month and store, the sets of sale ids and of units of the sales whose product exists:
+    (kind, store_id, sales_month, block, bits)."""
+    known = sales.join(products.select("product_id"), "product_id", "left_semi")
+    kinds = [sets.collect(known, ["store_id", PARTITION_COLUMN], number).withColumn("kind", F.lit(kind))
+             for kind, number in SET_KINDS.items()]
+    return kinds[0].unionByName(kinds[1]).select(*SET_KEYS, sets.BLOCK, sets.BITS, PARTITION_COLUMN)
+
+
 def write_clean(tables: dict[str, DataFrame], path: str, mode: str = "overwrite",
-                daily: DataFrame | None = None) -> None:
+                daily: DataFrame | None = None, with_sets: bool = False) -> None:
     """Write the four cleaned tables; ``daily`` (``RetailModel.daily()``) is written too,
-    as ``sales_daily`` partitioned by month like the sales table.
+    as ``sales_daily`` partitioned by month like the sales table, and ``with_sets`` the sets
+    of sale ids and units.
 
-    Without ``daily``, or when sales are appended, a rollup that was there would no longer
-    cover ``sales`` and is removed before anything is written. Streamed rows stay.
+    Without them, or when sales are appended, a rollup or sets that were there would no longer
+    cover ``sales`` and are removed before anything is written. Streamed rows stay.
     """
     root = path.rstrip("/")
     spark = tables["sales"].sparkSession
     # removed first: a failure in between leaves no rollup rather than a wrong one
-    remove(spark, f"{root}/sales_daily")
+    for name in ("sales_daily", "sales_sets"):
+        remove(spark, f"{root}/{name}")
     for name in TABLES:
         df = tables[name]
         writer = df.write.mode(mode)
@@ -94,6 +110,9 @@ def write_clean(tables: dict[str, DataFrame], path: str, mode: str = "overwrite"
     if daily is not None and mode == "overwrite":
         (with_month(daily).sortWithinPartitions(PARTITION_COLUMN).write.mode(mode)
          .partitionBy(PARTITION_COLUMN).parquet(f"{root}/sales_daily"))
+    if with_sets and mode == "overwrite":
+        (number_sets(with_month(tables["sales"]), tables["products"]).sortWithinPartitions(PARTITION_COLUMN)
+         .write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(f"{root}/sales_sets"))
 
 
 def _streamed(spark: SparkSession, root: str) -> DataFrame | None:
@@ -115,18 +134,19 @@ def write_months(sales: DataFrame, path: str, daily: bool = False) -> None:
     """Replace the months that ``sales`` has rows of, in the batch-written table; other months
     and streamed rows stay as they are.
 
-    ``daily`` writes the months' rollup as well. Where a rollup is written, the months' part
-    of it goes first and comes back last, so a failure in between leaves months without a
-    rollup (``read_daily`` rolls their rows up), never a rollup of other rows. Written again,
+    ``daily`` writes the months' rollup, and their sets, as well. Where these are written, the
+    months' part goes first and comes back last, so a failure in between leaves months without
+    them (readers make them from the rows), never those of other rows. Written again,
     the months are replaced again. ``sales`` must not be read from the same folder.
     """
     root = path.rstrip("/")
     spark = sales.sparkSession
     sales = with_month(sales)
     months = [r[0] for r in sales.select(PARTITION_COLUMN).distinct().collect()]  # one for each month
-    has_daily = exists(spark, f"{root}/sales_daily")
-    for month in months if has_daily else ():
-        remove(spark, f"{root}/sales_daily/{PARTITION_COLUMN}={HIVE_NULL if month is None else month}")
+    derived = [name for name in ("sales_daily", "sales_sets") if exists(spark, f"{root}/{name}")]
+    for name in derived:
+        for month in months:
+            remove(spark, f"{root}/{name}/{PARTITION_COLUMN}={HIVE_NULL if month is None else month}")
 
     def replace(df: DataFrame, name: str) -> None:
         (df.sortWithinPartitions(PARTITION_COLUMN).write.mode("overwrite")
@@ -134,8 +154,10 @@ def write_months(sales: DataFrame, path: str, daily: bool = False) -> None:
          .partitionBy(PARTITION_COLUMN).parquet(f"{root}/{name}"))
 
     replace(sales, "sales")
-    if daily and has_daily:
+    if daily and "sales_daily" in derived:
         replace(rollup(sales), "sales_daily")
+    if daily and "sales_sets" in derived:
+        replace(number_sets(sales, spark.read.parquet(f"{root}/products")), "sales_sets")
 
 
 def clean_months(path: str) -> MonthFolders:
@@ -161,6 +183,38 @@ def read_clean(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {name: out[name] for name in TABLES if name in out}
 
 
+def _months_without(spark: SparkSession, root: str, batch: DataFrame | None, name: str) -> DataFrame | None:
+    """Batch-written sales of the months without a part of ``name``: rewritten since, or never
+    rolled up. None where there is no such month."""
+    missing = _months(spark, f"{root}/sales") - _months(spark, f"{root}/{name}") if batch is not None else ()
+    if not missing:
+        return None
+    month = F.col(PARTITION_COLUMN)
+    return batch.filter(month.isin([m for m in missing if m != HIVE_NULL])
+                        | (month.isNull() if HIVE_NULL in missing else F.lit(False)))
+
+
+def read_sets(spark: SparkSession, path: str) -> DataFrame | None:
+    """Sets of sale ids and units of all sales below ``path``, or None when none are written.
+
+    Months without a written part and streamed rows are read for theirs. A store's set of a
+    kind may come in several rows of a block: ``operators.sets`` merges them.
+    """
+    root = path.rstrip("/")
+    if not _months(spark, f"{root}/sales_sets"):
+        return None
+    columns = [*SET_KEYS, sets.BLOCK, sets.BITS]
+    frames = [spark.read.parquet(f"{root}/sales_sets").select(*columns)]
+    products = spark.read.parquet(f"{root}/products")
+    for sales in (_months_without(spark, root, _batch_sales(spark, root), "sales_sets"), _streamed(spark, root)):
+        if sales is not None:
+            frames.append(number_sets(sales, products).select(*columns))
+    merged = frames[0]
+    for extra in frames[1:]:
+        merged = merged.unionByName(extra)
+    return merged
+
+
 def read_daily(spark: SparkSession, path: str) -> DataFrame | None:
     """The daily rollup of all sales below ``path``, batch-written and streamed, or None when
     no part of it is written.
@@ -179,14 +233,9 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame | None:
     if has_batch:
         written = spark.read.parquet(f"{root}/sales_daily").select(*DAILY_COLUMNS)
         frames.append(written)
-        if batch is not None:  # months without a part: rewritten since, or never rolled up
-            missing = _months(spark, f"{root}/sales") - _months(spark, f"{root}/sales_daily")
-            if missing:
-                named = [m for m in missing if m != HIVE_NULL]
-                month = F.col(PARTITION_COLUMN)
-                frames.append(rollup(batch.filter(
-                    month.isin(named) | (month.isNull() if HIVE_NULL in missing else F.lit(False))))
-                    .select(*DAILY_COLUMNS))
+        rest = _months_without(spark, root, batch, "sales_daily")
+        if rest is not None:
+            frames.append(rollup(rest).select(*DAILY_COLUMNS))
     elif batch is not None:
         frames.append(rollup(batch).select(*DAILY_COLUMNS))
     streamed = _streamed(spark, root)
