@@ -18,6 +18,7 @@ from tillroll.operators.cleaning import clean_raw_tables, clean_sales, rejected
 from tillroll.operators.grouping import revenue_by
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources import delimited
+from tillroll.sources.keys import audit_append
 from tillroll.sources.schemas import CORRUPT_COLUMN, INVENTORY_RAW, PARTITION_COLUMN, PRODUCTS_RAW, SALES_RAW, STORES_RAW
 from tillroll.sources.sinks import read_clean, read_daily, write_clean, write_months
 
@@ -154,3 +155,16 @@ def bucketed_round_trip(model: RetailModel) -> DataFrame:
     stored = RetailModel.from_bucketed(model.sales.sparkSession, path)
     stored.broadcast_max_rows = 0
     return revenue_by(stored.view(), "product_name", "revenue")
+
+
+#: Into so many appends the sales are cut (by product, so that the lines of a sale part).
+APPENDS = 3
+
+
+def appended_key_audit(model: RetailModel) -> DataFrame:
+    """A8 kept up by appends: the sales come in three batches, each checked against the stored keys."""
+    path, out = _folder(model, "sale-keys"), None
+    for batch in range(APPENDS):
+        rows = model.sales.filter(F.pmod(F.coalesce("product_id", F.lit(0)), F.lit(APPENDS)) == batch)
+        out = audit_append(rows, "sale_id", path, batch, check="sales")
+    return out

@@ -70,6 +70,7 @@ QUESTIONS: dict[str, Callable[[RetailModel], DataFrame]] = {
     "a6": audits.product_key_check,
     "a7": audits.store_key_check,
     "a8": audits.sale_key_check,
+    "a8_appended": ingest.appended_key_audit,
     "a9": audits.zero_prices,
     "a10": audits.negative_prices,
     "a11": audits.negative_units,
@@ -172,6 +173,7 @@ DESCRIPTIONS: dict[str, str] = {
     "a6": "key constraint summary: products",
     "a7": "key constraint summary: stores",
     "a8": "key constraint summary: sales",
+    "a8_appended": "key constraint summary: sales that come in three appends",
     "a9": "audit: zero prices",
     "a10": "audit: negative prices",
     "a11": "audit: negative quantities",

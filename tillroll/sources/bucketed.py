@@ -58,26 +58,29 @@ def _table() -> str:
     return f"tillroll_{uuid.uuid4().hex}"
 
 
-def _write(df: DataFrame, path: str, buckets: int, order: str) -> None:
+def write_table(df: DataFrame, path: str, key: str, buckets: int, order: str) -> None:
+    """Write ``df`` in buckets of ``key``, each one file sorted by ``order``, in place of what is
+    below ``path``."""
     spark, name = df.sparkSession, _table()
     try:  # a task holds one bucket and writes one file
-        (df.repartition(buckets, KEY).write.mode("overwrite").format("parquet").bucketBy(buckets, KEY)
+        (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key)
          .sortBy(order).option("path", path).saveAsTable(name))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")  # the declaration alone: files at a path stay
 
 
-def _read(spark: SparkSession, path: str, schema: str, buckets: int) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: str, key: str, buckets: int) -> DataFrame:
+    """Files written by ``write_table`` in ``path`` and in folders below it, with their buckets."""
     name = _table()
     try:
-        spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet OPTIONS (path '{path}') "
-                  f"CLUSTERED BY ({KEY}) INTO {buckets} BUCKETS")
+        spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet OPTIONS (path '{path}', recursiveFileLookup 'true') "
+                  f"CLUSTERED BY ({key}) INTO {buckets} BUCKETS")
         return spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def _ddl(df: DataFrame) -> str:
+def ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
@@ -96,12 +99,12 @@ def write_bucketed(tables: dict[str, DataFrame], path: str, buckets: int | None
     apart = F.col("hot").isNotNull() | F.col(KEY).isNull()
     (marked.filter(apart).select(*COLUMNS).sortWithinPartitions("sales_date").write.mode("overwrite")
      .option("maxRecordsPerFile", 5_000_000).parquet(f"{root}/sales_hot"))
-    _write(marked.filter(~apart).select(*COLUMNS), f"{root}/sales_bucketed", buckets, "sales_date")
-    _write(tables["products"], f"{root}/products", buckets, KEY)
+    write_table(marked.filter(~apart).select(*COLUMNS), f"{root}/sales_bucketed", KEY, buckets, "sales_date")
+    write_table(tables["products"], f"{root}/products", KEY, buckets, KEY)
     for name in ("stores", "inventory"):
         tables[name].write.mode("overwrite").parquet(f"{root}/{name}")
-    spark.range(1).select(F.lit(buckets).alias("buckets"), F.lit(_ddl(sales)).alias("sales"),
-                          F.lit(_ddl(tables["products"])).alias("products")).write.mode("overwrite").parquet(f"{root}/{LAYOUT}")
+    spark.range(1).select(F.lit(buckets).alias("buckets"), F.lit(ddl(sales)).alias("sales"),
+                          F.lit(ddl(tables["products"])).alias("products")).write.mode("overwrite").parquet(f"{root}/{LAYOUT}")
     return buckets
 
 
@@ -112,9 +115,9 @@ def read_bucketed(spark: SparkSession, path: str) -> tuple[dict[str, DataFrame],
     if not exists(spark, f"{root}/{LAYOUT}"):
         raise FileNotFoundError(f"no bucketed layout below {root}")
     layout = spark.read.parquet(f"{root}/{LAYOUT}").first()
-    cold = _read(spark, f"{root}/sales_bucketed", layout["sales"], layout["buckets"])
+    cold = read_table(spark, f"{root}/sales_bucketed", layout["sales"], KEY, layout["buckets"])
     hot = spark.read.schema(layout["sales"]).parquet(f"{root}/sales_hot")
-    products = _read(spark, f"{root}/products", layout["products"], layout["buckets"])
+    products = read_table(spark, f"{root}/products", layout["products"], KEY, layout["buckets"])
     tables = {"sales": cold.unionByName(hot), "products": products,
               **{name: spark.read.parquet(f"{root}/{name}") for name in ("stores", "inventory")}}
     return tables, DealtSales(cold, hot, spark.read.schema(layout["products"]).parquet(f"{root}/products_hot"))
