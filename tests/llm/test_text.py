@@ -5,6 +5,8 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tillroll.llm import html_text, language_id, pii
 
 # ---- pages ---------------------------------------------------------------------------
@@ -165,6 +167,24 @@ def test_odd_documents(odd, empty, docs):
     assert {r.lang_pred for r in language_id.identify(odd, language_id.train(empty)).collect()} == {"und"}
 
 
+def test_sample_is_the_first_of_each_language_by_hash(spark, monkeypatch):
+    """Hot language, copies of one row, one id with several texts, null ids and languages."""
+    rows = [(i, f"text number {i}", "de" if i % 4 else "nl") for i in range(300)]
+    rows += [(7, "one row again", "de")] * 200 + [(8, f"same id {i}", "de") for i in range(50)]
+    rows += [(None, "no id", "nl"), (1, None, "de"), (3, "no language", None), (5, "12 34", "de"), (9, "x" * 900, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    monkeypatch.setattr(language_id, "fit", lambda texts, langs: seen.append(sorted(zip(langs, texts))))
+    hashed = docs.withColumns({"a": F.xxhash64("doc_id"), "b": F.xxhash64("text"), "out": language_id.held_out("doc_id")})
+    usable = {(r.lang, r.a, r.b, r.text) for r in hashed.collect()
+              if r.lang and r.text and not r.out and len(r.text) <= 500 and any(c.isalpha() for c in r.text)}
+    for per, total in ((40, 1000), (10_000, 10_000), (40, 50)):
+        language_id.train(docs, per_language=per, max_documents=total, max_chars=500)
+        ranked = [(n, *row) for lang in ("de", "nl")
+                  for n, row in enumerate(sorted(r for r in usable if r[0] == lang)[:per])]
+        assert seen.pop() == sorted((r[1], r[4]) for r in sorted(ranked)[:total])
+
+
 def test_a_single_language_and_families():
     model = language_id.fit(["ein kurzer text", "noch ein text"], ["de", "de"])
     assert language_id.predict(["irgend ein text"], model)[0] == ["de"]

@@ -4,7 +4,7 @@ The language's family is predicted first (multinomial logistic regression); with
 family one-versus-one linear support vector machines separate the related languages. Both
 work on hashed character uni-, bi- and trigrams of the whole text, counted with numpy for
 many documents at once. The models are fitted in the driver on a bounded sample:
-``per_language`` labelled documents of each language, by a hash of the id.
+``per_language`` labelled documents of each language, by hashes of id and text.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ BITS = 12
 WIDTH = 1 << BITS
 DIMS = 3 * WIDTH  # uni-, bi- and trigrams
 UNDETERMINED = "und"
+SAMPLE_PARTS = 64  # a language's documents are sampled in so many parts first
 
 #: Families of common languages; fixed values. A language that is not named is a family of its own.
 FAMILIES = {
@@ -182,17 +183,29 @@ def held_out(id_col: str):
 
 
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_language: int = 400, max_languages: int = 200, max_chars: int = 50_000) -> dict:
-    """The hierarchy from at most ``per_language`` labelled documents of each of at most
-    ``max_languages`` languages, each of at most ``max_chars`` characters; the driver holds
-    no more than those."""
+          per_language: int = 400, max_documents: int = 8_000, max_chars: int = 50_000) -> dict:
+    """The hierarchy from at most ``per_language`` labelled documents of each language, at most
+    ``max_documents`` in all (dealt evenly to the languages), each of at most ``max_chars``
+    characters; the driver holds no more than those and one row of counts for each.
+
+    Hashes of ids and texts are chosen first, first within parts of a language, so that a
+    language with most of the rows is no task's alone; only the chosen texts move. Rows that
+    repeat an id with its text count once.
+    """
     usable = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
                          F.col(text_col).alias("text")) \
         .filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("id"))
-    usable = usable.filter((F.length("text") <= max_chars) & F.col("text").rlike(r"\p{L}"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    sample = (usable.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_language)
-              .orderBy("n", "lang").limit(per_language * max_languages).select("lang", "text").collect())
+    usable = (usable.filter((F.length("text") <= max_chars) & F.col("text").rlike(r"\p{L}"))
+              .select("lang", "text", F.xxhash64("id").alias("h_id"), F.xxhash64("text").alias("h_text")))
+    key = ["lang", "h_id", "h_text"]
+    chosen = usable.groupBy(*key).agg(F.pmod(F.hash(*key), F.lit(SAMPLE_PARTS)).alias("part"))
+    for group in (["lang", "part"], ["lang"]):
+        first = Window.partitionBy(*group).orderBy("h_id", "h_text")
+        chosen = chosen.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_language)
+    chosen = chosen.orderBy("n", "lang").limit(max_documents).select(*key)
+    # at most max_documents small rows are broadcast; copies of a chosen text end in their tasks
+    sample = (usable.join(F.broadcast(chosen), key, "left_semi").groupBy(*key)
+              .agg(F.first("text").alias("text")).select("lang", "text").collect())
     sample.sort(key=lambda r: (r.lang, r.text))
     return fit([r.text for r in sample], [r.lang for r in sample])
 
