@@ -76,6 +76,20 @@ def test_join_of_near_copies_passages_and_short_texts(spark, monkeypatch):
     _check_join(spark, rows)
 
 
+def test_join_of_copies_that_are_dealt_once(spark, monkeypatch):
+    """A text that is a third of the rows, among others that push it out of what a task remembers."""
+    monkeypatch.setattr(ngram_join, "DEALT", 3)
+    draw = random.Random(21)
+    hot = [f"h{i}" for i in range(60)]
+    near = [*hot[:-1], "other"]
+    rows = []
+    for i in range(90):
+        own = [f"z{draw.randrange(30)}" for _ in range(draw.randint(1, 40))]
+        rows.append((i, " ".join(hot if i % 3 == 0 else near if i % 30 == 1 else own)))
+    rows += [(i + 100, rows[draw.randrange(90)][1]) for i in range(30)]
+    _check_join(spark, rows)
+
+
 def test_join_without_grouping_hashes(spark, monkeypatch):
     """Links that no minimum hash brings together are found by the matrix."""
     monkeypatch.setattr(ngram_join, "grouped", lambda sets, percent: sets.select("rep", F.col("rep").alias("grp")).distinct())

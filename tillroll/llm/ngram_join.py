@@ -48,6 +48,7 @@ PERCENT = 75
 #: Frequent shingles that are told apart; the driver and each worker hold this many at most.
 FREQUENT = 1 << 17
 BLOCK = 1 << 22  # shingles counted or packed at a time in a worker
+DEALT = 1 << 16  # fingerprints of sets that a worker remembers to have dealt
 CHUNK = 256  # entities compared at a time
 FILTER_BITS = 23
 KEYS = 3
@@ -246,6 +247,10 @@ def shared_tokens(texts: DataFrame, words: int, percent: int, order: tuple[np.nd
     bit of the token's four tells early (0) from late; ranges are fine enough for about a
     quarter of a million entries each. Tokens that agree in the bits kept count as one,
     which can only bring more sets together.
+
+    A task deals an entity once, however many copies its rows hold: it remembers the
+    fingerprints of the last DEALT sets at least. So a token's range gets an entry per task
+    from a text that is a third of all rows, not one per copy; ``meet`` drops what repeats.
     """
     bits = max(4, min(24, int(total // 750_000).bit_length()))
     shared = texts.sparkSession.sparkContext.broadcast(order)  # FREQUENT entries at most
@@ -253,6 +258,16 @@ def shared_tokens(texts: DataFrame, words: int, percent: int, order: tuple[np.nd
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, owners, firsts, n = [], [], [], 0
+        dealt: tuple[set, set] = (set(), set())  # of this and of the last generation
+
+        def repeated(entity: tuple[int, int]) -> bool:
+            nonlocal dealt
+            now, last = dealt
+            known = entity in now or entity in last
+            now.add(entity)  # those that come again stay
+            if len(now) >= DEALT:
+                dealt = (set(), now)
+            return known
 
         def flush() -> pa.RecordBatch:
             t = np.concatenate(tokens)
@@ -274,9 +289,12 @@ def shared_tokens(texts: DataFrame, words: int, percent: int, order: tuple[np.nd
         for batch in batches:
             for s in _sets_of(batch.column("text"), words):
                 if len(s):
+                    entity = fingerprint(s)
+                    if repeated(entity):
+                        continue
                     p = prefix(s, *shared.value, percent)
                     tokens.append(p)
-                    owners.append(fingerprint(s)[0])
+                    owners.append(entity[0])
                     firsts.append(early_tokens(len(s), percent))
                     n += len(p)
                     if n >= BLOCK // 4:

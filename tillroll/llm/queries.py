@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import (binary_ids, html_text, language_id, mixing, ngram_join, pii, prefix_trie,
                           quality_lines, runs, sentence_pieces, token_counts, topk, turns)
-from tillroll.llm.storage import new_path
+from tillroll.llm.storage import new_path, remove_at_end
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -52,6 +52,7 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_path(spark, "binary-ids")
     binary_ids.write_ids(documents(spark, sf_dir), BYTE_BPE, out)
+    remove_at_end(spark, out)
     return binary_ids.read_ids(spark, out, binary_ids.crc32_of, "ids_crc32 long")
 
 

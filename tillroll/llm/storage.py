@@ -39,16 +39,28 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """The rows of ``df`` as a written table: later steps read it again instead of working
-    the rows out anew, and it outlives lost executors."""
+    the rows out anew, and it outlives lost executors. It goes when the application ends,
+    since a lazy result may read it until then."""
     spark = df.sparkSession
     path = new_path(spark, name)
     with small_batches(spark):
         df.write.option("compression", compression).parquet(path)
+    remove_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table of this run."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = _folder(spark, path)
+    fs.delete(target, True)
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Delete an existing intermediate table when the application ends."""
+    fs, target = _folder(spark, path)
+    fs.deleteOnExit(target)
