@@ -48,6 +48,7 @@ class RetailModel:
     quarantine: dict | None = field(default=None, repr=False)  # rejected raw rows (CSV path)
     grain: str = "line"  # "line": one row per sale line; "daily": the (store, product, day) rollup
     daily_table: DataFrame | None = field(default=None, repr=False)  # a written rollup, if any
+    monthly_table: DataFrame | None = field(default=None, repr=False)  # a written month cube, if any
     sets: DataFrame | None = field(default=None, repr=False)  # written sets of sale ids and units, if any
     dates: FlatDates | MonthFolders | None = None  # where the stored sales' dates are known from
     dealt: DealtSales | None = field(default=None, repr=False)  # sales bucketed like the products
@@ -95,12 +96,13 @@ class RetailModel:
     def from_parquet(cls, spark: SparkSession, path: str, grain: str = "line") -> "RetailModel":
         """The cleaned layout written by ``write_clean``; ``grain='daily'`` answers from the
         written daily rollup when present (else the rollup is computed on the fly)."""
-        from tillroll.sources.sinks import clean_months, read_clean, read_daily, read_sets
+        from tillroll.sources.sinks import clean_months, read_clean, read_daily, read_monthly, read_sets
         model = cls.from_tables(spark, read_clean(spark, path))
         model.grain = grain
         model.dates = clean_months(path)
         if grain == "daily":
             model.daily_table = read_daily(spark, path)
+            model.monthly_table = read_monthly(spark, path)
             model.sets = read_sets(spark, path)
         return model
 
@@ -191,6 +193,10 @@ class RetailModel:
         """The fact table at the model's grain."""
         return self.daily() if self.grain == "daily" else self.sales
 
+    def _monthly(self, period: str | None) -> DataFrame | None:
+        """The month cube, where it holds all that a question by ``period`` needs."""
+        return self.monthly_table if self.grain == "daily" and period in (None, "month") else None
+
     def store_sets(self, kind: str) -> DataFrame | None:
         """Written sets ('sale' ids or 'unit' values) of the sales in the star view, with their
         store's columns; None where they must be taken from the sales themselves."""
@@ -236,12 +242,16 @@ class RetailModel:
         then the fact is summed first (partly before its own shuffle) per store, product and
         ``period`` (None, 'day', or 'month', whose rows carry the month's first day), and one
         row for each of these is joined in place of its sales: ``unit`` is their total and
-        ``lines`` counts them, as at daily grain.
+        ``lines`` counts them, as at daily grain. Where a month cube is written, questions by
+        month or without a period read that.
         """
-        if not self._sums_first("stores", "products"):
+        cube = self._monthly(period)
+        if cube is None and not self._sums_first("stores", "products"):
             return self.sales_view()
         columns = [c for c in VIEW_COLUMNS if c != "sale_id" and (c != "sales_date" or period is not None)]
-        return self._star(self.fact(), columns + ["lines"],
+        if cube is not None and (period == "month" or not self._sums_first("stores", "products")):
+            return self._star(cube, columns + ["lines"])
+        return self._star(self.fact() if cube is None else cube, columns + ["lines"],
                           lambda fact: self._summed(fact, period, "store_id", "product_id"))
 
     def _star(self, fact: DataFrame, columns: list[str],
@@ -281,8 +291,8 @@ class RetailModel:
     def sales_with_products(self, period: str | None = None) -> DataFrame:
         """fact x products only (the questions that bypass the view keep orphan stores); summed
         before the join as in ``view``."""
-        first = self._sums_first("products")
-        return self._by_part(self.fact(), lambda fact, products: (
+        first, cube = self._sums_first("products"), self._monthly(period)
+        return self._by_part(self.fact() if cube is None else cube, lambda fact, products: (
             self._summed(fact, period, "product_id") if first else fact).join(products, "product_id", "inner"))
 
     def register(self, prefix: str = "") -> None:

@@ -7,12 +7,17 @@ Layout of a folder, shared by batch writes and streaming ingests:
 * ``sales_daily``: the daily rollup of ``sales``, or absent. Every batch write replaces or
   removes it, or its part for the months that are rewritten, so that it never stands for
   other sales than those beside it.
+* ``sales_monthly``: the month cube, units and lines per store, product and month, summed from
+  the daily rollup; written, replaced and removed together with it.
 * ``sales_sets``: for each month and store the sets of sale ids and of units of its sales whose
   product exists (``operators.sets``), or absent; kept in step with ``sales`` like the rollup.
 * ``sales_stream/ingest=<i>/batch=<n>/sales_month=<m>``: streamed rows, one folder for each
   micro-batch of each ingest. They are no part of ``sales``: a batch write leaves them.
 * ``sales_stream_daily/ingest=<i>/batch=<n>``: the rollup of such a micro-batch, if its
-  ingest writes one.
+  ingest writes one; ``sales_stream_monthly`` holds its part of the month cube. Rows that come
+  late are in the part of the micro-batch that brought them: parts are summed when read.
+* ``sales_stream*/ingest=folded/batch=<k>`` and ``sales_folds/fold=<k>``: many micro-batches
+  put together, see ``sources.folding``.
 
 Reading takes batch and streamed rows together. The daily rollup is put together from the
 parts that are written; what has no part is rolled up from its rows.
@@ -20,17 +25,23 @@ parts that are written; what has no part is rolled up from its rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators import sets
+from tillroll.sources import folding
+from tillroll.sources.folding import exists, folder, live, remove
 from tillroll.sources.latest import MonthFolders
 from tillroll.sources.schemas import PARTITION_COLUMN
 
 TABLES = ("sales", "products", "stores", "inventory")
 STREAM = "sales_stream"
 STREAM_DAILY = "sales_stream_daily"
+STREAM_MONTHLY = "sales_stream_monthly"
 BATCH_KEYS = ["ingest", "batch"]
+DERIVED = ("sales_daily", "sales_monthly", "sales_sets")  # from the sales beside them
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL partition value
 SALES_COLUMNS = ["sale_id", "sales_date", "store_id", "product_id", "unit", PARTITION_COLUMN]
 DAILY_COLUMNS = ["store_id", "product_id", "sales_date", "unit", "lines", PARTITION_COLUMN]
@@ -41,29 +52,13 @@ SET_KINDS = {"sale": "sale_id", "unit": "unit"}
 DAILY_SCHEMA = f"store_id int, product_id int, sales_date date, unit long, lines long, {PARTITION_COLUMN} string"
 
 
-def _folder(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _folder(spark, path)
-    return fs.exists(target)
-
-
 def _months(spark: SparkSession, path: str) -> set[str]:
     """Names of the month folders below ``path``."""
-    fs, target = _folder(spark, path)
+    fs, target = folder(spark, path)
     names = [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
     return {n.split("=", 1)[1] for n in names if n.startswith(f"{PARTITION_COLUMN}=")}
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    fs, target = _folder(spark, path)
-    fs.delete(target, True)
-
-
 def with_month(df: DataFrame) -> DataFrame:
     return df if PARTITION_COLUMN in df.columns else df.withColumn(
         PARTITION_COLUMN, F.date_format("sales_date", "yyyy-MM"))
@@ -75,6 +70,12 @@ def rollup(sales: DataFrame, *keys: str) -> DataFrame:
             .agg(F.sum("unit").alias("unit"), F.count(F.lit(1)).alias("lines")))
 
 
+def monthly(daily: DataFrame) -> DataFrame:
+    """Rolled-up rows summed per month, which its first day stands for."""
+    return (daily.groupBy("store_id", "product_id", F.trunc("sales_date", "month").alias("sales_date"), PARTITION_COLUMN)
+            .agg(F.sum("unit").alias("unit"), F.sum("lines").alias("lines")))
+
+
 def number_sets(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Per month and store, the sets of sale ids and of units of the sales whose product exists:
     (kind, store_id, sales_month, block, bits)."""
@@ -87,7 +88,7 @@ def number_sets(sales: DataFrame, products: DataFrame) -> DataFrame:
 def write_clean(tables: dict[str, DataFrame], path: str, mode: str = "overwrite",
                 daily: DataFrame | None = None, with_sets: bool = False) -> None:
     """Write the four cleaned tables; ``daily`` (``RetailModel.daily()``) is written too,
-    as ``sales_daily`` partitioned by month like the sales table, and ``with_sets`` the sets
+    as ``sales_daily`` partitioned by month like the sales table, with the month cube, and ``with_sets`` the sets
     of sale ids and units.
 
     Without them, or when sales are appended, a rollup or sets that were there would no longer
@@ -96,7 +97,7 @@ def write_clean(tables: dict[str, DataFrame], path: str, mode: str = "overwrite"
     root = path.rstrip("/")
     spark = tables["sales"].sparkSession
     # removed first: a failure in between leaves no rollup rather than a wrong one
-    for name in ("sales_daily", "sales_sets"):
+    for name in DERIVED:
         remove(spark, f"{root}/{name}")
     for name in TABLES:
         df = tables[name]
@@ -108,8 +109,13 @@ def write_clean(tables: dict[str, DataFrame], path: str, mode: str = "overwrite"
                       .option("maxRecordsPerFile", 5_000_000).partitionBy(PARTITION_COLUMN))
         writer.parquet(f"{root}/{name}")
     if daily is not None and mode == "overwrite":
-        (with_month(daily).sortWithinPartitions(PARTITION_COLUMN).write.mode(mode)
-         .partitionBy(PARTITION_COLUMN).parquet(f"{root}/sales_daily"))
+        def add(df: DataFrame, name: str) -> None:
+            (df.sortWithinPartitions(PARTITION_COLUMN).write.mode(mode)
+             .partitionBy(PARTITION_COLUMN).parquet(f"{root}/{name}"))
+
+        daily = with_month(daily)
+        add(daily, "sales_daily")
+        add(monthly(spark.read.schema(daily.schema).parquet(f"{root}/sales_daily")), "sales_monthly")
     if with_sets and mode == "overwrite":
         (number_sets(with_month(tables["sales"]), tables["products"]).sortWithinPartitions(PARTITION_COLUMN)
          .write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(f"{root}/sales_sets"))
@@ -121,7 +127,7 @@ def _streamed(spark: SparkSession, root: str) -> DataFrame | None:
         return None
     schema = SALES_SCHEMA.replace(f", {PARTITION_COLUMN} string", "")
     return spark.read.schema(f"{schema}, ingest string, batch long, {PARTITION_COLUMN} string") \
-        .parquet(f"{root}/{STREAM}")
+        .parquet(f"{root}/{STREAM}").filter(live(spark, root))
 
 
 def _batch_sales(spark: SparkSession, root: str) -> DataFrame | None:
@@ -143,7 +149,7 @@ def write_months(sales: DataFrame, path: str, daily: bool = False) -> None:
     spark = sales.sparkSession
     sales = with_month(sales)
     months = [r[0] for r in sales.select(PARTITION_COLUMN).distinct().collect()]  # one for each month
-    derived = [name for name in ("sales_daily", "sales_sets") if exists(spark, f"{root}/{name}")]
+    derived = [name for name in DERIVED if exists(spark, f"{root}/{name}")]
     for name in derived:
         for month in months:
             remove(spark, f"{root}/{name}/{PARTITION_COLUMN}={HIVE_NULL if month is None else month}")
@@ -156,6 +162,8 @@ def write_months(sales: DataFrame, path: str, daily: bool = False) -> None:
     replace(sales, "sales")
     if daily and "sales_daily" in derived:
         replace(rollup(sales), "sales_daily")
+    if daily and "sales_monthly" in derived:
+        replace(monthly(rollup(sales)), "sales_monthly")
     if daily and "sales_sets" in derived:
         replace(number_sets(sales, spark.read.parquet(f"{root}/products")), "sales_sets")
 
@@ -216,36 +224,51 @@ def read_sets(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame | None:
-    """The daily rollup of all sales below ``path``, batch-written and streamed, or None when
+    """The daily rollup of all sales below ``path``, see ``_read_rollup``."""
+    return _read_rollup(spark, path, "sales_daily", STREAM_DAILY, rollup)
+
+
+def read_monthly(spark: SparkSession, path: str) -> DataFrame | None:
+    """The month cube of all sales below ``path``, see ``_read_rollup``."""
+    return _read_rollup(spark, path, "sales_monthly", STREAM_MONTHLY, lambda sales: monthly(rollup(sales)))
+
+
+def _read_rollup(spark: SparkSession, path: str, name: str, parts_name: str,
+                 rolled: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+    """The rollup of all sales below ``path``, batch-written and streamed, or None when
     no part of it is written.
 
-    Written parts are taken for the rows that they cover: a month of ``sales_daily`` for that
+    Written parts are taken for the rows that they cover: a month of ``name`` for that
     month of ``sales``, the part of a micro-batch for that micro-batch. All other rows are rolled up here, so
     the result always covers every row.
     """
     root = path.rstrip("/")
-    has_batch = bool(_months(spark, f"{root}/sales_daily"))
-    has_parts = exists(spark, f"{root}/{STREAM_DAILY}")
+    has_batch = bool(_months(spark, f"{root}/{name}"))
+    has_parts = exists(spark, f"{root}/{parts_name}")
     if not has_batch and not has_parts:
         return None  # computed from the sales table instead
     frames = []
     batch = _batch_sales(spark, root)
     if has_batch:
-        written = spark.read.parquet(f"{root}/sales_daily").select(*DAILY_COLUMNS)
+        written = spark.read.parquet(f"{root}/{name}").select(*DAILY_COLUMNS)
         frames.append(written)
-        rest = _months_without(spark, root, batch, "sales_daily")
+        rest = _months_without(spark, root, batch, name)
         if rest is not None:
-            frames.append(rollup(rest).select(*DAILY_COLUMNS))
+            frames.append(rolled(rest).select(*DAILY_COLUMNS))
     elif batch is not None:
-        frames.append(rollup(batch).select(*DAILY_COLUMNS))
+        frames.append(rolled(batch).select(*DAILY_COLUMNS))
     streamed = _streamed(spark, root)
     if streamed is not None:
         if has_parts:
-            parts = spark.read.schema(f"{DAILY_SCHEMA}, ingest string, batch long").parquet(f"{root}/{STREAM_DAILY}")
-            frames.append(parts.select(*DAILY_COLUMNS))
-            # one row per written part: the names of the folders, not their rows
-            streamed = streamed.join(parts.select(*BATCH_KEYS).distinct(), BATCH_KEYS, "left_anti")
-        frames.append(rollup(streamed).select(*DAILY_COLUMNS))
+            parts = spark.read.schema(f"{DAILY_SCHEMA}, ingest string, batch long") \
+                .parquet(f"{root}/{parts_name}").filter(live(spark, root))
+            unfinished = folding.parts(spark, root, parts_name) - folding.parts(spark, root, parts_name, finished=True)
+            frames.append(parts.filter(~folding.of_parts(unfinished)).select(*DAILY_COLUMNS))
+        # by the names of the folders: rows of parts that are rolled up are not read
+        finished = folding.parts(spark, root, parts_name, finished=True)
+        rest = folding.parts(spark, root, STREAM) - finished
+        if rest:
+            frames.append(rolled(streamed.filter(folding.of_parts(rest))).select(*DAILY_COLUMNS))
     if len(frames) == 1:
         return frames[0]  # one row per (store, product, day) already
     merged = frames[0]

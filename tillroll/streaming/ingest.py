@@ -4,7 +4,7 @@ The batch path reads one sales file and converts its text dates once. New sales
 that keep arriving in a folder are the same job as a stream: the file source picks up
 only unseen files and the same cleaning expressions type each row. One ``foreachBatch``
 reads each micro-batch once and writes its clean rows, its quarantined rows and, if asked
-for, its daily rollup, each to the folder of that micro-batch. A replayed micro-batch
+for, its daily rollup and month cube, each to the folder of that micro-batch. A replayed micro-batch
 overwrites its own folders, so rows are neither lost nor counted twice. No state is kept,
 so the stream scales with the number of files per trigger.
 """
@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillroll.operators.cleaning import clean_sales, rejected
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources.schemas import CORRUPT_COLUMN, PARTITION_COLUMN, SALES_RAW
-from tillroll.sources.sinks import STREAM, STREAM_DAILY, rollup, with_month
+from tillroll.sources.sinks import STREAM, STREAM_DAILY, STREAM_MONTHLY, monthly, rollup, with_month
 
 QUARANTINE = "quarantine"
 
@@ -57,6 +57,7 @@ def write_batch(batch: DataFrame, batch_id: int, output_dir: str, ingest: str, d
         if daily_rollup:
             # before the rows: a part whose rows are not there yet is overwritten by the replay
             rollup(good).write.mode("overwrite").parquet(f"{root}/{STREAM_DAILY}/{own}")
+            monthly(rollup(good)).write.mode("overwrite").parquet(f"{root}/{STREAM_MONTHLY}/{own}")
         good.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(f"{root}/{STREAM}/{own}")
     finally:
         batch.unpersist()
@@ -67,7 +68,8 @@ def start_sales_ingest(spark: SparkSession, input_dir: str, output_dir: str,
                        processing_time: str = "1 minute",
                        max_files_per_trigger: int | None = None,
                        daily_rollup: bool = False) -> tuple[StreamingQuery, ...]:
-    """Start the ingest; with ``daily_rollup`` each micro-batch's rollup is written as well.
+    """Start the ingest; with ``daily_rollup`` each micro-batch's rollup and its part of
+    the month cube are written as well.
     ``RetailModel.from_parquet(output_dir)`` reads the rows together with batch-written ones.
 
     ``checkpoint_dir`` defaults to a folder under ``spark.checkpoint.dir`` (shared storage
