@@ -269,8 +269,8 @@ def _read_rollup(spark: SparkSession, path: str, name: str, parts_name: str,
         rest = folding.parts(spark, root, STREAM) - finished
         if rest:
             frames.append(rolled(streamed.filter(folding.of_parts(rest))).select(*DAILY_COLUMNS))
-    if len(frames) == 1:
-        return frames[0]  # one row per (store, product, day) already
+    if len(frames) == 1 and streamed is None:
+        return frames[0]  # one row per (store, product, day) already; micro-batches may share keys
     merged = frames[0]
     for extra in frames[1:]:
         merged = merged.unionByName(extra)
