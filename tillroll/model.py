@@ -234,7 +234,14 @@ class RetailModel:
     def _sums_first(self, *dimensions: str) -> bool:
         return self.pre_aggregate and not all(self.is_small(name) for name in dimensions)
 
-    def view(self, period: str | None = None) -> DataFrame:
+    def _of_stores(self, fact: DataFrame, period: str | None) -> DataFrame:
+        """The sales whose store exists, summed per product and period. Small stores are met
+        map-side by the sales themselves, large ones by sums per store and product."""
+        if not self.is_small("stores"):
+            fact = self._summed(fact, period, "store_id", "product_id")
+        return self._summed(fact.join(self.dim("stores"), "store_id", "inner"), period, "product_id")
+
+    def view(self, period: str | None = None, of: str | None = None) -> DataFrame:
         """The star view for questions that need sums and counts of sales alone.
 
         With small dimensions it is ``sales_view()``: the joins are map-side and the question's
@@ -244,6 +251,11 @@ class RetailModel:
         row for each of these is joined in place of its sales: ``unit`` is their total and
         ``lines`` counts them, as at daily grain. Where a month cube is written, questions by
         month or without a period read that.
+
+        ``of="products"``: the question reads no column of the stores. Then large products are
+        joined to one row per product and period. One for each store as well would leave the
+        tasks behind the sums with nearly every product each, so that their groups by product,
+        and the rows these send on, would be as many as the tasks times the products.
         """
         cube = self._monthly(period)
         if cube is None and not self._sums_first("stores", "products"):
@@ -251,7 +263,12 @@ class RetailModel:
         columns = [c for c in VIEW_COLUMNS if c != "sale_id" and (c != "sales_date" or period is not None)]
         if cube is not None and (period == "month" or not self._sums_first("stores", "products")):
             return self._star(cube, columns + ["lines"])
-        return self._star(self.fact() if cube is None else cube, columns + ["lines"],
+        fact = self.fact() if cube is None else cube
+        if of == "products" and (self.dealt is None or self.is_small("stores")):
+            columns = [c for c in columns if not c.startswith("store_")] + ["lines"]
+            return self._by_part(fact, lambda part, products: (
+                self._of_stores(part, period).join(products, "product_id", "inner").select(*columns)))
+        return self._star(fact, columns + ["lines"],
                           lambda fact: self._summed(fact, period, "store_id", "product_id"))
 
     def _star(self, fact: DataFrame, columns: list[str],

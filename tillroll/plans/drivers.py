@@ -36,21 +36,21 @@ def revenue_by_month_name(model: RetailModel) -> DataFrame:
 @final_order(("revenue", False), ("product_name", True))
 def revenue_by_product(model: RetailModel) -> DataFrame:
     """Q38c."""
-    return revenue_by(model.view(), "product_name", "revenue")
+    return revenue_by(model.view(of="products"), "product_name", "revenue")
 
 
 @final_order(("revenue", False), ("price_range", True))
 def revenue_by_price_bracket(model: RetailModel, edges: Sequence = PRICE_BRACKET_EDGES,
                              labels: Sequence[str] = PRICE_BRACKETS) -> DataFrame:
     """Q38d: brackets with exclusive upper edges."""
-    return revenue_by_bucket(model.view(), "product_price", edges, labels, False, "price_range")
+    return revenue_by_bucket(model.view(of="products"), "product_price", edges, labels, False, "price_range")
 
 
 @final_order(("revenue", False), ("cost_range", True))
 def revenue_by_cost_bracket(model: RetailModel, edges: Sequence = COST_BRACKET_EDGES,
                             labels: Sequence[str] = COST_BRACKETS) -> DataFrame:
     """Q38e."""
-    return revenue_by_bucket(model.view(), "product_cost", edges, labels, False, "cost_range")
+    return revenue_by_bucket(model.view(of="products"), "product_cost", edges, labels, False, "cost_range")
 
 
 def compare_factors(model: RetailModel, k: int = 3, one_scan: bool = True) -> DataFrame:

@@ -154,7 +154,7 @@ def bucketed_round_trip(model: RetailModel) -> DataFrame:
     model.write_bucketed(path)
     stored = RetailModel.from_bucketed(model.sales.sparkSession, path)
     stored.broadcast_max_rows = 0
-    return revenue_by(stored.view(), "product_name", "revenue")
+    return revenue_by(stored.view(of="products"), "product_name", "revenue")
 
 
 #: Into so many appends the sales are cut (by product, so that the lines of a sale part).

@@ -23,7 +23,7 @@ from tillroll.operators.ranking import rank_within
 def high_volume_low_profit(model: RetailModel, min_units: int = 5000,
                            max_profit: int = 20000) -> DataFrame:
     """Q7: products selling more than ``min_units`` units with profit below ``max_profit``."""
-    view = model.view()
+    view = model.view(of="products")
     per = view.groupBy("product_name").agg(
         money_sum(revenue()).alias("revenue"),
         F.sum("unit").cast("bigint").alias("total_units_sold"),
@@ -34,13 +34,13 @@ def high_volume_low_profit(model: RetailModel, min_units: int = 5000,
 
 def least_sold(model: RetailModel, k: int = 10) -> DataFrame:
     """Q8: the k products with the fewest units sold."""
-    per = model.view().groupBy("product_name").agg(F.sum("unit").cast("bigint").alias("sold"))
+    per = model.view(of="products").groupBy("product_name").agg(F.sum("unit").cast("bigint").alias("sold"))
     return top_k(per, "sold", k, ascending=True, tie_break=["product_name"])
 
 
 def most_profitable_category(model: RetailModel, k: int = 1) -> DataFrame:
     """Q9."""
-    per = revenue_by(model.view(), "product_category", "total_profit", measure=profit())
+    per = revenue_by(model.view(of="products"), "product_category", "total_profit", measure=profit())
     return top_k(per, "total_profit", k, tie_break=["product_category"])
 
 
@@ -59,7 +59,7 @@ def best_margin(model: RetailModel, k: int = 1) -> DataFrame:
     then sum(count x ratio) / sum(count): the same value, computed without a long
     order-dependent sum of doubles. Ranking uses the unrounded mean, then the name.
     """
-    view = model.view()
+    view = model.view(of="products")
     combos = view.groupBy("product_name", "product_price", "product_cost").agg(line_count(view).alias("n"))
     row_margin = ratio(F.col("product_price") - F.col("product_cost"), F.col("product_price")) * F.lit(100.0)
     per = (combos.withColumn("m", row_margin * F.col("n"))
@@ -77,7 +77,7 @@ def category_price(model: RetailModel) -> DataFrame:
 
 def rank_in_category(model: RetailModel) -> DataFrame:
     """Q31: product rank by revenue inside its category."""
-    per = revenue_by(model.view(), ["product_category", "product_name"], "revenue")
+    per = revenue_by(model.view(of="products"), ["product_category", "product_name"], "revenue")
     ranked = rank_within(per, ["product_category"], [("revenue", False)], "rank_product_category",
                          bounded=model.bounded_by("products"))
     return ranked.select("product_category", "product_name", "rank_product_category")
@@ -86,13 +86,13 @@ def rank_in_category(model: RetailModel) -> DataFrame:
 @final_order(("revenue", False), ("product_name", True))
 def market_share(model: RetailModel) -> DataFrame:
     """Q34: each product's share of total revenue."""
-    per = revenue_by(model.view(), "product_name", "revenue")
+    per = revenue_by(model.view(of="products"), "product_name", "revenue")
     return share_of_total(per, "revenue", "market_share_percent", 2, bounded=model.bounded_by("products"))
 
 
 def above_average_products(model: RetailModel, round_avg: int | None = 2) -> DataFrame:
     """Q35: products whose revenue exceeds the (rounded) mean product revenue."""
-    per = revenue_by(model.view(), "product_name", "revenue")
+    per = revenue_by(model.view(of="products"), "product_name", "revenue")
     return versus_average(per, "revenue", "above", round_avg, bounded=model.bounded_by("products"))
 
 
@@ -115,7 +115,7 @@ def discontinue_candidates(model: RetailModel, revenue_edges: Sequence = (10000,
 
     The original computes two aggregations with the same key; here they are one groupBy.
     """
-    view = model.view()
+    view = model.view(of="products")
     per = view.groupBy("product_id").agg(
         money_sum(revenue()).alias("total_revenue"),
         ratio(per_line_sum(view, unit_margin()), line_count(view)).alias("profit"))

@@ -38,7 +38,7 @@ def top_products(model: RetailModel, k: int = 5) -> DataFrame:
 
 def pareto_products(model: RetailModel, pct: float = 80, include_crossing: bool = False) -> DataFrame:
     """Q4: products that make up ``pct`` % of revenue (peers share a cumulative value)."""
-    per = revenue_by(model.view(), "product_name", "revenue_per_product")
+    per = revenue_by(model.view(of="products"), "product_name", "revenue_per_product")
     return pareto(per, "revenue_per_product", pct, include_crossing,
                   bounded=model.bounded_by("products")).select(
         "product_name", "revenue_per_product", "cumulative_revenue", "total_revenue",
@@ -55,7 +55,7 @@ def price_band_share(model: RetailModel, edges: Sequence = PRICE_BAND_EDGES,
                      labels: Sequence[str] = PRICE_BAND_LABELS) -> DataFrame:
     """Q6: revenue and share of total per price band (upper edges inclusive)."""
     band = bucketize("product_price", edges, labels, right_closed=True)
-    return share_by_bucket(model.view(), band, "price_range", revenue())
+    return share_by_bucket(model.view(of="products"), band, "price_range", revenue())
 
 
 def month_rank(model: RetailModel) -> DataFrame:
