@@ -137,7 +137,7 @@ PROMOTION_PRIORITY = ("PRIORITY 1 - Best margin", "PRIORITY 2 - Great margin", "
 def promotion_candidates(model: RetailModel, max_revenue: float = 50000, min_margin: float = 50,
                          priority_edges: Sequence = (70, 60), keep_all: bool = False) -> DataFrame:
     """Q42: good margin but slow sales. ``keep_all`` returns every product classified."""
-    per = model.view().groupBy("product_name").agg(
+    per = model.view(of="products").groupBy("product_name").agg(
         money_sum(revenue()).alias("revenue"), money_sum(profit()).alias("profit"))
     per = per.withColumn("margin_profit", percent(F.col("profit"), F.col("revenue"), 2))
     promoted = (F.col("revenue") < max_revenue) & (F.col("margin_profit") > min_margin)
