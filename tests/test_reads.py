@@ -189,7 +189,7 @@ def test_products_meet_one_row_each(spark, large, stores_large):
         assert rows(QUESTIONS[key](model)) == rows(QUESTIONS[key](small)), key
     assert model.view(of="products").count() == 29
     pairs = tables["sales"].select("store_id", "product_id").distinct().count()
-    for key in ("q7", "q42"):
+    for key in ("q7", "q42", "q42_all"):
         df = QUESTIONS[key](model)
         with watched(spark) as seen:
             df.collect()
