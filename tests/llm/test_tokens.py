@@ -120,3 +120,22 @@ def test_binary_ids_round_trip(spark, request, frame):
            for r in binary_ids.read_ids(spark, out, binary_ids.crc32_of, "ids_crc32 long").collect()}
     for r in got:
         assert crc[(r.doc_id, r.start)] == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+
+
+def test_chunks_of_a_worker_are_encoded_once():
+    """900,000 distinct words, twice over: each is encoded once, and repeated words get one code."""
+    table, encoded = byte_bpe.id_table.__wrapped__(BYTE_BPE), []
+
+    def one_id_each(keys):
+        encoded.append(len(keys))
+        return np.arange(len(keys), dtype=np.uint32), np.arange(len(keys)), np.ones(len(keys), np.int64)
+
+    table.encode_many = one_id_each
+    words = [f"w{i}" for i in range(900_000)]
+    for first in (0, 300_000, 600_000) * 2:
+        some = words[first:first + 300_000]
+        codes = table.lookup(some + some[:5] + ["w0", "w0"])
+        assert codes[:5].tolist() == codes[300_000:300_005].tolist() and codes[-1] == codes[-2]
+        assert len(set(codes.tolist())) == 300_000 + (first > 0)
+    assert encoded == [300_000] * 3
+    assert table.lookup([]).tolist() == []

@@ -120,5 +120,5 @@ def encode_many(path: str) -> EncodeMany:
 
 @functools.lru_cache(maxsize=2)
 def id_table(path: str) -> ChunkTable:
-    """This worker's table of chunk ids."""
-    return ChunkTable(encode_many(path))
+    """This worker's table of chunk ids: a larger one, so that few chunks are encoded again."""
+    return ChunkTable(encode_many(path), max_entries=1_000_000)

@@ -8,9 +8,10 @@ once per worker and the ids are put back by position with numpy gathers.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
 
 #: Texts are worked on in slices of about this many characters, which bounds a worker's memory.
 SLICE_CHARS = 1_000_000
@@ -26,19 +27,6 @@ def laid_out(found: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat, np.cumsum(lengths) - lengths, lengths
 
 
-class _Codes(dict):
-    """Word -> code; an unknown word gets the next code and is noted as new."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        code = self[word] = len(self)
-        self.new.append(word)
-        return code
-
-
 class ChunkTable:
     """Distinct chunks with their ids (``keep_ids``) or only the number of their ids.
 
@@ -54,16 +42,14 @@ class ChunkTable:
         self._clear()
 
     def _clear(self) -> None:
-        self.codes = _Codes()
+        self.codes: dict[str, int] = {}  # in the order of the codes
         self.lengths = np.zeros(1024, np.int64)
         self.starts = np.zeros(1024, np.int64)
         self.ids = np.zeros(8192, np.uint32)
         self.uses = np.zeros(1024, np.int64)
         self.used = 0
         if self.seed:
-            for word in self.seed:
-                self.codes[word]
-            self.codes.new.clear()
+            self.codes.update(zip(self.seed, range(len(self.seed))))
             self._room(len(self.codes))
             self.lengths[: len(self.seed)] = np.fromiter(self.seed.values(), np.int64, len(self.seed))
 
@@ -78,9 +64,7 @@ class ChunkTable:
         seed, self.seed = self.seed, {}
         self._clear()
         self.seed = seed
-        for word in kept:
-            self.codes[word]
-        self.codes.new.clear()
+        self.codes = dict(zip(kept, range(len(kept))))
         self._room(len(kept))
         self.lengths[: len(kept)] = lengths
         if self.keep_ids:
@@ -108,15 +92,22 @@ class ChunkTable:
             self.used += len(flat)
 
     def lookup(self, words: list[str]) -> np.ndarray:
-        """Codes of the words; unknown words are encoded first."""
+        """Codes of the words; unknown words are encoded first. Arrow finds the distinct words,
+        so that each of these is looked up once however often it comes."""
         if len(self.codes) > self.max_entries:
             self._cut_back()
-        codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
-        if self.codes.new:
-            new, self.codes.new = self.codes.new, []
+        found = pa.array(words, pa.large_string()).dictionary_encode()
+        distinct, at = found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
+        codes = np.fromiter(map(self.codes.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(codes < 0)
+        if len(unknown):
+            new = [distinct[i] for i in unknown.tolist()]
+            first = len(self.codes)
+            codes[unknown] = np.arange(first, first + len(new))
+            self.codes.update(zip(new, range(first, first + len(new))))
             self._add(new)
-        self.uses[: len(self.codes)] += np.bincount(codes, minlength=len(self.codes))
-        return codes
+        self.uses[codes] += np.bincount(at, minlength=len(distinct))
+        return codes[at]
 
     def gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the coded chunks in order, and the number of ids of each chunk."""
