@@ -139,3 +139,12 @@ def test_chunks_of_a_worker_are_encoded_once():
         assert len(set(codes.tolist())) == 300_000 + (first > 0)
     assert encoded == [300_000] * 3
     assert table.lookup([]).tolist() == []
+
+
+def test_marked_texts_are_the_library():
+    """Chunk keys cut by Arrow give the library's ids, slice by slice, empty texts among them."""
+    texts = _texts() + [""] * 3
+    table = byte_bpe.id_table.__wrapped__(BYTE_BPE)
+    for some in (texts, texts[:1], [""], ["a  b"], []):
+        got = chunks.encode_texts(some, byte_bpe.marked, byte_bpe.encode_whole(BYTE_BPE), table)
+        assert [ids.tolist() for ids in got] == [_bpe(t) for t in some]

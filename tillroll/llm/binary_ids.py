@@ -156,7 +156,7 @@ def tokenized(docs: DataFrame, path: str, *, id_col: str, text_col: str, end_id:
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                ids = encode_texts(part.column("text").to_pylist(), byte_bpe.split,
+                ids = encode_texts(part.column("text").to_pylist(), byte_bpe.marked,
                                    byte_bpe.encode_whole(path), table)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"),

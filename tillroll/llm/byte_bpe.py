@@ -39,9 +39,10 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def split(text: str) -> list[str] | None:
-    """Chunk keys: a word stands for itself led by a space, a key that begins with UNLED for
-    the rest of it. None for texts whose chunks are not independent."""
+def marked(text: str) -> str | None:
+    """The text's chunk keys, a space between any two: a word stands for itself led by a space,
+    a key that begins with UNLED for the rest of it. None for texts whose chunks are not
+    independent."""
     if UNLED in text:
         return None
     if _OTHER_SPACE.search(text):
@@ -57,7 +58,13 @@ def split(text: str) -> list[str] | None:
     # not where a comma or full stop follows another sign, which it may be joined to
     if text and text[0] not in ",." and not _BESIDE_SIGN.search(text):
         text = text.replace(", ", f" {UNLED}, ").replace(". ", f" {UNLED}. ")
-    return (UNLED + text).split(" ")
+    return UNLED + text
+
+
+def split(text: str) -> list[str] | None:
+    """The chunk keys of ``marked`` as a list."""
+    keys = marked(text)
+    return None if keys is None else keys.split(" ")
 
 
 def chunk_text(key: str) -> str:

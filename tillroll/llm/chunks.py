@@ -12,6 +12,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Texts are worked on in slices of about this many characters, which bounds a worker's memory.
 SLICE_CHARS = 1_000_000
@@ -91,12 +92,12 @@ class ChunkTable:
             self.starts[first:first + len(words)] = self.used + starts
             self.used += len(flat)
 
-    def lookup(self, words: list[str]) -> np.ndarray:
+    def lookup(self, words: list[str] | pa.Array) -> np.ndarray:
         """Codes of the words; unknown words are encoded first. Arrow finds the distinct words,
         so that each of these is looked up once however often it comes."""
         if len(self.codes) > self.max_entries:
             self._cut_back()
-        found = pa.array(words, pa.large_string()).dictionary_encode()
+        found = (words if isinstance(words, pa.Array) else pa.array(words, pa.large_string())).dictionary_encode()
         distinct, at = found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
         codes = np.fromiter(map(self.codes.get, distinct, repeat(-1)), np.int64, len(distinct))
         unknown = np.flatnonzero(codes < 0)
@@ -131,22 +132,32 @@ def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def encode_texts(texts: list[str], split: Callable[[str], list[str] | None],
+def _cut(parts: list[list[str] | str]) -> tuple[list[str] | pa.Array, list[int]]:
+    """The chunk keys of all parts, and where each part's begin and end among them. Parts that
+    are texts are cut at their spaces, by Arrow."""
+    if parts and isinstance(parts[0], str):
+        cut = pc.split_pattern(pa.array(parts, pa.large_string()), " ")
+        return cut.flatten(), cut.offsets.to_pylist()
+    return list(chain.from_iterable(parts)), [0, *np.cumsum(list(map(len, parts))).tolist()]
+
+
+def encode_texts(texts: list[str], split: Callable[[str], list[str] | str | None],
                  whole: Callable[[str], Iterable[int]], table: ChunkTable) -> Iterator[np.ndarray]:
-    """The ids of each text. ``split`` gives a text's chunk keys, or None for a text whose
-    chunks are not independent; such a text is encoded by ``whole``."""
+    """The ids of each text. ``split`` gives a text's chunk keys (a list, or in one text with a
+    space between any two), or None for a text whose chunks are not independent; such a text
+    is encoded by ``whole``."""
     for start, end in slices(texts):
         parts = [split(text) for text in texts[start:end]]
-        words = [w for p in parts if p is not None for w in p]
+        words, bounds = _cut([p for p in parts if p is not None])
         ids, lengths = table.gather(table.lookup(words))
-        ends = np.concatenate(([0], np.cumsum(lengths)))
-        word = 0
+        ends = np.concatenate(([0], np.cumsum(lengths)))[bounds].tolist()
+        n = 0
         for text, p in zip(texts[start:end], parts):
             if p is None:
                 yield np.fromiter(whole(text), np.uint32)
             else:
-                yield ids[ends[word]:ends[word + len(p)]]
-                word += len(p)
+                yield ids[ends[n]:ends[n + 1]]
+                n += 1
 
 
 def count_texts(texts: list[str], split: Callable[[str], list[str] | None],
