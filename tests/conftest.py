@@ -17,7 +17,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     # tests/events.py reads the log
     log = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": "file://" + tempfile.mkdtemp(prefix="tillroll-events-"),
-           "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"}
+           "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
+           "spark.sql.maxMetadataStringLength": "2000"}  # plans name whole paths, however long the temp folder
     session = build_session("local[*]", 8, "tillroll-tests", log)
     yield session
     session.stop()
